@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from aerocorr.operators.clean import canonicalize, unify_families
 
@@ -26,8 +27,10 @@ def read_readings(spark: SparkSession, paths: Mapping[int, str | list[str]],
     return unify_families(raw, distinct=distinct)
 
 
-def read_landed(spark: SparkSession, base: str) -> DataFrame:
+def read_landed(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:
     """Readings landed by :func:`aerocorr.sources.landing.land`: one canonical
     schema, partitioned by ``family`` and ``month`` so filters on them prune
-    directories."""
-    return spark.read.parquet(base)
+    directories.  Passing ``schema`` (with ``month`` as text) pins the
+    partition column types instead of inferring them from directory names."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(base)
