@@ -16,7 +16,8 @@ def parse_address(body) -> dict[str, Column]:
     false``; a member missing from an otherwise good body is ``""``."""
     body = F.col(body) if isinstance(body, str) else body
     doc = F.from_json(body, GEOCODE_RESPONSE_SCHEMA)
-    ok = doc.isNotNull() & doc["error"].isNull()
+    keys = F.json_object_keys(body)  # NULL unless the body is a valid JSON object
+    ok = F.coalesce(keys.isNotNull() & ~F.array_contains(keys, "error"), F.lit(False))
 
     def text(c: Column) -> Column:
         return F.when(ok, F.coalesce(c, F.lit(""))).otherwise(F.lit(""))
