@@ -56,3 +56,52 @@ def correlation_matrix_ml(df: DataFrame, columns: Sequence[str]):
     vec = VectorAssembler(inputCols=list(columns), outputCol="_features",
                           handleInvalid="skip").transform(df)
     return Correlation.corr(vec, "_features").first()[0]
+
+
+def grouped_moments(df: DataFrame, keys: Sequence[str], value, where=None,
+                    prefix: str = "_") -> DataFrame:
+    """Per group: count, mean and population variance of ``value`` over the
+    rows satisfying ``where`` (other rows still create their group).  One
+    hash aggregation; a hot key is combined map-side before the shuffle."""
+    v = F.when(where, value) if where is not None else value
+    return df.groupBy(*keys).agg(F.count(v).alias(f"{prefix}n"), F.avg(v).alias(f"{prefix}mean"),
+                                 F.var_pop(v).alias(f"{prefix}var"))
+
+
+def pooled_correlation_matrix(groups: DataFrame, value: str, attr: str, *, n: str = "_n",
+                              mean: str = "_mean", var: str = "_var",
+                              digits: int | None = None) -> DataFrame:
+    """Long-form Pearson matrix of ``(value, attr)`` over the rows the groups
+    summarise, when ``attr`` is constant within a group.
+
+    Each group row holds ``n`` values of ``value`` (their mean and population
+    variance) that all pair with the group's ``attr``.  Pooled moments
+    (within-group part + centred between-group part) give exactly the
+    row-level statistics, so the row-level table is never built or joined.
+    Global means come from one small aggregate over ``groups`` (materialize it
+    first if it is expensive)."""
+    g = groups.where((F.col(n) > 0) & F.col(attr).isNotNull() & ~F.isnan(F.col(attr)))
+    head = g.agg(F.sum(n).alias("N"), F.sum(F.col(n) * F.col(mean)).alias("SA"),
+                 F.sum(F.col(n) * F.col(attr)).alias("SD")).first()
+    total = head["N"] or 0
+    ma = head["SA"] / total if total else 0.0
+    md = head["SD"] / total if total else 0.0
+    da = F.col(mean) - F.lit(ma)
+    dd = F.col(attr) - F.lit(md)
+    w = F.col(n)
+    mom = g.agg(F.coalesce(F.sum(w), F.lit(0)).cast("long").alias("_N"),
+                F.sum(w * F.col(var) + w * da * da).alias("_m2a"),
+                F.sum(w * dd * dd).alias("_m2d"),
+                F.sum(w * da * dd).alias("_c"))
+
+    def fmt(x):
+        return F.round(x, digits) if digits is not None else x
+
+    off = F.try_divide(F.col("_c"), F.sqrt(F.col("_m2a")) * F.sqrt(F.col("_m2d")))
+    cells = [(value, value, F.when(F.col("_m2a") > 0, F.lit(1.0))),
+             (value, attr, off), (attr, value, off),
+             (attr, attr, F.when(F.col("_m2d") > 0, F.lit(1.0)))]
+    return mom.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                 fmt(r).cast("double").alias("r"), F.col("_N").alias("n"))
+        for a, b, r in cells])))

@@ -139,6 +139,14 @@ def remoteness_corr(spark: SparkSession, sf: str) -> DataFrame:
     return studies.remoteness_study(_readings(spark, sf), B.sites(spark, sf), digits=DIGITS)
 
 
+@query("remoteness_corr_rows", with_(*REMOTENESS_ROWS_SQL, corr_sql("j", ["avg_p", "min_dist"])))
+def remoteness_corr_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The flagship through reading-level rows (broadcast join + one corr
+    aggregate) instead of pooled per-position moments."""
+    return studies.remoteness_study(_readings(spark, sf), B.sites(spark, sf), digits=DIGITS,
+                                    strategy="join")
+
+
 SETTLEMENT_ROWS_SQL = [
     READINGS_CTE, POS_CTE, CITY_CTE,
     f"""d AS (SELECT sensor_id, geonameid, population, elevation, {DIST} AS dist FROM pos, city)""",

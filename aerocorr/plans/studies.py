@@ -1,17 +1,25 @@
 """The two studies: remoteness from sites, and nearest-settlement attributes,
 each correlated with the particulate readings.
 
-Plan shape (both studies)::
+Remoteness (default, ``strategy="pre-aggregate"``)::
+
+    readings --one aggregate per (sensor, position)--> moments   [only full scan]
+      moments.positions --grid join--> min_dist per sensor        [small tables]
+      moments JOIN min_dist --pooled moments--> 2x2 matrix
+
+Settlement (and remoteness with ``strategy="join"``)::
 
     readings --distinct--> positions --grid join--> per-sensor attributes
                                                     | materialized (written, re-read)
     readings --filters (pushed to the scan)--> avg_p --broadcast join--+
                                                --> one corr aggregate --> matrix
 
-The per-sensor table is one row per sensor; it is written once (cutting the
+Per-sensor tables are one row per sensor; they are written once (cutting the
 lineage) and broadcast after a bounded row-count probe, so the readings are
-scanned once and never shuffled.  Beyond the broadcast bound the join falls
-back to a shuffle join with AQE skew splitting.
+never shuffled.  Beyond the broadcast bound the join falls back to a shuffle
+join with AQE skew splitting.  The settlement study needs reading-level values
+(it correlates distinct ``(avg_p, population, elevation)`` triples), so it
+keeps the join form.
 """
 
 from __future__ import annotations
@@ -28,7 +36,8 @@ from aerocorr.operators.clean import (
 from aerocorr.operators.geocode import country_filter, enrich_country
 from aerocorr.operators.joins import join_attributes
 from aerocorr.operators.nearest import nearest_within, positions_with_min_distance
-from aerocorr.operators.stats import correlation_matrix
+from aerocorr.functions.time import hour_of_day
+from aerocorr.operators.stats import correlation_matrix, grouped_moments, pooled_correlation_matrix
 from aerocorr.sources.sinks import materialize
 
 
@@ -82,14 +91,42 @@ def remoteness_study(readings: DataFrame, sites: DataFrame, *, geocode: DataFram
                      first_hour: int = schemas.DAY_FIRST_HOUR,
                      last_hour: int = schemas.DAY_LAST_HOUR,
                      cell: float | None = None, digits: int | None = None,
-                     persist: bool = True) -> DataFrame:
+                     persist: bool = True, strategy: str = "pre-aggregate") -> DataFrame:
     """2x2 Pearson matrix of ``(avg_p, min_dist)`` over every qualifying
-    reading (each reading weighs once)."""
-    near = remoteness_table(readings, sites, geocode=geocode, country=country, cell=cell,
-                            persist=persist)
-    rows = remoteness_readings(readings, near, max_value=max_value, first_hour=first_hour,
-                               last_hour=last_hour)
-    return correlation_matrix(rows, ["avg_p", "min_dist"], digits=digits)
+    reading (each reading weighs once).
+
+    ``strategy="pre-aggregate"`` (default) scans the readings once: a single
+    aggregation per ``(sensor_id, lat, lon)`` yields both the position set and
+    the moments of the qualifying ``avg_p`` values, and the correlation is
+    pooled from that small table (``min_dist`` is constant per sensor).
+    ``strategy="join"`` builds the reading-level rows (what the CSV sample
+    exports) and correlates them directly; it scans the readings twice."""
+    if strategy == "join":
+        near = remoteness_table(readings, sites, geocode=geocode, country=country, cell=cell,
+                                persist=persist)
+        rows = remoteness_readings(readings, near, max_value=max_value, first_hour=first_hour,
+                                   last_hour=last_hour)
+        return correlation_matrix(rows, ["avg_p", "min_dist"], digits=digits)
+    if strategy != "pre-aggregate":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    spark = readings.sparkSession
+    qualifies = ((F.col("P1") < F.lit(max_value)) & (F.col("P2") < F.lit(max_value))
+                 & hour_of_day(readings, "timestamp").between(first_hour, last_hour))
+    per_pos = grouped_moments(readings, ["sensor_id", "lat", "lon"],
+                              avg_particulates(readings), qualifies)
+    if persist:
+        per_pos = materialize(spark, per_pos, name="position-moments")
+    pos = per_pos.select("sensor_id", "lat", "lon")
+    if geocode is not None:
+        pos = country_filter(enrich_country(pos, geocode, on_missing="keep"), country) \
+            .select("sensor_id", "lat", "lon")
+    near = positions_with_min_distance(pos, sites.select("latitude", "longitude"), cell=cell)
+    attrs = dedupe_by_key(drop_any_missing(near), "sensor_id", ["lat", "lon"]) \
+        .select("sensor_id", "min_dist")
+    if persist:
+        attrs = materialize(spark, attrs, name="sensor-remoteness")
+    groups = per_pos.select("sensor_id", "_n", "_mean", "_var").join(attrs, "sensor_id")
+    return pooled_correlation_matrix(groups, "avg_p", "min_dist", digits=digits)
 
 
 def settlement_table(positions: DataFrame, cities: DataFrame, *,

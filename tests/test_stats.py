@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from aerocorr.operators import stats
 
@@ -50,3 +51,22 @@ def test_matches_ml_correlation_and_properties(spark):
     scaled = df.selectExpr("a * 1000 - 7 AS a", "b", "c")
     assert matrix(scaled, cols)[("a", "b")][0] == pytest.approx(m[("a", "b")][0], abs=1e-9)
     assert math.isclose(m[("a", "a")][0], 1.0)
+
+
+def test_pooled_equals_row_level(spark):
+    rnd = random.Random(5)
+    rows = []
+    for g in range(40):
+        d = None if g == 3 else rnd.uniform(0, 2)
+        for _ in range(rnd.randrange(0, 30)):
+            rows.append((g, rnd.gauss(20 + g, 4), d))
+    df = spark.createDataFrame(rows, "g long, a double, d double")
+    direct = matrix(df, ["a", "d"])
+    groups = stats.grouped_moments(df, ["g", "d"], F.col("a"))
+    pooled = {(r.col_a, r.col_b): (r.r, r.n)
+              for r in stats.pooled_correlation_matrix(groups, "a", "d").collect()}
+    for k, (r, n) in direct.items():
+        assert pooled[k][1] == n and pooled[k][0] == pytest.approx(r, abs=1e-12)
+    empty = stats.grouped_moments(df.where("false"), ["g", "d"], F.col("a"))
+    out = stats.pooled_correlation_matrix(empty, "a", "d").collect()
+    assert {(r.r, r.n) for r in out} == {(None, 0)}
