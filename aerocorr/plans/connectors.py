@@ -139,3 +139,40 @@ def land_manifest(spark, sf):
     land(spark, manifest, out)
     landed = read_landed(spark, out, schema=LANDED_SCHEMA)
     return landed.select("sensor_id", "family", "month", "P1", "P2")
+
+
+# --- streaming ----------------------------------------------------------------------
+
+@query("streaming_landing", with_(READINGS_CTE)
+       + " SELECT sensor_id, family, strftime(ts, '%Y-%m') AS month, P1, P2 FROM r")
+def streaming_landing(spark, sf):
+    """Family folders landed by the streaming job (exactly-once file source)."""
+    from aerocorr.streaming import start_landing
+    paths = _write_families(spark, sf)
+    out = work_dir(spark, "stream-landed")
+    q = start_landing(spark, paths, out)
+    q.awaitTermination()
+    landed = read_landed(spark, out, schema=LANDED_SCHEMA)
+    return landed.select("sensor_id", "family", "month", "P1", "P2")
+
+
+@query("streaming_position_moments", with_(READINGS_CTE) + """
+ SELECT sensor_id, lat, lon, count(avg_q) AS n, round(sum(avg_q), 4) AS sum_avg_p,
+        round(sum(avg_q * avg_q), 6) AS sumsq_avg_p
+ FROM (SELECT *, CASE WHEN P1 < 5000 AND P2 < 5000 AND hour(ts) BETWEEN 6 AND 17
+                      THEN (P1 + P2) / 2 END AS avg_q FROM r)
+ GROUP BY sensor_id, lat, lon""")
+def streaming_position_moments(spark, sf):
+    """Running per-position moments maintained by a streaming aggregation."""
+    from aerocorr.streaming import start_position_moments, stream_readings
+    paths = _write_families(spark, sf)
+    out = work_dir(spark, "stream-moments")
+    q = start_position_moments(spark, stream_readings(spark, paths, max_files_per_trigger=2), out)
+    q.awaitTermination()
+    m = spark.read.parquet(out)
+    # sums sit on exact decimal grids (avg_p is a multiple of 0.005), so
+    # rounding them compares engines without float-noise ties
+    n, mean, var = F.col("_n"), F.col("_mean"), F.col("_var")
+    return m.select("sensor_id", "lat", "lon", n.alias("n"),
+                    F.round(n * mean, 4).alias("sum_avg_p"),
+                    F.round(n * var + n * mean * mean, 6).alias("sumsq_avg_p"))
