@@ -167,6 +167,14 @@ def settlement_corr(spark: SparkSession, sf: str) -> DataFrame:
                                     radius=SETTLEMENT_RADIUS, digits=DIGITS)
 
 
+@query("settlement_corr_rows", with_(*SETTLEMENT_ROWS_SQL,
+                                     corr_sql("j", ["avg_p", "population", "elevation"])))
+def settlement_corr_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The settlement matrix through reading-level rows (two scans)."""
+    return studies.settlement_study(_readings(spark, sf), B.cities(spark, sf),
+                                    radius=SETTLEMENT_RADIUS, digits=DIGITS, strategy="join")
+
+
 # --- nearest sites ----------------------------------------------------------------
 
 @query("min_distance_to_site", with_(READINGS_CTE, POS_CTE, SITE_CTE, MIN_DIST_CTE)

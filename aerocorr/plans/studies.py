@@ -147,16 +147,34 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
                      positions: DataFrame | None = None,
                      radius: float = schemas.CITY_RADIUS, max_value: float = schemas.MAX_VALUE,
                      distinct_rows: bool = True, digits: int | None = None,
-                     persist: bool = True,
+                     persist: bool = True, strategy: str = "pre-aggregate",
                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """3x3 Pearson matrix of ``(avg_p, population, elevation)``.  With
     ``distinct_rows`` (the study's definition) each distinct triple weighs
-    once; otherwise each reading does."""
-    pos = positions if positions is not None else distinct_positions(readings)
+    once; otherwise each reading does.
+
+    ``strategy="pre-aggregate"`` (used when the triples are distinct and the
+    positions come from the readings) scans the readings once: a single
+    distinct over ``(sensor_id, lat, lon, qualifying avg_p)`` gives both the
+    position set and the values.  Sensor values are quantized, so that table
+    is bounded by positions x distinct values, far below the reading count
+    (for continuous-valued readings use ``strategy="join"``)."""
+    ok_cond = (F.col("P1") < F.lit(max_value)) & (F.col("P2") < F.lit(max_value))
+    if strategy == "pre-aggregate" and distinct_rows and positions is None:
+        vals = readings.select("sensor_id", "lat", "lon",
+                               F.when(ok_cond, avg_particulates(readings)).alias("avg_p")).distinct()
+        if persist:
+            vals = materialize(readings.sparkSession, vals, name="position-values")
+        pos = vals.select("sensor_id", "lat", "lon").distinct()
+        avg = vals.where(F.col("avg_p").isNotNull()).select("sensor_id", "avg_p").distinct()
+    elif strategy in ("pre-aggregate", "join"):
+        pos = positions if positions is not None else distinct_positions(readings)
+        ok = readings.where(ok_cond)
+        avg = ok.select("sensor_id", avg_particulates(ok))
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
     near = settlement_table(pos, cities, radius=radius, persist=persist)
     attrs = near.select("sensor_id", "population", "elevation")
-    ok = outlier_filter(readings, max_value)
-    avg = ok.select("sensor_id", avg_particulates(ok))
     joined = keep_if_all_present(join_attributes(avg, attrs, "sensor_id", max_broadcast_rows),
                                  ["population", "elevation", "avg_p"])
     rows = joined.select("avg_p", "population", "elevation")

@@ -67,7 +67,7 @@ def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``population`` the account balance, ``dem`` the key modulo 700."""
     cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
-    return cust.join(F.broadcast(nation), cust["c_nationkey"] == nation["n_nationkey"]).select(
+    return cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"]).select(
         F.col("c_custkey").alias("geonameid"),
         F.col("c_name").alias("name"),
         F.col("c_name").alias("asciiname"),
@@ -85,7 +85,7 @@ def geocoded(spark: SparkSession, sf_dir: str, segment: str = "BUILDING") -> Dat
     at sensor coordinates, answered with their nation."""
     cust = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == F.lit(segment))
     nation = table(spark, sf_dir, "nation")
-    return cust.join(F.broadcast(nation), cust["c_nationkey"] == nation["n_nationkey"]).select(
+    return cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"]).select(
         F.expr(SENSOR_LAT.format(k="c_custkey")).alias("lat"),
         F.expr(SENSOR_LON.format(k="c_custkey")).alias("lon"),
         F.col("n_name").alias("country"),

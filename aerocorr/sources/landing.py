@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from aerocorr.functions.keys import basename
 from aerocorr.operators.clean import canonicalize
 
+MAX_BROADCAST_FILES = 1_000_000  # manifest rows are (file, family, month): a few MB at most
+
 
 def dedupe_manifest(manifest: DataFrame, path_col: str = "path") -> DataFrame:
     """One entry per (family, file basename): a file listed twice lands once."""
@@ -29,8 +31,10 @@ def land(spark: SparkSession, manifest: DataFrame, out: str, path_col: str = "pa
     by_family: dict[int, list[str]] = {}
     for row in files:
         by_family.setdefault(int(row["family"]), []).append(row[path_col])
-    months = F.broadcast(m.select(F.col("file").alias("_file"), "family",
-                                  F.col("month").cast("string").alias("month")))
+    months = m.select(F.col("file").alias("_file"), "family",
+                      F.col("month").cast("string").alias("month"))
+    if len(files) <= MAX_BROADCAST_FILES:  # the manifest size is known exactly here
+        months = F.broadcast(months)
     parts = []
     for fam, paths in sorted(by_family.items()):
         df = canonicalize(spark.read.parquet(*paths), fam)

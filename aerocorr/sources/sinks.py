@@ -42,10 +42,10 @@ def materialize(spark: SparkSession, build: Callable[[], DataFrame] | DataFrame,
 
 
 def write_sample_csv(df: DataFrame, path: str, keys: Sequence[str], n: int = SAMPLE_ROWS,
-                     sep: str = ";") -> str:
+                     sep: str = ";", expected_rows: int | None = None) -> str:
     """At most ``n`` rows (the reproducible :func:`exact_sample`) as one CSV
     file with a header.  Only the bounded sample is collapsed to a single
     partition."""
-    (exact_sample(df, n, keys).coalesce(1).write.mode("overwrite")
+    (exact_sample(df, n, keys, expected_rows=expected_rows).coalesce(1).write.mode("overwrite")
         .option("header", True).option("sep", sep).csv(path))
     return path

@@ -17,7 +17,8 @@ def test_exact_sample_plan_never_sorts_everything(spark):
     df = spark.range(5000).withColumnRenamed("id", "k")
     out = sampling.exact_sample(df, 10, ["k"])
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Filter" in plan  # only the hash slice is ordered
+    assert "Scan ExistingRDD" in plan and "Range" not in plan  # orders the checkpointed slice only
+    assert sampling.exact_sample(df, 10, ["k"], expected_rows=50).count() == 10  # bad estimate: still exact
 
 
 @pytest.mark.parametrize("total", [0, 3, 5000])
