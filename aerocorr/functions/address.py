@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from aerocorr.schemas import ADDRESS_FIELDS, GEOCODE_RESPONSE_SCHEMA
 
+_PARSE_SCHEMA = T.StructType(GEOCODE_RESPONSE_SCHEMA.fields + [T.StructField("_corrupt", T.StringType())])
+
 
 def parse_address(body) -> dict[str, Column]:
     """Columns extracted from a JSON response body.
@@ -15,9 +19,10 @@ def parse_address(body) -> dict[str, Column]:
     defaults (``osm_id = -1``, every text field ``""``) and ``geocode_ok =
     false``; a member missing from an otherwise good body is ``""``."""
     body = F.col(body) if isinstance(body, str) else body
-    doc = F.from_json(body, GEOCODE_RESPONSE_SCHEMA)
-    keys = F.json_object_keys(body)  # NULL unless the body is a valid JSON object
-    ok = F.coalesce(keys.isNotNull() & ~F.array_contains(keys, "error"), F.lit(False))
+    # one parse per body; a malformed body (or a non-object) fills _corrupt
+    doc = F.from_json(body, _PARSE_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"})
+    ok = F.coalesce(doc.isNotNull() & doc["_corrupt"].isNull() & doc["error"].isNull(),
+                    F.lit(False))
 
     def text(c: Column) -> Column:
         return F.when(ok, F.coalesce(c, F.lit(""))).otherwise(F.lit(""))

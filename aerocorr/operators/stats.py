@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 
-from aerocorr.operators.clean import complete_cases
+def _complete(df: DataFrame, cols: Sequence[str]):
+    conds = []
+    for c in cols:
+        conds.append(F.col(c).isNotNull())
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            conds.append(~F.isnan(F.col(c)))
+    return reduce(lambda a, b: a & b, conds)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], *, complete: bool = True,
@@ -16,19 +26,26 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], *, complete: bool
 
     All moments come from one aggregation (partial per task, merged once), so
     the data is scanned once and nothing is shuffled but one buffer per task.
-    ``complete=True`` first drops rows with NULL or NaN in any of ``columns``
-    (the vector-assembler "skip" rule), so every pair uses the same rows.
+    ``complete=True`` uses only rows with no NULL or NaN in any of
+    ``columns`` (the vector-assembler "skip" rule), so every pair uses the
+    same rows.  The rule is applied inside the aggregates rather than as a
+    filter: a filter would be pushed below the projection that derives the
+    columns and re-evaluate expensive derivations once per reference.
     ``r`` is NULL when fewer than two rows remain or a column is constant; the
     diagonal is 1 where the column varies."""
     cols = list(columns)
-    data = complete_cases(df, cols) if complete else df
-    aggs = [F.count(F.lit(1)).alias("_n")]
+    ok = _complete(df, cols) if complete else F.lit(True)
+
+    def v(c):
+        return F.when(ok, F.col(c))
+
+    aggs = [F.count(F.when(ok, F.lit(1))).alias("_n")]
     for i, c in enumerate(cols):
-        aggs += [F.var_pop(c).alias(f"_v{i}"), F.stddev_pop(c).alias(f"_s{i}")]
+        aggs += [F.var_pop(v(c)).alias(f"_v{i}"), F.stddev_pop(v(c)).alias(f"_s{i}")]
     for i in range(len(cols)):
         for j in range(i + 1, len(cols)):
-            aggs.append(F.covar_pop(cols[i], cols[j]).alias(f"_c{i}_{j}"))
-    moments = data.agg(*aggs)
+            aggs.append(F.covar_pop(v(cols[i]), v(cols[j])).alias(f"_c{i}_{j}"))
+    moments = df.agg(*aggs)
 
     def fmt(x):
         return F.round(x, digits) if digits is not None else x
