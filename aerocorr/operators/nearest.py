@@ -58,9 +58,13 @@ def _rank1(df: DataFrame, key: list[str], dist_col: str) -> DataFrame:
     return df.withColumn("_rk", F.rank().over(w)).where(F.col("_rk") == 1).drop("_rk")
 
 
+def _with_cell(pos, cell, lat, lon):
+    return pos.withColumn("_cx", grid_cell(lat, cell)).withColumn("_cy", grid_cell(lon, cell))
+
+
 def _level0(pos, st, cell, lat, lon, site_lat, site_lon, dist_col):
-    p = (pos.withColumn("_cx", grid_cell(lat, cell))
-            .withColumn("_cy", grid_cell(lon, cell)))
+    """``pos`` already carries its level-0 cell ``(_cx, _cy)``."""
+    p = pos
     s = _offsets(st.withColumn("_cx", grid_cell(site_lat, cell))
                    .withColumn("_cy", grid_cell(site_lon, cell)), "_cx", "_cy")
     cand = p.join(s, ["_cx", "_cy"]).drop("_cx", "_cy")
@@ -78,7 +82,8 @@ def nearest_within(positions: DataFrame, sites: DataFrame, radius: float, *,
         raise ValueError("radius must be positive")
     keys = [key] if isinstance(key, str) else list(key)
     pos, st = _clean_sides(positions, sites, lat, lon, site_lat, site_lon)
-    cand = _level0(pos, st, radius * (1 + GUARD), lat, lon, site_lat, site_lon, dist_col)
+    cell = radius * (1 + GUARD)
+    cand = _level0(_with_cell(pos, cell, lat, lon), st, cell, lat, lon, site_lat, site_lon, dist_col)
     return _rank1(cand.where(F.col(dist_col) < F.lit(radius)), keys, dist_col)
 
 
@@ -115,6 +120,9 @@ def nearest_sites(positions: DataFrame, sites: DataFrame, *,
     ext = _site_extent(st, site_lat, site_lon)
     c0 = float(cell) if cell else auto_cell(ext["n"] or 0, ext["lat0"] or 0.0, ext["lat1"] or 0.0,
                                              ext["lon0"] or 0.0, ext["lon1"] or 0.0)
+    # both phases start from this one frame, so Spark evaluates the positions
+    # once and reuses the exchange
+    pos = _with_cell(pos, c0, lat, lon)
     top0 = _rank1(_level0(pos, st, c0, lat, lon, site_lat, site_lon, dist_col), keys, dist_col)
     if not ext["n"]:
         return top0  # no sites: empty, with the right schema
@@ -131,7 +139,7 @@ def nearest_sites(positions: DataFrame, sites: DataFrame, *,
                     F.greatest(F.lit(1), (F.floor(F.log2(F.greatest(ratio, F.lit(1.0)))) + 1).cast("int")))
     unres = (pos.join(ub, keys, "left")
                 .where(F.col("_ub").isNull() | (F.col("_ub") > F.lit(r0)))
-                .withColumn("_lvl", level).drop("_ub"))
+                .withColumn("_lvl", level).drop("_ub", "_cx", "_cy"))
     size = F.lit(c0) * F.pow(F.lit(2.0), F.col("_lvl"))
     p1 = _offsets(unres.withColumn("_cx", F.floor(F.col(lat) / size))
                        .withColumn("_cy", F.floor(F.col(lon) / size)), "_cx", "_cy")

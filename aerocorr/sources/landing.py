@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from aerocorr.functions.keys import basename
 from aerocorr.operators.clean import canonicalize
+from aerocorr.schemas import READING_SCHEMA
+
+LANDED_COLUMNS = READING_SCHEMA.fieldNames()
 
 MAX_BROADCAST_FILES = 1_000_000  # manifest rows are (file, family, month): a few MB at most
 
@@ -37,8 +40,9 @@ def land(spark: SparkSession, manifest: DataFrame, out: str, path_col: str = "pa
         months = F.broadcast(months)
     parts = []
     for fam, paths in sorted(by_family.items()):
-        df = canonicalize(spark.read.parquet(*paths), fam)
-        df = df.withColumn("_file", basename(F.input_file_name()))
+        raw = spark.read.parquet(*paths)
+        raw = raw.select("*", F.col("_metadata.file_name").alias("_file"))
+        df = canonicalize(raw, fam, keep_extra=True).select(*LANDED_COLUMNS, "_file")
         parts.append(df.join(months, ["_file", "family"]).drop("_file"))
     out_df = parts[0]
     for p in parts[1:]:
