@@ -5,7 +5,7 @@ from aerocorr.operators.clean import (  # noqa: F401
     distinct_positions, drop_any_missing, keep_if_all_present, keep_if_any_present,
     outlier_filter, unify_families, with_avg_particulates,
 )
-from aerocorr.operators.joins import join_attributes, size_checked_broadcast  # noqa: F401
+from aerocorr.operators.joins import join_attributes, salted_join, size_checked_broadcast  # noqa: F401
 from aerocorr.operators.nearest import (  # noqa: F401
     min_distance, nearest_sites, nearest_within, positions_with_min_distance,
 )

@@ -18,11 +18,33 @@ def size_checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS
     return F.broadcast(df) if n <= max_rows else df
 
 
+def salted_join(big: DataFrame, small: DataFrame, key: str, buckets: int,
+                how: str = "inner") -> DataFrame:
+    """Equi-join that spreads every key of ``big`` over ``buckets`` shuffle
+    partitions: each ``big`` row gets a salt from a hash of its own columns
+    (deterministic, so a recomputed task lands its rows where the first
+    attempt did) and ``small`` is replicated once per salt.  A key holding a
+    third of ``big`` is split ``buckets`` ways instead of landing in one task."""
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)).cast("int")
+    b = big.withColumn("_salt", salt)
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return b.join(s, [key, "_salt"], how).drop("_salt")
+
+
 def join_attributes(readings: DataFrame, attributes: DataFrame, key: str = "sensor_id",
                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                    how: str = "inner") -> DataFrame:
+                    how: str = "inner", salt_buckets: int = 0) -> DataFrame:
     """Attach per-key attributes to every reading (one output row per reading
     and matching attribute row).  A small attribute side is broadcast so the
-    readings are never shuffled; a hot sensor then costs nothing extra."""
-    side = size_checked_broadcast(attributes, max_broadcast_rows)
-    return readings.join(side, key, how)
+    readings are never shuffled; a hot sensor then costs nothing extra.
+    Beyond the broadcast bound the join shuffles: with ``salt_buckets > 1``
+    every key is salted (:func:`salted_join`), otherwise AQE's skew-join
+    splits oversized partitions at run time."""
+    n = attributes.limit(max_broadcast_rows + 1).count()
+    if n <= max_broadcast_rows:
+        return readings.join(F.broadcast(attributes), key, how)
+    if salt_buckets > 1:
+        return salted_join(readings, attributes, key, salt_buckets, how)
+    return readings.join(attributes, key, how)

@@ -73,7 +73,8 @@ def remoteness_readings(readings: DataFrame, near: DataFrame, *,
                         first_hour: int = schemas.DAY_FIRST_HOUR,
                         last_hour: int = schemas.DAY_LAST_HOUR,
                         keep: tuple[str, ...] = (),
-                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                        salt_buckets: int = 0) -> DataFrame:
     """Daytime, in-range readings ``(sensor_id, avg_p, min_dist)``: one sensor
     position per sensor (NULL/NaN rows dropped, smallest ``(lat, lon)`` kept),
     rows kept when either value is present."""
@@ -82,7 +83,8 @@ def remoteness_readings(readings: DataFrame, near: DataFrame, *,
     day = daytime_filter(outlier_filter(readings, max_value), first_hour=first_hour,
                          last_hour=last_hour, hour_col=None)
     avg = day.select("sensor_id", *keep, avg_particulates(day))
-    joined = join_attributes(avg, attrs, "sensor_id", max_broadcast_rows)
+    joined = join_attributes(avg, attrs, "sensor_id", max_broadcast_rows,
+                             salt_buckets=salt_buckets)
     return keep_if_any_present(joined, ["min_dist", "avg_p"])
 
 
@@ -148,7 +150,8 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
                      radius: float = schemas.CITY_RADIUS, max_value: float = schemas.MAX_VALUE,
                      distinct_rows: bool = True, digits: int | None = None,
                      persist: bool = True, strategy: str = "pre-aggregate",
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                     salt_buckets: int = 0) -> DataFrame:
     """3x3 Pearson matrix of ``(avg_p, population, elevation)``.  With
     ``distinct_rows`` (the study's definition) each distinct triple weighs
     once; otherwise each reading does.
@@ -175,7 +178,8 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
         raise ValueError(f"unknown strategy {strategy!r}")
     near = settlement_table(pos, cities, radius=radius, persist=persist)
     attrs = near.select("sensor_id", "population", "elevation")
-    joined = keep_if_all_present(join_attributes(avg, attrs, "sensor_id", max_broadcast_rows),
+    joined = keep_if_all_present(join_attributes(avg, attrs, "sensor_id", max_broadcast_rows,
+                                                 salt_buckets=salt_buckets),
                                  ["population", "elevation", "avg_p"])
     rows = joined.select("avg_p", "population", "elevation")
     if distinct_rows:
