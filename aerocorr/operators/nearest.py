@@ -18,7 +18,7 @@ edges), which makes the search exact:
 
 Ties are kept (``rank() == 1`` per key), which Spark plans as a
 WindowGroupLimit that already trims candidates before the shuffle.  NULL
-coordinates on either side never match.
+or NaN coordinates on either side never match.
 """
 
 from __future__ import annotations
@@ -34,14 +34,19 @@ GUARD = 1e-3        # cell width = guaranteed radius * (1 + GUARD)
 MAX_LEVEL = 60      # coarsest phase-1 level: cell = base cell * 2**60
 
 
-def _clean_sides(positions, sites, lat, lon, site_lat, site_lon):
+def _usable(a: str, b: str):
+    return (F.col(a).isNotNull() & F.col(b).isNotNull()
+            & ~F.isnan(F.col(a)) & ~F.isnan(F.col(b)))
+
+
+def _clean_sides(positions, sites, lat, lon, site_lat, site_lon, distinct_sites=True):
     clash = (set(positions.columns) & set(sites.columns))
     if clash:
         raise ValueError(f"positions and sites share column names {sorted(clash)}; rename one side")
-    pos = positions.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    pos = positions.where(_usable(lat, lon))
+    st = sites.where(_usable(site_lat, site_lon))
     # duplicated site rows would duplicate ties; a site is its full row
-    st = sites.where(F.col(site_lat).isNotNull() & F.col(site_lon).isNotNull()).distinct()
-    return pos, st
+    return pos, (st.distinct() if distinct_sites else st)
 
 
 def _offsets(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -89,7 +94,7 @@ def nearest_within(positions: DataFrame, sites: DataFrame, radius: float, *,
 
 def _site_extent(st: DataFrame, site_lat: str, site_lon: str):
     """One small aggregate over the sites (a dimension table): count and
-    bounding box."""
+    bounding box (the count only sizes the base cell)."""
     return st.agg(F.count(F.lit(1)).alias("n"),
                   F.min(site_lat).alias("lat0"), F.max(site_lat).alias("lat1"),
                   F.min(site_lon).alias("lon0"), F.max(site_lon).alias("lon1")).first()
@@ -104,33 +109,33 @@ def auto_cell(n: int, lat0: float, lat1: float, lon0: float, lon1: float) -> flo
     return 1.5 * span / math.sqrt(max(n, 1))
 
 
-def nearest_sites(positions: DataFrame, sites: DataFrame, *,
-                  key: str | list[str] = "sensor_id", lat: str = "lat", lon: str = "lon",
-                  site_lat: str = "latitude", site_lon: str = "longitude",
-                  dist_col: str = "dist", cell: float | None = None) -> DataFrame:
-    """Per key, every site at the minimum distance over all of the key's
-    positions (ties kept), unbounded.  Output: position columns, site columns
-    and ``dist_col``.
-
-    Runs one small aggregate over ``sites`` (count and bounding box); the rest
-    is lazy.  ``positions`` is read twice, so pass a materialized table when it
-    is expensive to derive."""
-    keys = [key] if isinstance(key, str) else list(key)
-    pos, st = _clean_sides(positions, sites, lat, lon, site_lat, site_lon)
-    ext = _site_extent(st, site_lat, site_lon)
+def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, mode):
+    """Exact two-phase search; ``mode="ties"`` returns every nearest pair,
+    ``mode="min"`` only ``(keys, dist_col)`` (a partial ``min`` per phase, no
+    window and no de-duplication of the sites)."""
+    pos, raw = _clean_sides(positions, sites, lat, lon, site_lat, site_lon, distinct_sites=False)
+    ext = _site_extent(raw, site_lat, site_lon)  # one stage: no de-duplication needed here
+    st = raw.distinct() if mode == "ties" else raw
     c0 = float(cell) if cell else auto_cell(ext["n"] or 0, ext["lat0"] or 0.0, ext["lat1"] or 0.0,
                                              ext["lon0"] or 0.0, ext["lon1"] or 0.0)
+
+    def best(cand):
+        if mode == "ties":
+            return _rank1(cand, keys, dist_col)
+        return cand.groupBy(*keys).agg(F.min(dist_col).alias(dist_col))
+
     # both phases start from this one frame, so Spark evaluates the positions
     # once and reuses the exchange
     pos = _with_cell(pos, c0, lat, lon)
-    top0 = _rank1(_level0(pos, st, c0, lat, lon, site_lat, site_lon, dist_col), keys, dist_col)
+    top0 = best(_level0(pos, st, c0, lat, lon, site_lat, site_lon, dist_col))
     if not ext["n"]:
         return top0  # no sites: empty, with the right schema
     r0 = c0 / (1 + GUARD)
     done0 = top0.where(F.col(dist_col) <= F.lit(r0))
 
     # phase 1: keys without a candidate inside the guaranteed radius
-    ub = top0.groupBy(*keys).agg(F.min(dist_col).alias("_ub"))
+    ub = (top0.select(*keys, F.col(dist_col).alias("_ub")) if mode == "min"
+          else top0.groupBy(*keys).agg(F.min(dist_col).alias("_ub")))
     far_lat = F.greatest(F.abs(F.col(lat) - F.lit(ext["lat0"])), F.abs(F.col(lat) - F.lit(ext["lat1"])))
     far_lon = F.greatest(F.abs(F.col(lon) - F.lit(ext["lon0"])), F.abs(F.col(lon) - F.lit(ext["lon1"])))
     bound = F.coalesce(F.col("_ub"), F.sqrt(far_lat * far_lat + far_lon * far_lon))
@@ -152,8 +157,22 @@ def nearest_sites(positions: DataFrame, sites: DataFrame, *,
             .withColumn("_cy", F.floor(F.col(site_lon) / size_s)))
     cand1 = (p1.join(s1, ["_lvl", "_cx", "_cy"]).drop("_lvl", "_cx", "_cy")
                .withColumn(dist_col, planar_distance(lat, lon, site_lat, site_lon)))
-    top1 = _rank1(cand1, keys, dist_col)
-    return done0.unionByName(top1)
+    return done0.unionByName(best(cand1))
+
+
+def nearest_sites(positions: DataFrame, sites: DataFrame, *,
+                  key: str | list[str] = "sensor_id", lat: str = "lat", lon: str = "lon",
+                  site_lat: str = "latitude", site_lon: str = "longitude",
+                  dist_col: str = "dist", cell: float | None = None) -> DataFrame:
+    """Per key, every site at the minimum distance over all of the key's
+    positions (ties kept), unbounded.  Output: position columns, site columns
+    and ``dist_col``.
+
+    Runs one small aggregate over ``sites`` (count and bounding box); the rest
+    is lazy.  ``positions`` feeds both phases from one frame (Spark reuses the
+    exchange); pass a materialized table when it is expensive to derive."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, "ties")
 
 
 def min_distance(positions: DataFrame, sites: DataFrame, *, key: str = "sensor_id",
@@ -162,10 +181,8 @@ def min_distance(positions: DataFrame, sites: DataFrame, *, key: str = "sensor_i
                  cell: float | None = None) -> DataFrame:
     """``(key, out)``: the smallest distance from any of the key's positions to
     any site.  Keys whose positions all lack coordinates are absent."""
-    near = nearest_sites(positions.select(key, lat, lon),
-                         sites.select(site_lat, site_lon), key=key, lat=lat, lon=lon,
-                         site_lat=site_lat, site_lon=site_lon, dist_col="_d", cell=cell)
-    return near.groupBy(key).agg(F.min("_d").alias(out))
+    return _nearest(positions.select(key, lat, lon), sites.select(site_lat, site_lon), [key],
+                    lat, lon, site_lat, site_lon, out, cell, "min")
 
 
 def positions_with_min_distance(positions: DataFrame, sites: DataFrame, *,

@@ -35,7 +35,7 @@ from aerocorr.operators.clean import (
 )
 from aerocorr.operators.geocode import country_filter, enrich_country
 from aerocorr.operators.joins import join_attributes
-from aerocorr.operators.nearest import nearest_within, positions_with_min_distance
+from aerocorr.operators.nearest import min_distance, nearest_within, positions_with_min_distance
 from aerocorr.functions.time import hour_of_day
 from aerocorr.operators.stats import correlation_matrix, grouped_moments, pooled_correlation_matrix
 from aerocorr.sources.sinks import materialize
@@ -122,9 +122,9 @@ def remoteness_study(readings: DataFrame, sites: DataFrame, *, geocode: DataFram
     if geocode is not None:
         pos = country_filter(enrich_country(pos, geocode, on_missing="keep"), country) \
             .select("sensor_id", "lat", "lon")
-    near = positions_with_min_distance(pos, sites.select("latitude", "longitude"), cell=cell)
-    attrs = dedupe_by_key(drop_any_missing(near), "sensor_id", ["lat", "lon"]) \
-        .select("sensor_id", "min_dist")
+    # the sensor-wide minimum is what every position of the sensor carries, so
+    # the join back to positions + one-position-per-sensor step reduce to it
+    attrs = min_distance(pos, sites.select("latitude", "longitude"), cell=cell)
     if persist:
         attrs = materialize(spark, attrs, name="sensor-remoteness")
     groups = per_pos.select("sensor_id", "_n", "_mean", "_var").join(attrs, "sensor_id")
