@@ -79,14 +79,16 @@ def _level0(pos, st, cell, lat, lon, site_lat, site_lon, dist_col):
 def nearest_within(positions: DataFrame, sites: DataFrame, radius: float, *,
                    key: str | list[str] = "sensor_id", lat: str = "lat", lon: str = "lon",
                    site_lat: str = "latitude", site_lon: str = "longitude",
-                   dist_col: str = "dist") -> DataFrame:
+                   dist_col: str = "dist", distinct_sites: bool = True) -> DataFrame:
     """Per key, every site at minimum distance when that distance is strictly
     below ``radius`` (ties kept).  Keys with no site that close are absent.
-    Fully lazy: one grid equi-join, no cross join, no action."""
+    Fully lazy: one grid equi-join, no cross join, no action.
+    ``distinct_sites=False`` skips de-duplicating identical site rows (a
+    shuffle) when the caller de-duplicates downstream anyway."""
     if not radius > 0:
         raise ValueError("radius must be positive")
     keys = [key] if isinstance(key, str) else list(key)
-    pos, st = _clean_sides(positions, sites, lat, lon, site_lat, site_lon)
+    pos, st = _clean_sides(positions, sites, lat, lon, site_lat, site_lon, distinct_sites)
     cell = radius * (1 + GUARD)
     cand = _level0(_with_cell(pos, cell, lat, lon), st, cell, lat, lon, site_lat, site_lon, dist_col)
     return _rank1(cand.where(F.col(dist_col) < F.lit(radius)), keys, dist_col)

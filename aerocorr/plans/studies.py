@@ -132,14 +132,15 @@ def remoteness_study(readings: DataFrame, sites: DataFrame, *, geocode: DataFram
 
 
 def settlement_table(positions: DataFrame, cities: DataFrame, *,
-                     radius: float = schemas.CITY_RADIUS, persist: bool = True) -> DataFrame:
+                     radius: float = schemas.CITY_RADIUS, persist: bool = True,
+                     distinct_cities: bool = True) -> DataFrame:
     """Per sensor, the nearest city (ties kept) when it lies strictly within
     ``radius``: ``(sensor_id, lat, lon, geonameid, name, asciiname,
     alternatenames, latitude, longitude, population, elevation, min_dist)``."""
     attrs = cities.select("geonameid", "name", "asciiname", "alternatenames", "latitude",
                           "longitude", "population", F.col("dem").alias("elevation"))
     near = nearest_within(positions.select("sensor_id", "lat", "lon"), attrs, radius,
-                          dist_col="min_dist")
+                          dist_col="min_dist", distinct_sites=distinct_cities)
     if persist:
         near = materialize(positions.sparkSession, near, name="nearest-city")
     return near
@@ -169,14 +170,17 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
         if persist:
             vals = materialize(readings.sparkSession, vals, name="position-values")
         pos = vals.select("sensor_id", "lat", "lon").distinct()
-        avg = vals.where(F.col("avg_p").isNotNull()).select("sensor_id", "avg_p").distinct()
+        avg = vals.where(F.col("avg_p").isNotNull()).select("sensor_id", "avg_p")
     elif strategy in ("pre-aggregate", "join"):
         pos = positions if positions is not None else distinct_positions(readings)
         ok = readings.where(ok_cond)
         avg = ok.select("sensor_id", avg_particulates(ok))
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    near = settlement_table(pos, cities, radius=radius, persist=persist)
+    # with distinct triples, duplicated city rows or repeated values change
+    # nothing, so neither is de-duplicated on the way
+    near = settlement_table(pos, cities, radius=radius, persist=persist,
+                            distinct_cities=not distinct_rows)
     attrs = near.select("sensor_id", "population", "elevation")
     joined = keep_if_all_present(join_attributes(avg, attrs, "sensor_id", max_broadcast_rows,
                                                  salt_buckets=salt_buckets),
