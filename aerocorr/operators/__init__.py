@@ -9,7 +9,9 @@ from aerocorr.operators.joins import join_attributes, salted_join, size_checked_
 from aerocorr.operators.nearest import (  # noqa: F401
     min_distance, nearest_sites, nearest_within, positions_with_min_distance,
 )
-from aerocorr.operators.stats import correlation_matrix, correlation_matrix_ml  # noqa: F401
+from aerocorr.operators.stats import (  # noqa: F401
+    correlation_matrix, correlation_matrix_ml, grouped_moments, matrix_wide, pooled_correlation_matrix,
+)
 from aerocorr.operators.sampling import exact_sample, random_sample  # noqa: F401
 from aerocorr.operators.geocode import (  # noqa: F401
     country_filter, enrich_country, geocode_table, geocode_worklist, parse_responses,

@@ -122,3 +122,12 @@ def pooled_correlation_matrix(groups: DataFrame, value: str, attr: str, *, n: st
         F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
                  fmt(r).cast("double").alias("r"), F.col("_N").alias("n"))
         for a, b, r in cells])))
+
+
+def matrix_wide(matrix: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The long-form matrix as ``k`` rows ``(col_a, <c1>, ..., <ck>)`` - the
+    layout of a printed correlation matrix.  The pivot values are given, so
+    no extra pass discovers them."""
+    cols = list(columns)
+    wide = matrix.groupBy("col_a").pivot("col_b", cols).agg(F.first("r"))
+    return wide.select("col_a", *cols)

@@ -74,8 +74,9 @@ DIST = "sqrt((lat - latitude) * (lat - latitude) + (lon - longitude) * (lon - lo
 MIN_DIST_CTE = f"md AS (SELECT sensor_id, min({DIST}) AS min_dist FROM pos, site GROUP BY sensor_id)"
 
 
-def corr_sql(src: str, cols: list[str], digits: int = DIGITS) -> str:
-    """Tail of a WITH query: long-form matrix over complete cases of ``src``."""
+def corr_sql(src: str, cols: list[str], digits: int = DIGITS, as_cte: str | None = None) -> str:
+    """Tail of a WITH query: long-form matrix over complete cases of ``src``
+    (or, with ``as_cte``, the CTEs defining it under that name)."""
     complete = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in cols)
     aggs = ["count(*) AS n"]
     for i, c in enumerate(cols):
@@ -92,8 +93,11 @@ def corr_sql(src: str, cols: list[str], digits: int = DIGITS) -> str:
                 lo, hi = min(i, j), max(i, j)
                 r = f"round(c{lo}_{hi} / nullif(s{i} * s{j}, 0), {digits})"
             parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, CAST({r} AS DOUBLE) AS r, n FROM mom")
-    return (f"cc AS (SELECT * FROM {src} WHERE {complete}),\n"
-            f"mom AS (SELECT {', '.join(aggs)} FROM cc)\n" + "\nUNION ALL ".join(parts))
+    head = (f"cc AS (SELECT * FROM {src} WHERE {complete}),\n"
+            f"mom AS (SELECT {', '.join(aggs)} FROM cc)")
+    if as_cte:
+        return head + f",\n{as_cte} AS (" + "\nUNION ALL ".join(parts) + ")"
+    return head + "\n" + "\nUNION ALL ".join(parts)
 
 
 def with_(*ctes: str) -> str:
@@ -147,6 +151,20 @@ def remoteness_corr_rows(spark: SparkSession, sf: str) -> DataFrame:
                                     strategy="join")
 
 
+def wide_sql(src: str, cols: list[str]) -> str:
+    """Tail of a WITH query: the long-form matrix of ``src`` pivoted wide."""
+    picks = ", ".join(f"max(CASE WHEN col_b = '{c}' THEN r END) AS {c}" for c in cols)
+    return (corr_sql(src, cols, as_cte="lng")
+            + f"\nSELECT col_a, {picks} FROM lng GROUP BY col_a")
+
+
+@query("remoteness_corr_wide", with_(*REMOTENESS_ROWS_SQL, wide_sql("j", ["avg_p", "min_dist"])))
+def remoteness_corr_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """The flagship matrix laid out as the printed 2x2 matrix."""
+    m = studies.remoteness_study(_readings(spark, sf), B.sites(spark, sf), digits=DIGITS)
+    return stats.matrix_wide(m, ["avg_p", "min_dist"])
+
+
 SETTLEMENT_ROWS_SQL = [
     READINGS_CTE, POS_CTE, CITY_CTE,
     f"""d AS (SELECT sensor_id, geonameid, population, elevation, {DIST} AS dist FROM pos, city)""",
