@@ -12,9 +12,12 @@ edges), which makes the search exact:
   whose best candidate lies within the level's guaranteed radius is exact
   (every pair that could beat or tie it was a candidate).  The remaining
   sensors run phase 1 at a per-sensor coarser level whose guaranteed radius
-  covers an upper bound of their nearest distance (their best phase-0
-  candidate, or the distance to the farthest corner of the sites' bounding
-  box), so again every pair that could beat or tie it is a candidate.
+  covers an upper bound of their nearest distance, so again every pair that
+  could beat or tie it is a candidate.  The bound is the best phase-0
+  candidate; a sensor with none probes one representative site per cell,
+  level by level, and takes the nearest representative (a real site) as its
+  bound, so a sensor far from every site still meets only the sites around
+  its nearest ones rather than all of them.
 
 Ties are kept (``rank() == 1`` per key), which Spark plans as a
 WindowGroupLimit that already trims candidates before the shuffle.  NULL
@@ -49,29 +52,34 @@ def _clean_sides(positions, sites, lat, lon, site_lat, site_lon, distinct_sites=
     return pos, (st.distinct() if distinct_sites else st)
 
 
+def _block():
+    """The 3x3 block of cell offsets around a cell."""
+    return F.array(*[F.struct(F.lit(dx).alias("_dx"), F.lit(dy).alias("_dy"))
+                     for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+
+
 def _offsets(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Replicate every row into the 3x3 block of cells around ``(x, y)``."""
-    d = F.sequence(F.lit(-1), F.lit(1))
-    return (df.withColumn("_dx", F.explode(d)).withColumn("_dy", F.explode(d))
-              .withColumn(x, F.col(x) + F.col("_dx"))
-              .withColumn(y, F.col(y) + F.col("_dy"))
-              .drop("_dx", "_dy"))
+    """Replicate every row into the 3x3 block of cells around ``(x, y)``
+    (one generator, one projection)."""
+    rest = [c for c in df.columns if c not in (x, y)]
+    return (df.select("*", F.inline(_block()))
+              .select(*rest, (F.col(x) + F.col("_dx")).alias(x), (F.col(y) + F.col("_dy")).alias(y)))
 
 
 def _rank1(df: DataFrame, key: list[str], dist_col: str) -> DataFrame:
     w = Window.partitionBy(*key).orderBy(F.col(dist_col))
-    return df.withColumn("_rk", F.rank().over(w)).where(F.col("_rk") == 1).drop("_rk")
+    cols = df.columns
+    return df.select("*", F.rank().over(w).alias("_rk")).where(F.col("_rk") == 1).select(*cols)
 
 
 def _with_cell(pos, cell, lat, lon):
-    return pos.withColumn("_cx", grid_cell(lat, cell)).withColumn("_cy", grid_cell(lon, cell))
+    return pos.withColumns({"_cx": grid_cell(lat, cell), "_cy": grid_cell(lon, cell)})
 
 
 def _level0(pos, st, cell, lat, lon, site_lat, site_lon, dist_col):
     """``pos`` already carries its level-0 cell ``(_cx, _cy)``."""
     p = pos
-    s = _offsets(st.withColumn("_cx", grid_cell(site_lat, cell))
-                   .withColumn("_cy", grid_cell(site_lon, cell)), "_cx", "_cy")
+    s = _offsets(_with_cell(st, cell, site_lat, site_lon), "_cx", "_cy")
     cand = p.join(s, ["_cx", "_cy"]).drop("_cx", "_cy")
     return cand.withColumn(dist_col, planar_distance(lat, lon, site_lat, site_lon))
 
@@ -138,25 +146,50 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
     # phase 1: keys without a candidate inside the guaranteed radius
     ub = (top0.select(*keys, F.col(dist_col).alias("_ub")) if mode == "min"
           else top0.groupBy(*keys).agg(F.min(dist_col).alias("_ub")))
+
+    def level_of(bound):
+        """Smallest level whose guaranteed radius covers ``bound``."""
+        ratio = bound * F.lit(1 + GUARD) / F.lit(c0)
+        return F.least(F.lit(MAX_LEVEL), F.greatest(
+            F.lit(1), (F.floor(F.log2(F.greatest(ratio, F.lit(1.0)))) + 1).cast("int")))
+
+    def cells(df, x, y):
+        size = F.lit(c0) * F.pow(F.lit(2.0), F.col("_lvl"))
+        return df.withColumns({"_cx": F.floor(F.col(x) / size), "_cy": F.floor(F.col(y) / size)})
+
+    def sites_at(levels):
+        """Sites keyed by their cell at each level in ``levels`` (<= MAX_LEVEL rows)."""
+        lv = st.withColumn("_lvl", F.explode(F.sequence(F.lit(1), F.lit(MAX_LEVEL))))
+        return cells(lv.join(F.broadcast(levels), "_lvl", "left_semi"), site_lat, site_lon)
+
     far_lat = F.greatest(F.abs(F.col(lat) - F.lit(ext["lat0"])), F.abs(F.col(lat) - F.lit(ext["lat1"])))
     far_lon = F.greatest(F.abs(F.col(lon) - F.lit(ext["lon0"])), F.abs(F.col(lon) - F.lit(ext["lon1"])))
-    bound = F.coalesce(F.col("_ub"), F.sqrt(far_lat * far_lat + far_lon * far_lon))
-    ratio = bound * F.lit(1 + GUARD) / F.lit(c0)
-    level = F.least(F.lit(MAX_LEVEL),
-                    F.greatest(F.lit(1), (F.floor(F.log2(F.greatest(ratio, F.lit(1.0)))) + 1).cast("int")))
+    far = F.sqrt(far_lat * far_lat + far_lon * far_lon)  # no site is farther from the position
     unres = (pos.join(ub, keys, "left")
                 .where(F.col("_ub").isNull() | (F.col("_ub") > F.lit(r0)))
-                .withColumn("_lvl", level).drop("_ub", "_cx", "_cy"))
-    size = F.lit(c0) * F.pow(F.lit(2.0), F.col("_lvl"))
-    p1 = _offsets(unres.withColumn("_cx", F.floor(F.col(lat) / size))
-                       .withColumn("_cy", F.floor(F.col(lon) / size)), "_cx", "_cy")
-    # sites at every level some unresolved position needs (<= MAX_LEVEL rows)
-    needed = F.broadcast(unres.select("_lvl").distinct())
-    s1 = (st.withColumn("_lvl", F.explode(F.sequence(F.lit(1), F.lit(MAX_LEVEL))))
-            .join(needed, "_lvl", "left_semi"))
-    size_s = F.lit(c0) * F.pow(F.lit(2.0), F.col("_lvl"))
-    s1 = (s1.withColumn("_cx", F.floor(F.col(site_lat) / size_s))
-            .withColumn("_cy", F.floor(F.col(site_lon) / size_s)))
+                .drop("_cx", "_cy"))
+
+    # A key with no phase-0 candidate at all gets a real-site bound first: one
+    # representative site per non-empty cell and level, probed in the 3x3
+    # blocks of every level up to the one that covers the whole site box.
+    # This keeps far-away sensors from meeting every site in the exact pass.
+    lost = unres.where(F.col("_ub").isNull()).select(*keys, lat, lon, level_of(far).alias("_top"))
+    probe = _offsets(cells(lost.withColumn("_lvl", F.explode(F.sequence(F.lit(1), F.col("_top")))),
+                           lat, lon), "_cx", "_cy")
+    reps = (sites_at(probe.select("_lvl").distinct())
+            .groupBy("_lvl", "_cx", "_cy")
+            .agg(F.min(site_lat).alias("_rlat"), F.min_by(site_lon, site_lat).alias("_rlon")))
+    rep_ub = (probe.join(reps, ["_lvl", "_cx", "_cy"])
+                   .withColumn("_rd", planar_distance(lat, lon, "_rlat", "_rlon"))
+                   .groupBy(*keys).agg(F.min("_rd").alias("_rub")))
+    unres = (unres.join(rep_ub, keys, "left")
+                  .withColumn("_lvl", level_of(F.coalesce(F.col("_ub"), F.col("_rub"), far)))
+                  .drop("_ub", "_rub"))
+
+    # exact pass at each key's level: every pair that could beat or tie the
+    # bound is a candidate
+    p1 = _offsets(cells(unres, lat, lon), "_cx", "_cy")
+    s1 = sites_at(unres.select("_lvl").distinct())
     cand1 = (p1.join(s1, ["_lvl", "_cx", "_cy"]).drop("_lvl", "_cx", "_cy")
                .withColumn(dist_col, planar_distance(lat, lon, site_lat, site_lon)))
     return done0.unionByName(best(cand1))

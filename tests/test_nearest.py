@@ -114,3 +114,19 @@ def test_no_cross_join_in_plan(spark):
     for df in (nearest.nearest_sites(p, s), nearest.nearest_within(p, s, 0.5)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_clustered_sites_and_far_sensors(spark):
+    rnd = random.Random(42)
+    sites = [(i, 50.0 + rnd.randrange(40) * 0.01, 8.0 + rnd.randrange(40) * 0.01) for i in range(300)]
+    sites += [(900, 10.0, -20.0), (901, -30.0, 60.0)]  # isolated sites far from the cluster
+    pos = [(k, rnd.uniform(-40, 70), rnd.uniform(-30, 80)) for k in range(40)]
+    pos += [(100, 10.5, -19.0), (101, 50.2, 8.1)]
+    p = spark.createDataFrame(pos, "sensor_id long, lat double, lon double")
+    s = spark.createDataFrame(sites, "site_id long, latitude double, longitude double")
+    cols = ["sensor_id", "site_id", "dist"]
+    assert rows(nearest.nearest_sites(p, s), cols) == rows(brute_force(p, s), cols)
+    got = rows(nearest.min_distance(p, s), ["sensor_id", "min_dist"])
+    want = rows(brute_force(p, s).select("sensor_id", F.col("dist").alias("min_dist")).distinct(),
+                ["sensor_id", "min_dist"])
+    assert got == want
