@@ -130,3 +130,15 @@ def test_clustered_sites_and_far_sensors(spark):
     want = rows(brute_force(p, s).select("sensor_id", F.col("dist").alias("min_dist")).distinct(),
                 ["sensor_id", "min_dist"])
     assert got == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_points_on_cell_edges(spark, seed):
+    """Lattice step == cell width: every point sits exactly on grid lines."""
+    p, s = lattice(spark, 200 + seed, 60, 30, step=0.25, span=8)
+    cols = ["sensor_id", "lat", "lon", "site_id", "dist"]
+    want = rows(brute_force(p, s.distinct()), cols)
+    assert rows(nearest.nearest_sites(p, s, cell=0.25), cols) == want
+    assert rows(nearest.nearest_sites(p, s, cell=0.5), cols) == want
+    for r in (0.25, 0.5):  # radius equal to lattice distances: strict bound at the edge
+        assert rows(nearest.nearest_within(p, s, r), cols) == rows(brute_force(p, s.distinct(), r), cols)
