@@ -14,8 +14,6 @@ def hour_of_day(df: DataFrame, column: str = "timestamp") -> Column:
     of failing the job under ANSI mode.  Typed timestamps are used as they are.
     Strings with an explicit offset are read in the session time zone."""
     dtype = df.schema[column].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.hour(F.col(column))
-    if isinstance(dtype, T.DateType):
-        return F.lit(0)
     return F.hour(F.try_to_timestamp(F.col(column).cast("string")))

@@ -38,8 +38,11 @@ MAX_LEVEL = 60      # coarsest phase-1 level: cell = base cell * 2**60
 
 
 def _usable(a: str, b: str):
+    """Finite coordinates (NULL, NaN and infinities never match)."""
+    inf = float("inf")
     return (F.col(a).isNotNull() & F.col(b).isNotNull()
-            & ~F.isnan(F.col(a)) & ~F.isnan(F.col(b)))
+            & ~F.isnan(F.col(a)) & ~F.isnan(F.col(b))
+            & (F.abs(F.col(a)) < F.lit(inf)) & (F.abs(F.col(b)) < F.lit(inf)))
 
 
 def _clean_sides(positions, sites, lat, lon, site_lat, site_lon, distinct_sites=True):

@@ -12,7 +12,7 @@ from aerocorr import schemas
 from aerocorr.config import work_dir
 from aerocorr.plans import studies
 from aerocorr.plans.catalog import (
-    GEO_COUNTRY, MIN_DIST_CTE, POS_CTE, READINGS_CTE, REMOTENESS_ROWS_SQL, SAMPLE_N,
+    DIGITS, GEO_COUNTRY, corr_sql, MIN_DIST_CTE, POS_CTE, READINGS_CTE, REMOTENESS_ROWS_SQL, SAMPLE_N,
     SITE_CTE, query, with_,
 )
 from aerocorr.operators import nearest
@@ -176,3 +176,15 @@ def streaming_position_moments(spark, sf):
     return m.select("sensor_id", "lat", "lon", n.alias("n"),
                     F.round(n * mean, 4).alias("sum_avg_p"),
                     F.round(n * var + n * mean * mean, 6).alias("sumsq_avg_p"))
+
+
+@query("streaming_remoteness_corr", with_(*REMOTENESS_ROWS_SQL, corr_sql("j", ["avg_p", "min_dist"])))
+def streaming_remoteness_corr(spark, sf):
+    """The flagship matrix computed from the moments the streaming job keeps
+    current (several micro-batches merged in its state)."""
+    from aerocorr.streaming import start_position_moments, stream_readings
+    paths = _write_families(spark, sf)
+    out = work_dir(spark, "stream-moments")
+    q = start_position_moments(spark, stream_readings(spark, paths, max_files_per_trigger=2), out)
+    q.awaitTermination()
+    return studies.remoteness_from_moments(spark.read.parquet(out), B.sites(spark, sf), digits=DIGITS)

@@ -118,7 +118,19 @@ def remoteness_study(readings: DataFrame, sites: DataFrame, *, geocode: DataFram
                               avg_particulates(readings), qualifies)
     if persist:
         per_pos = materialize(spark, per_pos, name="position-moments")
-    pos = per_pos.select("sensor_id", "lat", "lon")
+    return remoteness_from_moments(per_pos, sites, geocode=geocode, country=country, cell=cell,
+                                   digits=digits, persist=persist)
+
+
+def remoteness_from_moments(moments: DataFrame, sites: DataFrame, *,
+                            geocode: DataFrame | None = None,
+                            country: str = schemas.COUNTRY_NAME, cell: float | None = None,
+                            digits: int | None = None, persist: bool = True) -> DataFrame:
+    """The remoteness matrix from a per-position moments table
+    ``(sensor_id, lat, lon, _n, _mean, _var)`` of the qualifying ``avg_p``
+    values - the table the readings pass writes, or the one the streaming job
+    (:func:`aerocorr.streaming.start_position_moments`) keeps current."""
+    pos = moments.select("sensor_id", "lat", "lon")
     if geocode is not None:
         pos = country_filter(enrich_country(pos, geocode, on_missing="keep"), country) \
             .select("sensor_id", "lat", "lon")
@@ -126,8 +138,8 @@ def remoteness_study(readings: DataFrame, sites: DataFrame, *, geocode: DataFram
     # the join back to positions + one-position-per-sensor step reduce to it
     attrs = min_distance(pos, sites.select("latitude", "longitude"), cell=cell)
     if persist:
-        attrs = materialize(spark, attrs, name="sensor-remoteness")
-    groups = per_pos.select("sensor_id", "_n", "_mean", "_var").join(attrs, "sensor_id")
+        attrs = materialize(moments.sparkSession, attrs, name="sensor-remoteness")
+    groups = moments.select("sensor_id", "_n", "_mean", "_var").join(attrs, "sensor_id")
     return pooled_correlation_matrix(groups, "avg_p", "min_dist", digits=digits)
 
 
