@@ -4,7 +4,7 @@ Runs each query of ``HEADLINE`` on ``$BENCH_SF_DIR`` (default
 /root/testdata/sf0.1) with ``local[$BENCH_CPUS]`` and prints one JSON line.
 Every query is executed end to end (``noop`` sink, nothing collected); one
 untimed warm-up query absorbs JVM start-up.  Per-query time is the best of
-``$BENCH_REPEAT`` runs (default 2).
+``$BENCH_REPEAT`` runs (default 3).
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or HEADLINE
     spark = local_session(cpus)
     qs = catalog.queries()
