@@ -17,6 +17,7 @@ from aerocorr.functions.keys import basename, coord_key, split_key
 from aerocorr.operators import clean, geocode, nearest, sampling, stats
 from aerocorr.plans import studies
 from aerocorr.sources import bindings as B
+from aerocorr.sources.sinks import materialize
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -114,6 +115,12 @@ def _positions(spark, sf):
     return clean.distinct_positions(_readings(spark, sf))
 
 
+def _stored_positions(spark, sf):
+    """Positions written once: the unbounded search reads them in both of its
+    phases, so they are materialized as the operator's documentation asks."""
+    return materialize(spark, _positions(spark, sf), name="positions")
+
+
 def _city_attrs(spark, sf):
     return B.cities(spark, sf).select("geonameid", "name", "asciiname", "alternatenames",
                                       "latitude", "longitude", "population",
@@ -198,13 +205,13 @@ def settlement_corr_rows(spark: SparkSession, sf: str) -> DataFrame:
 @query("min_distance_to_site", with_(READINGS_CTE, POS_CTE, SITE_CTE, MIN_DIST_CTE)
        + " SELECT sensor_id, min_dist FROM md")
 def min_distance_to_site(spark, sf):
-    return nearest.min_distance(_positions(spark, sf), B.sites(spark, sf))
+    return nearest.min_distance(_stored_positions(spark, sf), B.sites(spark, sf))
 
 
 @query("positions_with_min_distance", with_(READINGS_CTE, POS_CTE, SITE_CTE, MIN_DIST_CTE)
        + " SELECT p.sensor_id, p.lat, p.lon, m.min_dist FROM pos p JOIN md m ON p.sensor_id = m.sensor_id")
 def positions_with_min_distance(spark, sf):
-    return nearest.positions_with_min_distance(_positions(spark, sf), B.sites(spark, sf))
+    return nearest.positions_with_min_distance(_stored_positions(spark, sf), B.sites(spark, sf))
 
 
 @query("nearest_city_ties", with_(READINGS_CTE, POS_CTE, CITY_CTE,
@@ -214,7 +221,7 @@ def positions_with_min_distance(spark, sf):
              WHERE b.sensor_id IS NULL""")
 def nearest_city_ties(spark, sf):
     """Every nearest city per sensor, unbounded, ties kept."""
-    near = nearest.nearest_sites(_positions(spark, sf), _city_attrs(spark, sf))
+    near = nearest.nearest_sites(_stored_positions(spark, sf), _city_attrs(spark, sf))
     return near.select("sensor_id", "geonameid", "dist")
 
 
