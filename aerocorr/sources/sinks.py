@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from aerocorr.config import work_dir
-from aerocorr.operators.sampling import exact_sample
+from aerocorr.operators.sampling import exact_sample, random_sample
 from aerocorr.schemas import SAMPLE_ROWS
 
 
@@ -42,10 +42,19 @@ def materialize(spark: SparkSession, build: Callable[[], DataFrame] | DataFrame,
 
 
 def write_sample_csv(df: DataFrame, path: str, keys: Sequence[str], n: int = SAMPLE_ROWS,
-                     sep: str = ";", expected_rows: int | None = None) -> str:
-    """At most ``n`` rows (the reproducible :func:`exact_sample`) as one CSV
-    file with a header.  Only the bounded sample is collapsed to a single
-    partition."""
-    (exact_sample(df, n, keys, expected_rows=expected_rows).coalesce(1).write.mode("overwrite")
+                     sep: str = ";", expected_rows: int | None = None,
+                     method: str = "hash", seed: int | None = 42) -> str:
+    """At most ``n`` rows as one CSV file with a header.  ``method="hash"``
+    takes the reproducible :func:`exact_sample` (exactly ``min(n, count)``
+    rows on any engine); ``"bernoulli"`` the seeded fraction sample capped at
+    ``n`` (:func:`random_sample`).  Only the bounded sample is collapsed to a
+    single partition."""
+    if method == "hash":
+        sample = exact_sample(df, n, keys, expected_rows=expected_rows)
+    elif method == "bernoulli":
+        sample = random_sample(df, n, seed=seed)
+    else:
+        raise ValueError(f"unknown sampling method {method!r}")
+    (sample.coalesce(1).write.mode("overwrite")
         .option("header", True).option("sep", sep).csv(path))
     return path

@@ -74,3 +74,10 @@ def test_keys_and_basename(spark):
     assert back == [49.636, 8.618]
     bad = spark.createDataFrame([("1.5|x",)], "k string").select(split_key("k").alias("v")).first().v
     assert bad == [1.5, None]
+
+
+def test_sample_csv_bernoulli_bounded(spark, tmp_path):
+    path = str(tmp_path / "b")
+    write_sample_csv(spark.range(500), path, keys=["id"], n=20, method="bernoulli", seed=1)
+    back = spark.read.option("header", True).csv(path)
+    assert 0 < back.count() <= 20
