@@ -11,6 +11,16 @@ from aerocorr.operators.sampling import exact_sample, random_sample
 from aerocorr.schemas import SAMPLE_ROWS
 
 
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether a complete write sits at ``path`` (Spark's commit protocol
+    leaves ``_SUCCESS`` only when every task committed), on whatever file
+    system the path names."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(marker))
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
                   partition_by: Sequence[str] | None = None) -> str:
     writer = df.write.mode(mode)
@@ -31,11 +41,8 @@ def materialize(spark: SparkSession, build: Callable[[], DataFrame] | DataFrame,
     the shared folder named by ``spark.checkpoint.dir`` unless ``path`` says
     otherwise."""
     target = path or work_dir(spark, name)
-    if not refresh:
-        try:
-            return spark.read.parquet(target)
-        except Exception:  # nothing stored yet: build it
-            pass
+    if not refresh and committed(spark, target):
+        return spark.read.parquet(target)
     df = build() if callable(build) else build
     df.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)

@@ -81,3 +81,12 @@ def test_sample_csv_bernoulli_bounded(spark, tmp_path):
     write_sample_csv(spark.range(500), path, keys=["id"], n=20, method="bernoulli", seed=1)
     back = spark.read.option("header", True).csv(path)
     assert 0 < back.count() <= 20
+
+
+def test_materialize_rebuilds_an_uncommitted_table(spark, tmp_path):
+    from aerocorr.sources.sinks import committed
+    path = str(tmp_path / "partial")
+    os.makedirs(os.path.join(path, "_temporary"))  # a write that never committed
+    assert not committed(spark, path)
+    assert materialize(spark, lambda: spark.range(3), path, refresh=False).count() == 3
+    assert committed(spark, path)
