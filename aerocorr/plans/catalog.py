@@ -165,6 +165,24 @@ def wide_sql(src: str, cols: list[str]) -> str:
             + f"\nSELECT col_a, {picks} FROM lng GROUP BY col_a")
 
 
+REMOTENESS_COUNTRY_SQL = [
+    READINGS_CTE, POS_CTE, SITE_CTE, "GEOCTE",
+    f"""posg AS (SELECT p.sensor_id, p.lat, p.lon FROM pos p LEFT JOIN geo g USING (lat, lon)
+            WHERE coalesce(g.country, 'error') IN ('{GEO_COUNTRY}', 'error'))""",
+    f"md AS (SELECT sensor_id, min({DIST}) AS min_dist FROM posg, site GROUP BY sensor_id)",
+    """near AS (SELECT p.sensor_id, p.lat, p.lon, m.min_dist FROM posg p JOIN md m ON p.sensor_id = m.sensor_id)""",
+] + REMOTENESS_ROWS_SQL[5:]
+
+
+@query("remoteness_corr_country", None)
+def remoteness_corr_country(spark: SparkSession, sf: str) -> DataFrame:
+    """The flagship restricted to sensors geocoded in one country, keeping
+    sensors whose coordinates have no geocode answer yet (fail-open)."""
+    return studies.remoteness_study(_readings(spark, sf), B.sites(spark, sf),
+                                    geocode=B.geocoded(spark, sf), country=GEO_COUNTRY,
+                                    digits=DIGITS)
+
+
 @query("remoteness_corr_wide", with_(*REMOTENESS_ROWS_SQL, wide_sql("j", ["avg_p", "min_dist"])))
 def remoteness_corr_wide(spark: SparkSession, sf: str) -> DataFrame:
     """The flagship matrix laid out as the printed 2x2 matrix."""
@@ -478,6 +496,11 @@ def ml_corr_matrix(spark, sf):
     return stats.correlation_matrix(_null_values(spark, sf), ["x", "y", "h"], digits=DIGITS)
 
 
+ORACLE["remoteness_corr_country"] = with_(
+    *[GEO_CTE if c == "GEOCTE" else c for c in REMOTENESS_COUNTRY_SQL],
+    corr_sql("j", ["avg_p", "min_dist"]))
+
+
 def queries() -> dict[str, QueryFn]:
     # connectors register themselves on import
     from aerocorr.plans import connectors  # noqa: F401
