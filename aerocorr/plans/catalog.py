@@ -218,6 +218,18 @@ def settlement_corr_rows(spark: SparkSession, sf: str) -> DataFrame:
                                     radius=SETTLEMENT_RADIUS, digits=DIGITS, strategy="join")
 
 
+@query("settlement_corr_country", None)
+def settlement_corr_country(spark: SparkSession, sf: str) -> DataFrame:
+    """The settlement matrix over the sensors of the country-filtered
+    nearest-site table (positions with a site distance), as the second study
+    takes them from the first."""
+    rd = _readings(spark, sf)
+    sensors = studies.remoteness_table(rd, B.sites(spark, sf), geocode=B.geocoded(spark, sf),
+                                       country=GEO_COUNTRY)
+    return studies.settlement_study(rd, B.cities(spark, sf), positions=sensors,
+                                    radius=SETTLEMENT_RADIUS, digits=DIGITS)
+
+
 # --- nearest sites ----------------------------------------------------------------
 
 @query("min_distance_to_site", with_(READINGS_CTE, POS_CTE, SITE_CTE, MIN_DIST_CTE)
@@ -501,6 +513,15 @@ ORACLE["remoteness_corr_country"] = with_(
     corr_sql("j", ["avg_p", "min_dist"]))
 
 
+ORACLE["settlement_corr_country"] = with_(
+    *[GEO_CTE if c == "GEOCTE" else c for c in REMOTENESS_COUNTRY_SQL[:7]],
+    CITY_CTE,
+    f"""d AS (SELECT p.sensor_id, geonameid, population, elevation, {DIST} AS dist
+          FROM near p, city)""",
+    *SETTLEMENT_ROWS_SQL[4:],
+    corr_sql("j", ["avg_p", "population", "elevation"]))
+
+
 def queries() -> dict[str, QueryFn]:
     # connectors register themselves on import
     from aerocorr.plans import connectors  # noqa: F401
