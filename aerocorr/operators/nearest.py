@@ -122,6 +122,28 @@ def auto_cell(n: int, lat0: float, lat1: float, lon0: float, lon1: float) -> flo
     return 1.5 * span / math.sqrt(max(n, 1))
 
 
+CELL_CAP = 64       # most distinct site positions the automatic base cell lets one cell hold
+CELL_HALVINGS = 6   # candidate widths tried: auto_cell / 2**0 .. 2**5
+
+
+def capped_cell(st: DataFrame, site_lat: str, site_lon: str, start: float,
+                cap: int = CELL_CAP, halvings: int = CELL_HALVINGS) -> float:
+    """The widest of ``start / 2**k`` whose densest cell holds at most ``cap``
+    distinct site positions (the narrowest tried if none does).  One aggregate
+    over the sites measures all candidate widths, so clustered sites cannot
+    put a hot cell in front of every nearby position."""
+    sizes = [start / 2 ** k for k in range(halvings)]
+    pts = st.select(F.col(site_lat).alias("_a"), F.col(site_lon).alias("_b")).distinct()
+    lv = pts.select("*", F.posexplode(F.array(*[F.lit(c) for c in sizes])).alias("_k", "_c"))
+    occ = (lv.groupBy("_k", F.floor(F.col("_a") / F.col("_c")), F.floor(F.col("_b") / F.col("_c")))
+             .count().groupBy("_k").agg(F.max("count").alias("_m")))
+    worst = {r["_k"]: r["_m"] for r in occ.collect()}  # one row per candidate width
+    for k, c in enumerate(sizes):
+        if worst.get(k, 0) <= cap:
+            return c
+    return sizes[-1]
+
+
 def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, mode):
     """Exact two-phase search; ``mode="ties"`` returns every nearest pair,
     ``mode="min"`` only ``(keys, dist_col)`` (a partial ``min`` per phase, no
@@ -129,8 +151,13 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
     pos, raw = _clean_sides(positions, sites, lat, lon, site_lat, site_lon, distinct_sites=False)
     ext = _site_extent(raw, site_lat, site_lon)  # one stage: no de-duplication needed here
     st = raw.distinct() if mode == "ties" else raw
-    c0 = float(cell) if cell else auto_cell(ext["n"] or 0, ext["lat0"] or 0.0, ext["lat1"] or 0.0,
-                                             ext["lon0"] or 0.0, ext["lon1"] or 0.0)
+    if cell:
+        c0 = float(cell)
+    else:
+        c0 = auto_cell(ext["n"] or 0, ext["lat0"] or 0.0, ext["lat1"] or 0.0,
+                       ext["lon0"] or 0.0, ext["lon1"] or 0.0)
+        if ext["n"]:
+            c0 = capped_cell(raw, site_lat, site_lon, c0)
 
     def best(cand):
         if mode == "ties":
@@ -206,8 +233,8 @@ def nearest_sites(positions: DataFrame, sites: DataFrame, *,
     positions (ties kept), unbounded.  Output: position columns, site columns
     and ``dist_col``.
 
-    Runs one small aggregate over ``sites`` (count and bounding box); the rest
-    is lazy.  ``positions`` feeds both phases from one frame (Spark reuses the
+    Runs two small aggregates over ``sites`` (count and bounding box; cell
+    occupancy at the candidate base widths); the rest is lazy.  ``positions`` feeds both phases from one frame (Spark reuses the
     exchange); pass a materialized table when it is expensive to derive."""
     keys = [key] if isinstance(key, str) else list(key)
     return _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, "ties")

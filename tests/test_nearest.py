@@ -142,3 +142,17 @@ def test_points_on_cell_edges(spark, seed):
     assert rows(nearest.nearest_sites(p, s, cell=0.5), cols) == want
     for r in (0.25, 0.5):  # radius equal to lattice distances: strict bound at the edge
         assert rows(nearest.nearest_within(p, s, r), cols) == rows(brute_force(p, s.distinct(), r), cols)
+
+
+def test_capped_cell_splits_a_hot_cluster(spark):
+    rnd = random.Random(9)
+    sites = [(i, 50.0 + rnd.random() * 0.05, 8.0 + rnd.random() * 0.05) for i in range(600)]
+    sites += [(1000 + i, rnd.uniform(45, 55), rnd.uniform(5, 15)) for i in range(60)]
+    s = spark.createDataFrame(sites, "site_id long, latitude double, longitude double")
+    start = nearest.auto_cell(660, 45.0, 55.0, 5.0, 15.0)
+    c = nearest.capped_cell(s, "latitude", "longitude", start)
+    assert c < start
+    p = spark.createDataFrame([(k, 50.0 + rnd.uniform(-1, 1), 8.0 + rnd.uniform(-1, 1)) for k in range(30)],
+                              "sensor_id long, lat double, lon double")
+    cols = ["sensor_id", "site_id", "dist"]
+    assert rows(nearest.nearest_sites(p, s), cols) == rows(brute_force(p, s), cols)
