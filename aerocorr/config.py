@@ -40,7 +40,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app: str = "aerocorr") -> SparkSession:
     """Session used by tests and the bench: UI off, AQE on, UTC."""
-    parts = shuffle_partitions or (int(cores) * 2 if str(cores).isdigit() else 16)
+    # local runs: one shuffle partition per core (the shuffles here are
+    # post-aggregation and small); clusters size them with cluster_conf()
+    parts = shuffle_partitions or int(os.environ.get("AEROCORR_SHUFFLE_PARTITIONS", 0)) or (
+        int(cores) if str(cores).isdigit() else 8)
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
