@@ -156,7 +156,7 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
     else:
         c0 = auto_cell(ext["n"] or 0, ext["lat0"] or 0.0, ext["lat1"] or 0.0,
                        ext["lon0"] or 0.0, ext["lon1"] or 0.0)
-        if ext["n"]:
+        if ext["n"] and ext["n"] > CELL_CAP:  # fewer sites cannot overfill a cell
             c0 = capped_cell(raw, site_lat, site_lon, c0)
 
     def best(cand):
