@@ -1,0 +1,63 @@
+"""Property-based checks (hypothesis) against brute force."""
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F, Window
+
+from aerocorr.functions.geo import planar_distance
+from aerocorr.operators import nearest, stats
+
+SETTINGS = settings(max_examples=6, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+coord = st.integers(min_value=-24, max_value=24).map(lambda k: k * 0.125)
+points = st.lists(st.tuples(coord, coord), min_size=1, max_size=25)
+
+
+def _frames(spark, pos, sites):
+    p = spark.createDataFrame([(i % 7, a, b) for i, (a, b) in enumerate(pos)],
+                              "sensor_id long, lat double, lon double").distinct()
+    s = spark.createDataFrame([(j, a, b) for j, (a, b) in enumerate(sites)],
+                              "site_id long, latitude double, longitude double")
+    return p, s
+
+
+def _brute(p, s, radius=None):
+    d = p.crossJoin(s).withColumn("dist", planar_distance("lat", "lon", "latitude", "longitude"))
+    top = d.withColumn("_rk", F.rank().over(Window.partitionBy("sensor_id").orderBy("dist"))).where("_rk = 1")
+    return top.where(F.col("dist") < radius) if radius is not None else top
+
+
+def _rows(df, cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+@SETTINGS
+@given(pos=points, sites=points, radius=st.sampled_from([0.125, 0.25, 0.3, 1.0]))
+def test_nearest_within_is_brute_force(spark, pos, sites, radius):
+    p, s = _frames(spark, pos, sites)
+    cols = ["sensor_id", "lat", "lon", "site_id", "dist"]
+    assert _rows(nearest.nearest_within(p, s, radius), cols) == _rows(_brute(p, s, radius), cols)
+
+
+@SETTINGS
+@given(pos=points, sites=points)
+def test_min_distance_is_brute_force(spark, pos, sites):
+    p, s = _frames(spark, pos, sites)
+    want = _rows(_brute(p, s).select("sensor_id", F.col("dist").alias("min_dist")).distinct(),
+                 ["sensor_id", "min_dist"])
+    assert _rows(nearest.min_distance(p, s), ["sensor_id", "min_dist"]) == want
+
+
+@SETTINGS
+@given(xs=st.lists(st.tuples(st.floats(-1e3, 1e3), st.floats(-1e3, 1e3)), min_size=3, max_size=40),
+       a=st.floats(0.5, 50.0), b=st.floats(-100.0, 100.0))
+def test_correlation_affine_invariance(spark, xs, a, b):
+    df = spark.createDataFrame(xs, "x double, y double")
+    base = {(r.col_a, r.col_b): r.r for r in stats.correlation_matrix(df, ["x", "y"]).collect()}
+    moved = df.select((F.col("x") * a + b).alias("x"), (F.col("y") * -a).alias("y"))
+    got = {(r.col_a, r.col_b): r.r for r in stats.correlation_matrix(moved, ["x", "y"]).collect()}
+    r0, r1 = base[("x", "y")], got[("x", "y")]
+    if r0 is None or r1 is None:
+        return  # a constant column (before or after rounding) has no r; covered elsewhere
+    assert r1 == pytest.approx(-r0, abs=1e-6)
