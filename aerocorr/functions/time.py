@@ -17,3 +17,15 @@ def hour_of_day(df: DataFrame, column: str = "timestamp") -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.hour(F.col(column))
     return F.hour(F.try_to_timestamp(F.col(column).cast("string")))
+
+
+STORED_HOUR = "hour_of_day"
+
+
+def reading_hour(df: DataFrame, column: str = "timestamp", stored: str = STORED_HOUR) -> Column:
+    """The reading's hour: the integer column the landing jobs store once
+    (a plain column the Parquet scan can filter on), else computed from
+    ``column``."""
+    if stored in df.columns:
+        return F.col(stored)
+    return hour_of_day(df, column)

@@ -59,7 +59,11 @@ def daytime_filter(df: DataFrame, column: str = "timestamp",
                    hour_col: str | None = "hour_of_day") -> DataFrame:
     """Keep rows whose hour of day is within ``[first_hour, last_hour]``;
     unparsable or NULL times drop.  ``hour_col`` names the added column
-    (``None`` to not keep it)."""
+    (``None`` to not keep it).  A table that already stores ``hour_col`` (the
+    landed readings) is filtered on it directly, which the Parquet scan can
+    push down."""
+    if hour_col and hour_col in df.columns:
+        return df.where(F.col(hour_col).between(first_hour, last_hour))
     h = hour_of_day(df, column)
     if hour_col:
         out = df.withColumn(hour_col, h)

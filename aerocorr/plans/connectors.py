@@ -24,7 +24,8 @@ from aerocorr.sources.readings import read_landed, read_readings
 from aerocorr.sources.sinks import materialize, write_sample_csv
 from aerocorr.sources.sites import read_sites
 
-LANDED_SCHEMA = T.StructType(schemas.READING_SCHEMA.fields + [T.StructField("month", T.StringType())])
+LANDED_SCHEMA = T.StructType(schemas.READING_SCHEMA.fields + [
+    T.StructField("hour_of_day", T.IntegerType()), T.StructField("month", T.StringType())])
 SAMPLE_SCHEMA = "reading_id BIGINT, sensor_id BIGINT, avg_p DOUBLE, min_dist DOUBLE"
 
 

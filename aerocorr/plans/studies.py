@@ -36,7 +36,7 @@ from aerocorr.operators.clean import (
 from aerocorr.operators.geocode import country_filter, enrich_country
 from aerocorr.operators.joins import join_attributes
 from aerocorr.operators.nearest import min_distance, nearest_within, positions_with_min_distance
-from aerocorr.functions.time import hour_of_day
+from aerocorr.functions.time import reading_hour
 from aerocorr.operators.stats import correlation_matrix, grouped_moments, pooled_correlation_matrix
 from aerocorr.sources.sinks import materialize
 
@@ -113,7 +113,7 @@ def remoteness_study(readings: DataFrame, sites: DataFrame, *, geocode: DataFram
         raise ValueError(f"unknown strategy {strategy!r}")
     spark = readings.sparkSession
     qualifies = ((F.col("P1") < F.lit(max_value)) & (F.col("P2") < F.lit(max_value))
-                 & hour_of_day(readings, "timestamp").between(first_hour, last_hour))
+                 & reading_hour(readings).between(first_hour, last_hour))
     per_pos = grouped_moments(readings, ["sensor_id", "lat", "lon"],
                               avg_particulates(readings), qualifies)
     if persist:

@@ -27,9 +27,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aerocorr import schemas
 from aerocorr.config import work_dir
-from aerocorr.functions.time import hour_of_day
+from aerocorr.functions.time import reading_hour
 from aerocorr.operators.clean import avg_particulates, canonicalize
 from aerocorr.operators.stats import grouped_moments
+from aerocorr.sources.landing import with_stored_hour
 
 
 def stream_readings(spark: SparkSession, sources: Mapping[int, str],
@@ -52,7 +53,9 @@ def with_month(df: DataFrame, column: str = "timestamp") -> DataFrame:
 
 def start_landing(spark: SparkSession, sources: Mapping[int, str], out: str,
                   checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    stream = with_month(stream_readings(spark, sources))
+    """Landed rows carry ``month`` (the partition) and the integer
+    ``hour_of_day`` parsed once, like :func:`aerocorr.sources.landing.land`."""
+    stream = with_stored_hour(with_month(stream_readings(spark, sources)))
     writer = (stream.writeStream.format("parquet").outputMode("append")
               .partitionBy("family", "month")
               .option("checkpointLocation", checkpoint or work_dir(spark, "landing-ckpt")))
@@ -69,7 +72,7 @@ def start_position_moments(spark: SparkSession, readings: DataFrame, out: str,
     """Maintain ``(sensor_id, lat, lon, _n, _mean, _var)`` under ``out``."""
     qualifies = (F.col("P1") < F.lit(max_value)) & (F.col("P2") < F.lit(max_value))
     if daytime:
-        qualifies = qualifies & hour_of_day(readings, "timestamp").between(first_hour, last_hour)
+        qualifies = qualifies & reading_hour(readings).between(first_hour, last_hour)
     moments = grouped_moments(readings, ["sensor_id", "lat", "lon"], avg_particulates(readings),
                               qualifies)
 

@@ -90,3 +90,23 @@ def test_materialize_rebuilds_an_uncommitted_table(spark, tmp_path):
     assert not committed(spark, path)
     assert materialize(spark, lambda: spark.range(3), path, refresh=False).count() == 3
     assert committed(spark, path)
+
+
+def test_landed_hour_is_stored_and_pruned(spark, tmp_path):
+    from aerocorr.operators.clean import daytime_filter
+    raw = str(tmp_path / "raw")
+    spark.createDataFrame([(1, 50.0, 7.0, "2018-01-01 05:00:00", 3.0, 4.0),
+                           (1, 50.0, 7.0, "2018-01-01 07:00:00", 5.0, 6.0)],
+                          "sensor_id int, lat double, lon double, timestamp string, P1 double, P2 double"
+                          ).coalesce(1).write.parquet(raw)
+    files = spark.read.parquet(raw).inputFiles()
+    manifest = spark.createDataFrame([(f, 1, "2018-01") for f in files], "path string, family int, month string")
+    out = str(tmp_path / "landed")
+    land(spark, manifest, out)
+    landed = read_landed(spark, out)
+    assert sorted(r.hour_of_day for r in landed.collect()) == [5, 7]
+    day = daytime_filter(landed.where("month = '2018-01'"))
+    assert [r.P1 for r in day.collect()] == [5.0]
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+    assert "GreaterThanOrEqual(hour_of_day,6)" in plan  # pushed to the Parquet scan
