@@ -189,3 +189,15 @@ def streaming_remoteness_corr(spark, sf):
     q = start_position_moments(spark, stream_readings(spark, paths, max_files_per_trigger=2), out)
     q.awaitTermination()
     return studies.remoteness_from_moments(spark.read.parquet(out), B.sites(spark, sf), digits=DIGITS)
+
+
+@query("remoteness_corr_landed", with_(*REMOTENESS_ROWS_SQL, corr_sql("j", ["avg_p", "min_dist"])))
+def remoteness_corr_landed(spark, sf):
+    """Land once, study many: the flagship over the landed, partitioned table,
+    filtering on the hour stored at landing."""
+    paths = _write_families(spark, sf)
+    entries = [(f, fam, "2024-01") for fam, p in paths.items() for f in spark.read.parquet(p).inputFiles()]
+    out = work_dir(spark, "landed")
+    land(spark, spark.createDataFrame(entries, "path string, family int, month string"), out)
+    readings = read_landed(spark, out, schema=LANDED_SCHEMA)
+    return studies.remoteness_study(readings, B.sites(spark, sf), digits=DIGITS)
