@@ -105,14 +105,6 @@ def nearest_within(positions: DataFrame, sites: DataFrame, radius: float, *,
     return _rank1(cand.where(F.col(dist_col) < F.lit(radius)), keys, dist_col)
 
 
-def _site_extent(st: DataFrame, site_lat: str, site_lon: str):
-    """One small aggregate over the sites (a dimension table): count and
-    bounding box (the count only sizes the base cell)."""
-    return st.agg(F.count(F.lit(1)).alias("n"),
-                  F.min(site_lat).alias("lat0"), F.max(site_lat).alias("lat1"),
-                  F.min(site_lon).alias("lon0"), F.max(site_lon).alias("lon1")).first()
-
-
 def auto_cell(n: int, lat0: float, lat1: float, lon0: float, lon1: float) -> float:
     """Base cell width: about 1.5x the mean site spacing, so a 3x3 block holds
     a couple of dozen sites on average."""
@@ -122,42 +114,57 @@ def auto_cell(n: int, lat0: float, lat1: float, lon0: float, lon1: float) -> flo
     return 1.5 * span / math.sqrt(max(n, 1))
 
 
-CELL_CAP = 64       # most distinct site positions the automatic base cell lets one cell hold
-CELL_HALVINGS = 6   # candidate widths tried: auto_cell / 2**0 .. 2**5
-
-
-def capped_cell(st: DataFrame, site_lat: str, site_lon: str, start: float,
-                cap: int = CELL_CAP, halvings: int = CELL_HALVINGS) -> float:
-    """The widest of ``start / 2**k`` whose densest cell holds at most ``cap``
-    distinct site positions (the narrowest tried if none does).  One aggregate
-    over the sites measures all candidate widths, so clustered sites cannot
-    put a hot cell in front of every nearby position."""
-    sizes = [start / 2 ** k for k in range(halvings)]
-    pts = st.select(F.col(site_lat).alias("_a"), F.col(site_lon).alias("_b")).distinct()
-    lv = pts.select("*", F.posexplode(F.array(*[F.lit(c) for c in sizes])).alias("_k", "_c"))
-    occ = (lv.groupBy("_k", F.floor(F.col("_a") / F.col("_c")), F.floor(F.col("_b") / F.col("_c")))
-             .count().groupBy("_k").agg(F.max("count").alias("_m")))
-    worst = {r["_k"]: r["_m"] for r in occ.collect()}  # one row per candidate width
-    for k, c in enumerate(sizes):
-        if worst.get(k, 0) <= cap:
-            return c
-    return sizes[-1]
-
-
-def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, mode):
+CELL_CAP = 64                 # most distinct site positions one automatic cell may hold
+LADDER = range(-20, 11)       # candidate base widths 2**-20 .. 2**10 (exact in binary)
+
+
+def site_profile(st: DataFrame, site_lat: str, site_lon: str) -> dict:
+    """One aggregate over the sites (a dimension table): row count, bounding
+    box, and the occupancy of the densest cell at every width of ``LADDER``."""
+    pts = st.groupBy(F.col(site_lat).alias("_a"), F.col(site_lon).alias("_b")).agg(
+        F.count(F.lit(1)).alias("_w"))
+    lv = pts.select("*", F.explode(F.array(*[F.lit(k) for k in LADDER])).alias("_k"))
+    size = F.pow(F.lit(2.0), F.col("_k"))
+    cells = (lv.groupBy("_k", F.floor(F.col("_a") / size), F.floor(F.col("_b") / size))
+               .agg(F.count(F.lit(1)).alias("_c"), F.sum("_w").alias("_n"),
+                    F.min("_a").alias("_a0"), F.max("_a").alias("_a1"),
+                    F.min("_b").alias("_b0"), F.max("_b").alias("_b1")))
+    per_k = cells.groupBy("_k").agg(
+        F.max("_c").alias("worst"), F.sum("_n").alias("n"), F.min("_a0").alias("lat0"),
+        F.max("_a1").alias("lat1"), F.min("_b0").alias("lon0"), F.max("_b1").alias("lon1"))
+    rows = per_k.collect()  # one row per ladder width (31)
+    if not rows:
+        return {"n": 0, "lat0": None, "lat1": None, "lon0": None, "lon1": None, "worst": {}}
+    r = rows[0]
+    return {"n": r["n"], "lat0": r["lat0"], "lat1": r["lat1"], "lon0": r["lon0"], "lon1": r["lon1"],
+            "worst": {x["_k"]: x["worst"] for x in rows}}
+
+
+def base_cell(profile: dict, cap: int = CELL_CAP) -> float:
+    """The widest ladder width not above :func:`auto_cell` whose densest cell
+    holds at most ``cap`` distinct site positions (the narrowest width if
+    none does), so clustered sites cannot put a hot cell in front of every
+    nearby position."""
+    start = auto_cell(profile["n"], profile["lat0"], profile["lat1"], profile["lon0"], profile["lon1"])
+    ks = sorted((k for k in LADDER if 2.0 ** k <= start), reverse=True) or [min(LADDER)]
+    for k in ks:
+        if profile["worst"].get(k, 0) <= cap:
+            return 2.0 ** k
+    return 2.0 ** ks[-1]
+
+
+def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, mode,
+             distinct_sites=True):
     """Exact two-phase search; ``mode="ties"`` returns every nearest pair,
     ``mode="min"`` only ``(keys, dist_col)`` (a partial ``min`` per phase, no
     window and no de-duplication of the sites)."""
     pos, raw = _clean_sides(positions, sites, lat, lon, site_lat, site_lon, distinct_sites=False)
-    ext = _site_extent(raw, site_lat, site_lon)  # one stage: no de-duplication needed here
-    st = raw.distinct() if mode == "ties" else raw
-    if cell:
-        c0 = float(cell)
+    ext = site_profile(raw, site_lat, site_lon)  # the only action: one job over the sites
+    st = raw.distinct() if (mode == "ties" and distinct_sites) else raw
+    if not ext["n"]:
+        c0 = float(cell) if cell else 1.0
     else:
-        c0 = auto_cell(ext["n"] or 0, ext["lat0"] or 0.0, ext["lat1"] or 0.0,
-                       ext["lon0"] or 0.0, ext["lon1"] or 0.0)
-        if ext["n"] and ext["n"] > CELL_CAP:  # fewer sites cannot overfill a cell
-            c0 = capped_cell(raw, site_lat, site_lon, c0)
+        c0 = float(cell) if cell else base_cell(ext)
 
     def best(cand):
         if mode == "ties":
@@ -228,16 +235,19 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
 def nearest_sites(positions: DataFrame, sites: DataFrame, *,
                   key: str | list[str] = "sensor_id", lat: str = "lat", lon: str = "lon",
                   site_lat: str = "latitude", site_lon: str = "longitude",
-                  dist_col: str = "dist", cell: float | None = None) -> DataFrame:
+                  dist_col: str = "dist", cell: float | None = None,
+                  distinct_sites: bool = True) -> DataFrame:
     """Per key, every site at the minimum distance over all of the key's
     positions (ties kept), unbounded.  Output: position columns, site columns
-    and ``dist_col``.
+    and ``dist_col``.  ``distinct_sites=False`` skips de-duplicating site
+    rows (a shuffle) when the site table has a key.
 
-    Runs two small aggregates over ``sites`` (count and bounding box; cell
+    Runs one small aggregate over ``sites`` (count, bounding box and cell
     occupancy at the candidate base widths); the rest is lazy.  ``positions`` feeds both phases from one frame (Spark reuses the
     exchange); pass a materialized table when it is expensive to derive."""
     keys = [key] if isinstance(key, str) else list(key)
-    return _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, "ties")
+    return _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, "ties",
+                    distinct_sites)
 
 
 def min_distance(positions: DataFrame, sites: DataFrame, *, key: str = "sensor_id",

@@ -251,7 +251,9 @@ def positions_with_min_distance(spark, sf):
              WHERE b.sensor_id IS NULL""")
 def nearest_city_ties(spark, sf):
     """Every nearest city per sensor, unbounded, ties kept."""
-    near = nearest.nearest_sites(_stored_positions(spark, sf), _city_attrs(spark, sf))
+    # gazetteer rows are keyed by geonameid: no identical rows to collapse
+    near = nearest.nearest_sites(_stored_positions(spark, sf), _city_attrs(spark, sf),
+                                 distinct_sites=False)
     return near.select("sensor_id", "geonameid", "dist")
 
 

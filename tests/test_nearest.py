@@ -149,9 +149,13 @@ def test_capped_cell_splits_a_hot_cluster(spark):
     sites = [(i, 50.0 + rnd.random() * 0.05, 8.0 + rnd.random() * 0.05) for i in range(600)]
     sites += [(1000 + i, rnd.uniform(45, 55), rnd.uniform(5, 15)) for i in range(60)]
     s = spark.createDataFrame(sites, "site_id long, latitude double, longitude double")
-    start = nearest.auto_cell(660, 45.0, 55.0, 5.0, 15.0)
-    c = nearest.capped_cell(s, "latitude", "longitude", start)
-    assert c < start
+    prof = nearest.site_profile(s, "latitude", "longitude")
+    assert prof["n"] == 660
+    start = nearest.auto_cell(prof["n"], prof["lat0"], prof["lat1"], prof["lon0"], prof["lon1"])
+    c = nearest.base_cell(prof)
+    assert c < start / 2  # the uncapped width would put the cluster in one cell
+    k = int(round(__import__("math").log2(c)))
+    assert prof["worst"][k] <= nearest.CELL_CAP
     p = spark.createDataFrame([(k, 50.0 + rnd.uniform(-1, 1), 8.0 + rnd.uniform(-1, 1)) for k in range(30)],
                               "sensor_id long, lat double, lon double")
     cols = ["sensor_id", "site_id", "dist"]
