@@ -90,19 +90,23 @@ def _level0(pos, st, cell, lat, lon, site_lat, site_lon, dist_col):
 def nearest_within(positions: DataFrame, sites: DataFrame, radius: float, *,
                    key: str | list[str] = "sensor_id", lat: str = "lat", lon: str = "lon",
                    site_lat: str = "latitude", site_lon: str = "longitude",
-                   dist_col: str = "dist", distinct_sites: bool = True) -> DataFrame:
+                   dist_col: str = "dist", distinct_sites: bool = True,
+                   cell: float | None = None) -> DataFrame:
     """Per key, every site at minimum distance when that distance is strictly
     below ``radius`` (ties kept).  Keys with no site that close are absent.
-    Fully lazy: one grid equi-join, no cross join, no action.
-    ``distinct_sites=False`` skips de-duplicating identical site rows (a
-    shuffle) when the caller de-duplicates downstream anyway."""
+
+    Where sites are sparse relative to the radius this is one grid equi-join
+    with cells of the radius' width.  Where they are dense, the first pass
+    runs on the finer occupancy-capped cells and only keys left without a
+    resolved candidate take a second pass, bounded by their best candidate
+    or the radius - so a dense cluster is not paired with every position
+    within the radius of it.  ``distinct_sites=False`` skips de-duplicating
+    identical site rows (a shuffle) when the caller de-duplicates anyway."""
     if not radius > 0:
         raise ValueError("radius must be positive")
     keys = [key] if isinstance(key, str) else list(key)
-    pos, st = _clean_sides(positions, sites, lat, lon, site_lat, site_lon, distinct_sites)
-    cell = radius * (1 + GUARD)
-    cand = _level0(_with_cell(pos, cell, lat, lon), st, cell, lat, lon, site_lat, site_lon, dist_col)
-    return _rank1(cand.where(F.col(dist_col) < F.lit(radius)), keys, dist_col)
+    return _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, "ties",
+                    distinct_sites, radius=float(radius))
 
 
 def auto_cell(n: int, lat0: float, lat1: float, lon0: float, lon1: float) -> float:
@@ -154,19 +158,27 @@ def base_cell(profile: dict, cap: int = CELL_CAP) -> float:
 
 
 def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, mode,
-             distinct_sites=True):
+             distinct_sites=True, radius=None):
     """Exact two-phase search; ``mode="ties"`` returns every nearest pair,
     ``mode="min"`` only ``(keys, dist_col)`` (a partial ``min`` per phase, no
-    window and no de-duplication of the sites)."""
+    window and no de-duplication of the sites).  With ``radius`` only pairs
+    strictly closer than it count."""
     pos, raw = _clean_sides(positions, sites, lat, lon, site_lat, site_lon, distinct_sites=False)
     ext = site_profile(raw, site_lat, site_lon)  # the only action: one job over the sites
     st = raw.distinct() if (mode == "ties" and distinct_sites) else raw
-    if not ext["n"]:
-        c0 = float(cell) if cell else 1.0
+    rcell = radius * (1 + GUARD) if radius is not None else None
+    if cell:
+        c0 = float(cell)
+    elif not ext["n"]:
+        c0 = rcell or 1.0
     else:
-        c0 = float(cell) if cell else base_cell(ext)
+        c0 = base_cell(ext) if rcell is None else min(base_cell(ext), rcell)
+
+    def within(df):
+        return df.where(F.col(dist_col) < F.lit(radius)) if radius is not None else df
 
     def best(cand):
+        cand = within(cand)
         if mode == "ties":
             return _rank1(cand, keys, dist_col)
         return cand.groupBy(*keys).agg(F.min(dist_col).alias(dist_col))
@@ -175,9 +187,9 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
     # once and reuses the exchange
     pos = _with_cell(pos, c0, lat, lon)
     top0 = best(_level0(pos, st, c0, lat, lon, site_lat, site_lon, dist_col))
-    if not ext["n"]:
-        return top0  # no sites: empty, with the right schema
     r0 = c0 / (1 + GUARD)
+    if not ext["n"] or (radius is not None and radius <= r0):
+        return top0  # no sites, or the first pass already covered the whole radius
     done0 = top0.where(F.col(dist_col) <= F.lit(r0))
 
     # phase 1: keys without a candidate inside the guaranteed radius
@@ -206,6 +218,16 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
                 .where(F.col("_ub").isNull() | (F.col("_ub") > F.lit(r0)))
                 .drop("_cx", "_cy"))
 
+    if radius is not None:
+        # every pair that matters lies within the radius: it bounds the keys
+        # that found no candidate, the best candidate bounds the others
+        unres = unres.withColumn("_lvl", level_of(F.coalesce(F.col("_ub"), F.lit(radius)))).drop("_ub")
+        p1 = _offsets(cells(unres, lat, lon), "_cx", "_cy")
+        s1 = sites_at(unres.select("_lvl").distinct())
+        cand1 = (p1.join(s1, ["_lvl", "_cx", "_cy"]).drop("_lvl", "_cx", "_cy")
+                   .withColumn(dist_col, planar_distance(lat, lon, site_lat, site_lon)))
+        return done0.unionByName(best(cand1))
+
     # A key with no phase-0 candidate at all gets a real-site bound first: one
     # representative site per non-empty cell and level, probed in the 3x3
     # blocks of every level up to the one that covers the whole site box.

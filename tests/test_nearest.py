@@ -160,3 +160,16 @@ def test_capped_cell_splits_a_hot_cluster(spark):
                               "sensor_id long, lat double, lon double")
     cols = ["sensor_id", "site_id", "dist"]
     assert rows(nearest.nearest_sites(p, s), cols) == rows(brute_force(p, s), cols)
+
+
+def test_radius_search_adapts_to_a_dense_cluster(spark):
+    rnd = random.Random(17)
+    sites = [(i, 50.0 + rnd.random() * 0.05, 8.0 + rnd.random() * 0.05) for i in range(500)]
+    sites += [(1000 + i, rnd.uniform(45, 55), rnd.uniform(5, 15)) for i in range(40)]
+    s = spark.createDataFrame(sites, "site_id long, latitude double, longitude double")
+    p = spark.createDataFrame([(k, 50.0 + rnd.uniform(-2, 2), 8.0 + rnd.uniform(-2, 2)) for k in range(40)],
+                              "sensor_id long, lat double, lon double")
+    cols = ["sensor_id", "site_id", "dist"]
+    assert nearest.base_cell(nearest.site_profile(s, "latitude", "longitude")) < 0.1
+    for r in (0.05, 0.7, 3.0):
+        assert rows(nearest.nearest_within(p, s, r), cols) == rows(brute_force(p, s, r), cols)
