@@ -118,23 +118,22 @@ def auto_cell(n: int, lat0: float, lat1: float, lon0: float, lon1: float) -> flo
     return 1.5 * span / math.sqrt(max(n, 1))
 
 
-CELL_CAP = 64                 # most distinct site positions one automatic cell may hold
+CELL_CAP = 64                 # most sites one automatic cell may hold
 LADDER = range(-20, 11)       # candidate base widths 2**-20 .. 2**10 (exact in binary)
 
 
 def site_profile(st: DataFrame, site_lat: str, site_lon: str) -> dict:
     """One aggregate over the sites (a dimension table): row count, bounding
     box, and the occupancy of the densest cell at every width of ``LADDER``."""
-    pts = st.groupBy(F.col(site_lat).alias("_a"), F.col(site_lon).alias("_b")).agg(
-        F.count(F.lit(1)).alias("_w"))
+    pts = st.select(F.col(site_lat).alias("_a"), F.col(site_lon).alias("_b"))
     lv = pts.select("*", F.explode(F.array(*[F.lit(k) for k in LADDER])).alias("_k"))
     size = F.pow(F.lit(2.0), F.col("_k"))
     cells = (lv.groupBy("_k", F.floor(F.col("_a") / size), F.floor(F.col("_b") / size))
-               .agg(F.count(F.lit(1)).alias("_c"), F.sum("_w").alias("_n"),
+               .agg(F.count(F.lit(1)).alias("_c"),
                     F.min("_a").alias("_a0"), F.max("_a").alias("_a1"),
                     F.min("_b").alias("_b0"), F.max("_b").alias("_b1")))
     per_k = cells.groupBy("_k").agg(
-        F.max("_c").alias("worst"), F.sum("_n").alias("n"), F.min("_a0").alias("lat0"),
+        F.max("_c").alias("worst"), F.sum("_c").alias("n"), F.min("_a0").alias("lat0"),
         F.max("_a1").alias("lat1"), F.min("_b0").alias("lon0"), F.max("_b1").alias("lon1"))
     rows = per_k.collect()  # one row per ladder width (31)
     if not rows:
@@ -146,15 +145,16 @@ def site_profile(st: DataFrame, site_lat: str, site_lon: str) -> dict:
 
 def base_cell(profile: dict, cap: int = CELL_CAP) -> float:
     """The widest ladder width not above :func:`auto_cell` whose densest cell
-    holds at most ``cap`` distinct site positions (the narrowest width if
-    none does), so clustered sites cannot put a hot cell in front of every
-    nearby position."""
+    holds at most ``cap`` sites, so clustered sites cannot put a hot cell in
+    front of every nearby position.  If no width gets there, the excess is
+    coincident points that no grid splits, and the automatic width is kept.
+    (The width only changes how much work the search does, never its result.)"""
     start = auto_cell(profile["n"], profile["lat0"], profile["lat1"], profile["lon0"], profile["lon1"])
     ks = sorted((k for k in LADDER if 2.0 ** k <= start), reverse=True) or [min(LADDER)]
     for k in ks:
         if profile["worst"].get(k, 0) <= cap:
             return 2.0 ** k
-    return 2.0 ** ks[-1]
+    return 2.0 ** ks[0]
 
 
 def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, mode,
