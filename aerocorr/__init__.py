@@ -1,8 +1,11 @@
 """aerocorr — correlating sensor readings with where the sensors stand.
 
-Every public operator is a lazy ``DataFrame -> DataFrame`` function built from
-native Spark expressions; the only actions live in the sinks (``materialize``,
-CSV export) and in the small bounding-box probe of the nearest-site search.
+Every public operator is a ``DataFrame -> DataFrame`` function built from
+native Spark expressions.  Actions are few and bounded: the sinks
+(``materialize``, CSV export), one aggregate over the site table in the
+nearest-site search, a row-count probe of at most ``max_rows + 1`` rows before
+a broadcast, two scalar means in the pooled correlation, and the counts of the
+samplers.
 """
 
 from aerocorr.config import work_dir, ensure_checkpoint_dir  # noqa: F401
