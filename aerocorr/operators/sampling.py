@@ -34,7 +34,9 @@ def exact_sample(df: DataFrame, n: int, keys: Sequence[str], oversample: float =
     ``oversample * n`` rows are kept first; only that slice is checkpointed
     and ordered.  Every row left out hashes above every row kept, so the
     result is exact; if the slice is short the threshold doubles.
-    ``expected_rows`` (an estimate is enough) saves the counting pass."""
+    ``expected_rows`` (an estimate is enough) saves the counting pass.
+    ``keys`` should identify rows: rows sharing a key tie, and which of them
+    falls inside the bound is then arbitrary."""
     ensure_checkpoint_dir(df.sparkSession)
     h = sample_hash(keys)
     total = df.count() if expected_rows is None else expected_rows
