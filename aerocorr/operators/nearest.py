@@ -31,6 +31,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerocorr.config import ensure_checkpoint_dir
 from aerocorr.functions.geo import grid_cell, planar_distance
 
 GUARD = 1e-3        # cell width = guaranteed radius * (1 + GUARD)
@@ -118,43 +119,43 @@ def auto_cell(n: int, lat0: float, lat1: float, lon0: float, lon1: float) -> flo
     return 1.5 * span / math.sqrt(max(n, 1))
 
 
-CELL_CAP = 64                 # most sites one automatic cell may hold
-LADDER = range(-20, 11)       # candidate base widths 2**-20 .. 2**10 (exact in binary)
+CELL_CAP = 64       # most sites one automatic cell may hold
+CELL_STEPS = 8      # candidate widths tried: the automatic one, then halvings
 
 
 def site_profile(st: DataFrame, site_lat: str, site_lon: str) -> dict:
-    """One aggregate over the sites (a dimension table): row count, bounding
-    box, and the occupancy of the densest cell at every width of ``LADDER``."""
+    """One small aggregate over the sites (a dimension table): row count and
+    bounding box."""
+    r = st.agg(F.count(F.lit(1)).alias("n"),
+               F.min(site_lat).alias("lat0"), F.max(site_lat).alias("lat1"),
+               F.min(site_lon).alias("lon0"), F.max(site_lon).alias("lon1")).first()
+    return r.asDict()
+
+
+def base_cell(st: DataFrame, site_lat: str, site_lon: str, profile: dict,
+              cap: int = CELL_CAP, steps: int = CELL_STEPS) -> float:
+    """The power of two nearest to :func:`auto_cell` (in log scale), halved
+    until its densest cell holds at most ``cap`` sites, so clustered sites
+    cannot put a hot cell in front of every nearby position.  One aggregate
+    measures all candidate widths; with at most ``cap`` sites none is needed.
+    If no width gets there, the excess is coincident points that no grid
+    splits, and the first width is kept.  (The width only changes how much
+    work the search does, never its result.)"""
+    start = auto_cell(profile["n"], profile["lat0"], profile["lat1"], profile["lon0"], profile["lon1"])
+    top = round(math.log2(start))
+    ks = [top - i for i in range(steps)]
+    if profile["n"] <= cap:
+        return 2.0 ** top
     pts = st.select(F.col(site_lat).alias("_a"), F.col(site_lon).alias("_b"))
-    lv = pts.select("*", F.explode(F.array(*[F.lit(k) for k in LADDER])).alias("_k"))
+    lv = pts.select("*", F.explode(F.array(*[F.lit(k) for k in ks])).alias("_k"))
     size = F.pow(F.lit(2.0), F.col("_k"))
-    cells = (lv.groupBy("_k", F.floor(F.col("_a") / size), F.floor(F.col("_b") / size))
-               .agg(F.count(F.lit(1)).alias("_c"),
-                    F.min("_a").alias("_a0"), F.max("_a").alias("_a1"),
-                    F.min("_b").alias("_b0"), F.max("_b").alias("_b1")))
-    per_k = cells.groupBy("_k").agg(
-        F.max("_c").alias("worst"), F.sum("_c").alias("n"), F.min("_a0").alias("lat0"),
-        F.max("_a1").alias("lat1"), F.min("_b0").alias("lon0"), F.max("_b1").alias("lon1"))
-    rows = per_k.collect()  # one row per ladder width (31)
-    if not rows:
-        return {"n": 0, "lat0": None, "lat1": None, "lon0": None, "lon1": None, "worst": {}}
-    r = rows[0]
-    return {"n": r["n"], "lat0": r["lat0"], "lat1": r["lat1"], "lon0": r["lon0"], "lon1": r["lon1"],
-            "worst": {x["_k"]: x["worst"] for x in rows}}
-
-
-def base_cell(profile: dict, cap: int = CELL_CAP) -> float:
-    """The widest ladder width not above :func:`auto_cell` whose densest cell
-    holds at most ``cap`` sites, so clustered sites cannot put a hot cell in
-    front of every nearby position.  If no width gets there, the excess is
-    coincident points that no grid splits, and the automatic width is kept.
-    (The width only changes how much work the search does, never its result.)"""
-    start = auto_cell(profile["n"], profile["lat0"], profile["lat1"], profile["lon0"], profile["lon1"])
-    ks = sorted((k for k in LADDER if 2.0 ** k <= start), reverse=True) or [min(LADDER)]
+    occ = (lv.groupBy("_k", F.floor(F.col("_a") / size), F.floor(F.col("_b") / size)).count()
+             .groupBy("_k").agg(F.max("count").alias("_m")))
+    worst = {r["_k"]: r["_m"] for r in occ.collect()}  # one row per candidate width
     for k in ks:
-        if profile["worst"].get(k, 0) <= cap:
+        if worst.get(k, 0) <= cap:
             return 2.0 ** k
-    return 2.0 ** ks[0]
+    return 2.0 ** top
 
 
 def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, mode,
@@ -164,7 +165,7 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
     window and no de-duplication of the sites).  With ``radius`` only pairs
     strictly closer than it count."""
     pos, raw = _clean_sides(positions, sites, lat, lon, site_lat, site_lon, distinct_sites=False)
-    ext = site_profile(raw, site_lat, site_lon)  # the only action: one job over the sites
+    ext = site_profile(raw, site_lat, site_lon)  # small aggregates over the sites only
     st = raw.distinct() if (mode == "ties" and distinct_sites) else raw
     rcell = radius * (1 + GUARD) if radius is not None else None
     if cell:
@@ -172,7 +173,8 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
     elif not ext["n"]:
         c0 = rcell or 1.0
     else:
-        c0 = base_cell(ext) if rcell is None else min(base_cell(ext), rcell)
+        c0 = base_cell(raw, site_lat, site_lon, ext)
+        c0 = c0 if rcell is None else min(c0, rcell)
 
     def within(df):
         return df.where(F.col(dist_col) < F.lit(radius)) if radius is not None else df
@@ -190,6 +192,11 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
     r0 = c0 / (1 + GUARD)
     if not ext["n"] or (radius is not None and radius <= r0):
         return top0  # no sites, or the first pass already covered the whole radius
+    if radius is None:
+        # phase 0 runs once: its (small) result is checkpointed in the shared
+        # folder, and whether any key lacks a candidate is read off it below
+        ensure_checkpoint_dir(pos.sparkSession)
+        top0 = top0.checkpoint(eager=True)
     done0 = top0.where(F.col(dist_col) <= F.lit(r0))
 
     # phase 1: keys without a candidate inside the guaranteed radius
@@ -218,21 +225,28 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
                 .where(F.col("_ub").isNull() | (F.col("_ub") > F.lit(r0)))
                 .drop("_cx", "_cy"))
 
-    if radius is not None:
-        # every pair that matters lies within the radius: it bounds the keys
-        # that found no candidate, the best candidate bounds the others
-        unres = unres.withColumn("_lvl", level_of(F.coalesce(F.col("_ub"), F.lit(radius)))).drop("_ub")
-        p1 = _offsets(cells(unres, lat, lon), "_cx", "_cy")
-        s1 = sites_at(unres.select("_lvl").distinct())
+    def exact_pass(bound):
+        """Each remaining key at the level whose guaranteed radius covers its
+        ``bound``: every pair that could beat or tie it is a candidate."""
+        at = unres.withColumn("_lvl", level_of(bound)).drop("_ub", "_rub")
+        p1 = _offsets(cells(at, lat, lon), "_cx", "_cy")
+        s1 = sites_at(at.select("_lvl").distinct())
         cand1 = (p1.join(s1, ["_lvl", "_cx", "_cy"]).drop("_lvl", "_cx", "_cy")
                    .withColumn(dist_col, planar_distance(lat, lon, site_lat, site_lon)))
         return done0.unionByName(best(cand1))
 
+    if radius is not None:
+        # every pair that matters lies within the radius: it bounds the keys
+        # that found no candidate, the best candidate bounds the others
+        return exact_pass(F.coalesce(F.col("_ub"), F.lit(radius)))
+
     # A key with no phase-0 candidate at all gets a real-site bound first: one
     # representative site per non-empty cell and level, probed in the 3x3
     # blocks of every level up to the one that covers the whole site box.
     # This keeps far-away sensors from meeting every site in the exact pass.
     lost = unres.where(F.col("_ub").isNull()).select(*keys, lat, lon, level_of(far).alias("_top"))
+    if lost.limit(1).count() == 0:  # usual case: every key has a phase-0 candidate
+        return exact_pass(F.col("_ub"))
     probe = _offsets(cells(lost.withColumn("_lvl", F.explode(F.sequence(F.lit(1), F.col("_top")))),
                            lat, lon), "_cx", "_cy")
     reps = (sites_at(probe.select("_lvl").distinct())
@@ -241,17 +255,8 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
     rep_ub = (probe.join(reps, ["_lvl", "_cx", "_cy"])
                    .withColumn("_rd", planar_distance(lat, lon, "_rlat", "_rlon"))
                    .groupBy(*keys).agg(F.min("_rd").alias("_rub")))
-    unres = (unres.join(rep_ub, keys, "left")
-                  .withColumn("_lvl", level_of(F.coalesce(F.col("_ub"), F.col("_rub"), far)))
-                  .drop("_ub", "_rub"))
-
-    # exact pass at each key's level: every pair that could beat or tie the
-    # bound is a candidate
-    p1 = _offsets(cells(unres, lat, lon), "_cx", "_cy")
-    s1 = sites_at(unres.select("_lvl").distinct())
-    cand1 = (p1.join(s1, ["_lvl", "_cx", "_cy"]).drop("_lvl", "_cx", "_cy")
-               .withColumn(dist_col, planar_distance(lat, lon, site_lat, site_lon)))
-    return done0.unionByName(best(cand1))
+    unres = unres.join(rep_ub, keys, "left")
+    return exact_pass(F.coalesce(F.col("_ub"), F.col("_rub"), far))
 
 
 def nearest_sites(positions: DataFrame, sites: DataFrame, *,
@@ -264,8 +269,9 @@ def nearest_sites(positions: DataFrame, sites: DataFrame, *,
     and ``dist_col``.  ``distinct_sites=False`` skips de-duplicating site
     rows (a shuffle) when the site table has a key.
 
-    Runs one small aggregate over ``sites`` (count, bounding box and cell
-    occupancy at the candidate base widths); the rest is lazy.  ``positions`` feeds both phases from one frame (Spark reuses the
+    Runs two small aggregates over ``sites`` (count and bounding box; cell
+    occupancy at the candidate base widths, skipped for up to 64 sites); the
+    rest is lazy.  ``positions`` feeds both phases from one frame (Spark reuses the
     exchange); pass a materialized table when it is expensive to derive."""
     keys = [key] if isinstance(key, str) else list(key)
     return _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, "ties",

@@ -152,10 +152,11 @@ def test_capped_cell_splits_a_hot_cluster(spark):
     prof = nearest.site_profile(s, "latitude", "longitude")
     assert prof["n"] == 660
     start = nearest.auto_cell(prof["n"], prof["lat0"], prof["lat1"], prof["lon0"], prof["lon1"])
-    c = nearest.base_cell(prof)
+    c = nearest.base_cell(s, "latitude", "longitude", prof)
     assert c < start / 2  # the uncapped width would put the cluster in one cell
-    k = int(round(__import__("math").log2(c)))
-    assert prof["worst"][k] <= nearest.CELL_CAP
+    occ = (s.groupBy(F.floor(F.col("latitude") / c), F.floor(F.col("longitude") / c)).count()
+            .agg(F.max("count")).first()[0])
+    assert occ <= nearest.CELL_CAP
     p = spark.createDataFrame([(k, 50.0 + rnd.uniform(-1, 1), 8.0 + rnd.uniform(-1, 1)) for k in range(30)],
                               "sensor_id long, lat double, lon double")
     cols = ["sensor_id", "site_id", "dist"]
@@ -170,6 +171,7 @@ def test_radius_search_adapts_to_a_dense_cluster(spark):
     p = spark.createDataFrame([(k, 50.0 + rnd.uniform(-2, 2), 8.0 + rnd.uniform(-2, 2)) for k in range(40)],
                               "sensor_id long, lat double, lon double")
     cols = ["sensor_id", "site_id", "dist"]
-    assert nearest.base_cell(nearest.site_profile(s, "latitude", "longitude")) < 0.1
+    assert nearest.base_cell(s, "latitude", "longitude",
+                             nearest.site_profile(s, "latitude", "longitude")) < 0.1
     for r in (0.05, 0.7, 3.0):
         assert rows(nearest.nearest_within(p, s, r), cols) == rows(brute_force(p, s, r), cols)
