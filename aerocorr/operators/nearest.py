@@ -192,11 +192,10 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
     r0 = c0 / (1 + GUARD)
     if not ext["n"] or (radius is not None and radius <= r0):
         return top0  # no sites, or the first pass already covered the whole radius
-    if radius is None:
-        # phase 0 runs once: its (small) result is checkpointed in the shared
-        # folder, and whether any key lacks a candidate is read off it below
-        ensure_checkpoint_dir(pos.sparkSession)
-        top0 = top0.checkpoint(eager=True)
+    # phase 0 runs once: its (small) result is checkpointed in the shared
+    # folder, and which keys need a second pass is read off it below
+    ensure_checkpoint_dir(pos.sparkSession)
+    top0 = top0.checkpoint(eager=True)
     done0 = top0.where(F.col(dist_col) <= F.lit(r0))
 
     # phase 1: keys without a candidate inside the guaranteed radius
@@ -225,6 +224,9 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
                 .where(F.col("_ub").isNull() | (F.col("_ub") > F.lit(r0)))
                 .drop("_cx", "_cy"))
 
+    if unres.limit(1).count() == 0:  # usual case: phase 0 resolved every key
+        return top0
+
     def exact_pass(bound):
         """Each remaining key at the level whose guaranteed radius covers its
         ``bound``: every pair that could beat or tie it is a candidate."""
