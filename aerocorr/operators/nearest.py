@@ -20,8 +20,14 @@ edges), which makes the search exact:
   its nearest ones rather than all of them.
 
 Ties are kept (``rank() == 1`` per key), which Spark plans as a
-WindowGroupLimit that already trims candidates before the shuffle.  NULL
-or NaN coordinates on either side never match.
+WindowGroupLimit that already trims candidates before the shuffle.  NULL,
+NaN or infinite coordinates on either side never match.
+
+Work and actions: two small aggregates over the site table pick the base
+cell (bounding box; occupancy, so no cell holds more than ``CELL_CAP`` sites);
+phase 0's rank-1 rows are checkpointed in the shared checkpoint folder, and
+bounded probes (``limit(1)``) decide whether a second pass, and the
+representative probe, are needed at all.
 """
 
 from __future__ import annotations
