@@ -175,3 +175,11 @@ def test_radius_search_adapts_to_a_dense_cluster(spark):
                              nearest.site_profile(s, "latitude", "longitude")) < 0.1
     for r in (0.05, 0.7, 3.0):
         assert rows(nearest.nearest_within(p, s, r), cols) == rows(brute_force(p, s, r), cols)
+
+
+def test_no_positions(spark):
+    p = spark.createDataFrame([], "sensor_id long, lat double, lon double")
+    s = spark.createDataFrame([(1.0, 2.0)], "latitude double, longitude double")
+    assert nearest.min_distance(p, s).count() == 0
+    assert nearest.nearest_sites(p, s).count() == 0
+    assert nearest.nearest_within(p, s, 0.5).count() == 0

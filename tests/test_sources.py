@@ -110,3 +110,8 @@ def test_landed_hour_is_stored_and_pruned(spark, tmp_path):
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan
     assert "GreaterThanOrEqual(hour_of_day,6)" in plan  # pushed to the Parquet scan
+
+
+def test_materialize_empty(spark, tmp_path):
+    df = materialize(spark, spark.range(0).withColumn("x", F.col("id") * 1.0), str(tmp_path / "e"))
+    assert df.count() == 0 and df.columns == ["id", "x"]
