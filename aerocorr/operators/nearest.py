@@ -108,7 +108,9 @@ def nearest_within(positions: DataFrame, sites: DataFrame, radius: float, *,
     resolved candidate take a second pass, bounded by their best candidate
     or the radius - so a dense cluster is not paired with every position
     within the radius of it.  ``distinct_sites=False`` skips de-duplicating
-    identical site rows (a shuffle) when the caller de-duplicates anyway."""
+    identical site rows (a shuffle) when the caller de-duplicates anyway.
+    The two-pass form reads ``positions`` more than once: pass a materialized
+    table when it is expensive to derive."""
     if not radius > 0:
         raise ValueError("radius must be positive")
     keys = [key] if isinstance(key, str) else list(key)

@@ -273,7 +273,7 @@ def nearest_city_within(spark, sf):
                 SELECT *, rank() OVER (PARTITION BY sensor_id ORDER BY dist) AS rk FROM d)
               WHERE rk = 1 AND dist < {SETTLEMENT_RADIUS}""")
 def nearest_site_radius(spark, sf):
-    near = nearest.nearest_within(_positions(spark, sf), B.sites(spark, sf), SETTLEMENT_RADIUS)
+    near = nearest.nearest_within(_stored_positions(spark, sf), B.sites(spark, sf), SETTLEMENT_RADIUS)
     return near.select("sensor_id", "site_id", "dist")
 
 

@@ -185,6 +185,8 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
         avg = vals.where(F.col("avg_p").isNotNull()).select("sensor_id", "avg_p")
     elif strategy in ("pre-aggregate", "join"):
         pos = positions if positions is not None else distinct_positions(readings)
+        if persist and positions is None:  # the search reads its positions more than once
+            pos = materialize(readings.sparkSession, pos, name="positions")
         ok = readings.where(ok_cond)
         avg = ok.select("sensor_id", avg_particulates(ok))
     else:
