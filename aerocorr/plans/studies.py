@@ -179,9 +179,12 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
     if strategy == "pre-aggregate" and distinct_rows and positions is None:
         vals = readings.select("sensor_id", "lat", "lon",
                                F.when(ok_cond, avg_particulates(readings)).alias("avg_p")).distinct()
+        pos = vals.select("sensor_id", "lat", "lon").distinct()
         if persist:
             vals = materialize(readings.sparkSession, vals, name="position-values")
-        pos = vals.select("sensor_id", "lat", "lon").distinct()
+            # the radius search reads its positions more than once
+            pos = materialize(readings.sparkSession,
+                              vals.select("sensor_id", "lat", "lon").distinct(), name="positions")
         avg = vals.where(F.col("avg_p").isNotNull()).select("sensor_id", "avg_p")
     elif strategy in ("pre-aggregate", "join"):
         pos = positions if positions is not None else distinct_positions(readings)
