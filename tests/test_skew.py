@@ -44,3 +44,10 @@ def test_studies_agree_under_skew(spark, skewed):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k], abs=1e-12)
+
+
+def test_salted_left_join_keeps_unmatched_rows(spark, skewed):
+    attrs = spark.createDataFrame([(0, 1.5), (1, 2.5)], "sensor_id long, d double")
+    plain = sorted(tuple(r) for r in skewed.join(attrs, "sensor_id", "left").collect())
+    salted = sorted(tuple(r) for r in joins.salted_join(skewed, attrs, "sensor_id", 5, "left").collect())
+    assert salted == plain and len(salted) == skewed.count()
