@@ -53,3 +53,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["col_a", "col_b", "r", "n"]
     assert df.count() == 4
+
+
+SURVEY_QUERIES = """remoteness_corr settlement_corr min_distance_to_site positions_with_min_distance
+nearest_city_ties nearest_city_within union_families distinct_positions daytime_readings outlier_filter
+avg_particulates null_policy_any null_policy_either null_policy_columns dedupe_by_key country_cities
+geocode_enrich_keep geocode_enrich_drop geocode_worklist geocode_parse coord_key_roundtrip file_basename
+exact_sample sorted_sensors random_sample_bound ml_corr_matrix csv_export_roundtrip parquet_materialize
+site_csv_scan city_tsv_scan family_parquet_scan land_manifest""".split()
+
+
+def test_every_planned_query_is_registered():
+    assert set(SURVEY_QUERIES) <= set(E.queries())
