@@ -115,3 +115,15 @@ def test_landed_hour_is_stored_and_pruned(spark, tmp_path):
 def test_materialize_empty(spark, tmp_path):
     df = materialize(spark, spark.range(0).withColumn("x", F.col("id") * 1.0), str(tmp_path / "e"))
     assert df.count() == 0 and df.columns == ["id", "x"]
+
+
+def test_read_family_glob_and_canonical_types(spark, tmp_path):
+    from aerocorr.sources import read_family
+    for month in ("2018-01", "2018-02"):
+        spark.createDataFrame([(7, "hpm", 50.0, 8.0, f"{month}-03 10:00:00", 1.0, 2.0)],
+                              "sensor_id int, sensor_type string, lat double, lon double, timestamp string, "
+                              "P1 double, P2 double").write.parquet(str(tmp_path / month / "hpm"))
+    df = read_family(spark, str(tmp_path / "*" / "hpm"), 2)
+    assert df.count() == 2
+    assert dict(df.dtypes)["sensor_id"] == "bigint" and dict(df.dtypes)["family"] == "int"
+    assert df.where("P0 IS NULL AND durP1 IS NULL").count() == 2
