@@ -136,9 +136,9 @@ def remoteness_from_moments(moments: DataFrame, sites: DataFrame, *,
             .select("sensor_id", "lat", "lon")
     # the sensor-wide minimum is what every position of the sensor carries, so
     # the join back to positions + one-position-per-sensor step reduce to it
+    # (the search checkpoints its first pass, which usually is the whole
+    # answer, so the per-sensor table needs no extra write here)
     attrs = min_distance(pos, sites.select("latitude", "longitude"), cell=cell)
-    if persist:
-        attrs = materialize(moments.sparkSession, attrs, name="sensor-remoteness")
     groups = moments.select("sensor_id", "_n", "_mean", "_var").join(attrs, "sensor_id")
     return pooled_correlation_matrix(groups, "avg_p", "min_dist", digits=digits)
 
