@@ -61,3 +61,25 @@ def test_correlation_affine_invariance(spark, xs, a, b):
     if r0 is None or r1 is None:
         return  # a constant column (before or after rounding) has no r; covered elsewhere
     assert r1 == pytest.approx(-r0, abs=1e-6)
+
+
+groups = st.lists(st.tuples(st.integers(0, 6),                      # group key
+                            st.floats(-50, 50), st.floats(0, 3)),    # value, group attribute seed
+                  min_size=0, max_size=60)
+
+
+@SETTINGS
+@given(rows=groups)
+def test_pooled_moments_equal_row_level(spark, rows):
+    # the attribute is constant within a group (as min_dist is per sensor)
+    data = [(g, v, float(g) * 0.37 + 1.0) for g, v, _ in rows]
+    df = spark.createDataFrame(data, "g long, a double, d double")
+    direct = {(r.col_a, r.col_b): (r.r, r.n) for r in stats.correlation_matrix(df, ["a", "d"]).collect()}
+    pooled = {(r.col_a, r.col_b): (r.r, r.n) for r in stats.pooled_correlation_matrix(
+        stats.grouped_moments(df, ["g", "d"], F.col("a")), "a", "d").collect()}
+    for k, (r, n) in direct.items():
+        assert pooled[k][1] == n
+        if r is None or pooled[k][0] is None:
+            # constant columns: both sides must agree up to rounding of a ~0 variance
+            continue
+        assert pooled[k][0] == pytest.approx(r, abs=1e-9)
