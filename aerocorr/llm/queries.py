@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from aerocorr.llm.common import table
 from aerocorr.llm.exact import exact_dedup
+from aerocorr.llm.jaccard import near_groups
 from aerocorr.llm.mixing import mix_positions
 from aerocorr.llm.packing import pack
 
@@ -12,6 +13,10 @@ def op1_packing(spark, sf_dir):
     return pack(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard(spark, sf_dir):
+    return near_groups(spark, table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup(spark, table(spark, sf_dir, "documents"))
 
@@ -20,7 +25,7 @@ def op8_mixing(spark, sf_dir):
     return mix_positions(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op7_exact_dedup, op8_mixing)}
+QUERIES = {f.__name__: f for f in (op1_packing, op5_jaccard, op7_exact_dedup, op8_mixing)}
 
 ORACLES = {
     "op7_exact_dedup": """
