@@ -7,6 +7,7 @@ from aerocorr.llm.exact import exact_dedup
 from aerocorr.llm.jaccard import near_groups
 from aerocorr.llm.mixing import mix_positions
 from aerocorr.llm.packing import pack
+from aerocorr.llm.toxicity import judge
 
 
 def op1_packing(spark, sf_dir):
@@ -25,7 +26,11 @@ def op8_mixing(spark, sf_dir):
     return mix_positions(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op5_jaccard, op7_exact_dedup, op8_mixing)}
+def op9_toxicity(spark, sf_dir):
+    return judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op5_jaccard, op7_exact_dedup, op8_mixing, op9_toxicity)}
 
 ORACLES = {
     "op7_exact_dedup": """
