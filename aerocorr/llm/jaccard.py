@@ -17,13 +17,15 @@ with the smallest estimated cost.
    classes come back as rows: a document has few, and one with more than 20 %
    shingles of its own cannot link and stops here.  Copies are combined in the
    piece and again in the part, so a class of any size is counted once.
-3. Linear links: every prefix posting list names its most typical document
-   (the least own shingles), every document is verified against the one it
-   shares most lists with, and components are formed.  A group of thousands of
-   near copies collapses here without its pairs being formed.
+3. Linear links: every prefix posting list names its most
+   typical documents (the least own shingles) of two components, every document
+   is verified against the one it shares most lists with, and components are
+   formed.  A group of thousands of near copies collapses here without its
+   pairs being formed.
 4. The rest, exactly: postings of lists that still hold several components
    meet in a self-join over different components only, with the length filter,
-   the own-shingle filter and the multi-match count, then verification.
+   the own-shingle filter, the multi-match count over prefixes cut for the pair's
+   sizes, then verification.
 
 Links inside a component found in step 3 need no verification, as the result is
 the component.  ``links()`` without step 3 lists all pairs between classes.
@@ -52,7 +54,7 @@ K = 5
 PERCENT = 80
 HOT = 65_536
 MAX_MATCH = 8  # l goes from 1 to this; a longer prefix never pays beyond
-VERIFY_COST = 0.05  # per element of a set, against 1 per posting
+VERIFY_COST = 0.02  # per element of a set, against 1 per posting
 
 
 def _sets(batch: pa.RecordBatch, k: int):
@@ -213,9 +215,10 @@ def prefixes(sets: DataFrame) -> DataFrame:
     alone, which come first in the order).  ``cand`` of l is bounded by the
     postings of the l-prefix over l, since a candidate needs l of them."""
     base = F.col("n") - needed(F.col("n")) - F.col("own")
+    like = F.col("n") - overlap(F.col("n"), F.col("n")) - F.col("own")  # against sets of this size
     options = []
     for l in range(1, MAX_MATCH + 1):
-        postings = F.aggregate(F.slice("dfs", 1, F.greatest(base + l, F.lit(0)).cast("int")),
+        postings = F.aggregate(F.slice("dfs", 1, F.greatest(like + l, F.lit(0)).cast("int")),
                                F.lit(0.0), lambda a, x: a + x)
         cost = F.when(needed(F.col("n")) >= l, postings * (1 + VERIFY_COST * F.col("n") / l))
         options.append(F.struct(F.coalesce(cost, F.lit(float("inf"))).alias("cost"),
@@ -234,38 +237,50 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def index(sets: DataFrame) -> DataFrame:
-    """Prefix elements: token, rep, n, own, l, at (the smallest number of
-    matches whose prefix reaches the element)."""
+    """Prefix elements: token, rep, n, own, l, place (1.. in the global order,
+    own shingles counted)."""
     entry = F.posexplode(F.slice("tokens", 1, F.greatest(F.col("base") + MAX_MATCH, F.lit(0))))
-    return (sets.select("rep", "n", "own", "l", "base", entry.alias("pos", "token"))
-            .withColumn("at", F.greatest(F.lit(1), F.col("pos") - F.col("base") + 1)).drop("pos", "base"))
+    return (sets.select("rep", "n", "own", "l", entry.alias("pos", "token"))
+            .withColumn("place", F.col("own") + F.col("pos") + 1).drop("pos"))
 
 
 def typical_pairs(entries: DataFrame) -> DataFrame:
-    """Each document with the head of the lists it shares most."""
-    head = F.min(F.struct((F.col("own") / F.col("n")).alias("r"), F.col("rep").alias("b")))
-    heads = entries.groupBy("token").agg(head.alias("h"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    votes = (entries.select("token", F.col("rep").alias("a"))
-             .join(heads.select("token", F.col("h.b").alias("b")), "token")
-             .where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("v")))
+    """Each document with the head, of another component, of the lists it
+    shares most.  A list's heads are its most typical document and the most
+    typical one outside that one's component: rows stay linear."""
+    best = F.min(F.struct((F.col("own") / F.col("n")).alias("r"), F.col("rep").alias("b"),
+                          F.col("comp").alias("cb"))).alias("h")
+    heads = entries.groupBy("token", "comp").agg(best)
+    one = heads.groupBy("token").agg(F.min("h").alias("h"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    first = one.select(F.col("token").alias("t1"), F.col("h.cb").alias("c1"))
+    two = (heads.join(first, (F.col("token") == F.col("t1")) & (F.col("comp") != F.col("c1")))
+           .groupBy("token").agg(F.min("h").alias("h")))
+    either = one.select("token", "h.*").join(
+        two.select("token", F.col("h.b").alias("b2")), "token").select("token", "b", "cb", "b2")
+    votes = (entries.select("token", F.col("rep").alias("a"), "comp").join(either, "token")
+             .select("a", F.when(F.col("comp") != F.col("cb"), F.col("b")).otherwise(F.col("b2")).alias("b"))
+             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("v")))
     return votes.groupBy("a").agg(F.max_by("b", F.struct("v", -F.col("b"))).alias("b"))
 
 
 def candidate_pairs(entries: DataFrame) -> DataFrame:
-    """(a, b) that share at least l of a's l-prefix, over different ``comp``."""
+    """(a, b) over different ``comp`` that share at least l (of a) elements in
+    their l-prefixes.  Once both sizes are known the pair needs an overlap of
+    o >= 0.8 |A|, so its prefixes end at |A| - o + l and |B| - o + l."""
     mixed = entries.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where(
         "c1 <> c2").select("token")
     left = entries.join(mixed, "token", "left_semi")
     y = left.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("own").alias("ob"),
-                    F.col("at").alias("atb"), F.col("comp").alias("cb"))
-    x = left.where("at <= l").select("token", F.col("rep").alias("a"), F.col("n").alias("na"),
-                                     F.col("own").alias("oa"), "l", F.col("comp").alias("ca"))
-    least = overlap(F.col("na"), F.col("nb"))
+                    F.col("place").alias("pb"), F.col("comp").alias("cb"))
+    x = left.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("own").alias("oa"),
+                    F.col("place").alias("pa"), "l", F.col("comp").alias("ca"))
+    o = overlap(F.col("na"), F.col("nb"))
     pairs = x.join(y, "token").where(
         (F.col("ca") != F.col("cb"))
         & ((F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("b") < F.col("a"))))
-        & (100 * F.col("nb") >= PERCENT * F.col("na")) & (F.col("atb") <= F.col("l"))
-        & (F.col("na") - F.col("oa") >= least) & (F.col("nb") - F.col("ob") >= least))
+        & (100 * F.col("nb") >= PERCENT * F.col("na"))
+        & (F.col("na") - F.col("oa") >= o) & (F.col("nb") - F.col("ob") >= o)
+        & (F.col("pa") <= F.col("na") - o + F.col("l")) & (F.col("pb") <= F.col("nb") - o + F.col("l")))
     return (pairs.groupBy("a", "b", "l").agg(F.count(F.lit(1)).alias("m"))
             .where("m >= l").select("a", "b"))
 
@@ -289,11 +304,12 @@ def near_groups(spark: SparkSession, docs: DataFrame, k: int = K, hot_share: flo
                     (F.col("n") - F.size("e")).alias("own")))
     sets = written(spark, prefixes(near).drop("dfs"), "near_sets")
     entries = written(spark, index(sets), "prefixes")
-    first = written(spark, verified(typical_pairs(entries), sets), "first_links")
-    start = connected_components(spark, first)
+    found = written(spark, verified(typical_pairs(entries.withColumn("comp", F.col("rep"))), sets),
+                    "links")
+    start = connected_components(spark, found)
     labelled = entries.join(start, entries.rep == start.node, "left").select(
         *entries.columns, F.coalesce("comp", "rep").alias("comp"))
-    links = first.unionByName(verified(candidate_pairs(labelled), sets))
+    links = found.unionByName(verified(candidate_pairs(labelled), sets))
     comp = connected_components(spark, links)
     groups = member.join(comp, member.rep == comp.node, "left")
     return groups.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"),
