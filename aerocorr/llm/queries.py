@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from aerocorr.llm.common import table
 from aerocorr.llm.exact import exact_dedup
+from aerocorr.llm.fingerprints import fingerprints
 from aerocorr.llm.jaccard import near_groups
 from aerocorr.llm.mixing import mix_positions
 from aerocorr.llm.packing import pack
@@ -18,6 +19,10 @@ def op5_jaccard(spark, sf_dir):
     return near_groups(spark, table(spark, sf_dir, "documents"))
 
 
+def op6_fingerprints(spark, sf_dir):
+    return fingerprints(spark, table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup(spark, table(spark, sf_dir, "documents"))
 
@@ -30,7 +35,7 @@ def op9_toxicity(spark, sf_dir):
     return judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op5_jaccard, op7_exact_dedup, op8_mixing, op9_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_packing, op5_jaccard, op6_fingerprints, op7_exact_dedup, op8_mixing, op9_toxicity)}
 
 ORACLES = {
     "op7_exact_dedup": """
