@@ -8,6 +8,7 @@ from aerocorr.llm.fingerprints import fingerprints
 from aerocorr.llm.jaccard import near_groups
 from aerocorr.llm.mixing import mix_positions
 from aerocorr.llm.packing import pack
+from aerocorr.llm.secrets import RULES, scan
 from aerocorr.llm.toxicity import judge
 
 
@@ -35,7 +36,12 @@ def op9_toxicity(spark, sf_dir):
     return judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op5_jaccard, op6_fingerprints, op7_exact_dedup, op8_mixing, op9_toxicity)}
+def op10_secrets(spark, sf_dir):
+    return scan(spark, table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op5_jaccard, op6_fingerprints, op7_exact_dedup, op8_mixing, op9_toxicity,
+                                  op10_secrets)}
 
 ORACLES = {
     "op7_exact_dedup": """
@@ -43,3 +49,33 @@ ORACLES = {
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY sha256(coalesce(text, '')))""",
 }
+
+
+def _spans_sql(order: int, rule) -> str:
+    """Spans of one rule in DuckDB: pieces between the matches, summed up."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""list_filter(list_transform(range(1, len(m{order}) + 1), lambda i: {{
+        's': coalesce(list_sum(list_transform(p{order}[1:i], lambda x: length(x))), 0)::BIGINT
+           + coalesce(list_sum(list_transform(m{order}[1:i - 1], lambda x: length(x))), 0)::BIGINT,
+        'k': {order}, 'n': length(m{order}[i]), 'v': length(v{order}[i])}}), lambda x: x.v >= {rule.least})"""
+
+
+def _secrets_sql() -> str:
+    quoted = [r.pattern.replace("'", "''") for r in RULES]
+    pieces = ", ".join(
+        f"regexp_extract_all(t, '{q}') AS m{i}, string_split_regex(t, '{q}') AS p{i}, "
+        f"regexp_extract_all(t, '{q}', {r.group}) AS v{i}" for i, (q, r) in enumerate(zip(quoted, RULES)))
+    kinds = "[" + ", ".join(f"'{r.kind}'" for r in RULES) + "]"
+    text = (f"array_to_string(list_transform(list_sort({{}}), lambda x: {kinds}[x.k + 1] || ':' || x.s "
+            "|| ':' || (x.s + x.n)), ',')")
+    base = " || ".join(f"k{i}" for i, r in enumerate(RULES) if r.base)
+    every = " || ".join(f"k{i}" for i in range(len(RULES)))
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+             f AS (SELECT doc_id, {pieces} FROM d),
+             g AS (SELECT doc_id, {", ".join(f"{_spans_sql(i, r)} AS k{i}" for i, r in enumerate(RULES))} FROM f)
+        SELECT doc_id, len(k0) AS n_assign, len(k1) AS n_access, len(k2) AS n_hex,
+               sha256({text.format(base)}) AS base_sha256, {text.format(every)} AS spans FROM g"""
+
+
+ORACLES["op10_secrets"] = _secrets_sql()
