@@ -5,17 +5,27 @@ from __future__ import annotations
 from aerocorr.llm.common import table
 from aerocorr.llm.exact import exact_dedup
 from aerocorr.llm.fingerprints import fingerprints
+from aerocorr.llm.page_text import extract
 from aerocorr.llm.jaccard import near_groups
 from aerocorr.llm.mixing import mix_positions
 from aerocorr.llm.packing import pack
-from aerocorr.llm.secrets import RULES, scan
+from aerocorr.llm.secret_scan import RULES, scan
 from aerocorr.llm.toxicity import judge
+from aerocorr.llm.urls import judge_urls
 
 
 def op1_packing(spark, sf_dir):
     return pack(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_urls(spark, sf_dir):
+    return judge_urls(spark, table(spark, sf_dir, "pages"))
+
+
+def op4_html(spark, sf_dir):
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op5_jaccard(spark, sf_dir):
     return near_groups(spark, table(spark, sf_dir, "documents"))
 
@@ -40,7 +50,7 @@ def op10_secrets(spark, sf_dir):
     return scan(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op5_jaccard, op6_fingerprints, op7_exact_dedup, op8_mixing, op9_toxicity,
+QUERIES = {f.__name__: f for f in (op1_packing, op3_urls, op4_html, op5_jaccard, op6_fingerprints, op7_exact_dedup, op8_mixing, op9_toxicity,
                                   op10_secrets)}
 
 ORACLES = {
