@@ -9,6 +9,7 @@ from aerocorr.llm.page_text import extract
 from aerocorr.llm.jaccard import near_groups
 from aerocorr.llm.mixing import mix_positions
 from aerocorr.llm.packing import pack
+from aerocorr.llm.passages import repeated_passages
 from aerocorr.llm.secret_scan import RULES, scan
 from aerocorr.llm.toxicity import judge
 from aerocorr.llm.urls import judge_urls
@@ -18,6 +19,10 @@ def op1_packing(spark, sf_dir):
     return pack(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_passages(spark, sf_dir):
+    return repeated_passages(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_urls(spark, sf_dir):
     return judge_urls(spark, table(spark, sf_dir, "pages"))
 
@@ -50,7 +55,7 @@ def op10_secrets(spark, sf_dir):
     return scan(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_urls, op4_html, op5_jaccard, op6_fingerprints, op7_exact_dedup, op8_mixing, op9_toxicity,
+QUERIES = {f.__name__: f for f in (op1_packing, op2_passages, op3_urls, op4_html, op5_jaccard, op6_fingerprints, op7_exact_dedup, op8_mixing, op9_toxicity,
                                   op10_secrets)}
 
 ORACLES = {
