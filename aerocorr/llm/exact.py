@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocorr.config import work_dir
-from aerocorr.llm.common import written
+from aerocorr.llm.common import shuffle_partitions, written
 
 
 def digested(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -34,11 +34,16 @@ def digested(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 class DigestIndex:
     """``name``: table name; ``path``: its folder (shared storage); an index
-    that exists in the session's catalog is continued.  Columns: digest,
-    keep_id (the document that stays), n (rows of the batch that brought it)."""
+    that exists in the session's catalog is continued with its buckets (give
+    their number).  Columns: digest, keep_id (the document that stays), n (rows
+    of the batch that brought it).
 
-    def __init__(self, spark: SparkSession, name: str, path: str, buckets: int = 64):
-        self.spark, self.name, self.path, self.buckets = spark, name, path, buckets
+    The groups come out of their aggregation or anti-join hashed by digest, so
+    with as many buckets as shuffle partitions each bucket is one file a batch."""
+
+    def __init__(self, spark: SparkSession, name: str, path: str, buckets: int | None = None):
+        self.spark, self.name, self.path = spark, name, path
+        self.buckets = buckets or shuffle_partitions(spark)
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
@@ -56,7 +61,7 @@ class DigestIndex:
 
     def add(self, batch: DataFrame) -> None:
         """Append the new texts; the table stays bucketed and sorted."""
-        (self.new_groups(batch).repartition(self.buckets, "digest")
+        (self.new_groups(batch)
             .write.mode("append" if self.exists() else "errorifexists").format("parquet")
             .option("path", self.path).bucketBy(self.buckets, "digest").sortBy("digest")
             .saveAsTable(self.name))
