@@ -27,6 +27,7 @@ the prior 0.
 
 from __future__ import annotations
 
+import hashlib
 from typing import NamedTuple
 
 import numpy as np
@@ -38,8 +39,8 @@ from aerocorr.llm.common import chunks, words
 
 FEATURES = 1 << 20
 PREFIXES = (3, 4, 5, 6)
-MAX_POSITIVE = 4_000
-MAX_UNLABELLED = 12_000
+MAX_POSITIVE = 3_000
+MAX_UNLABELLED = 9_000
 MAX_SELECTED = 4_096
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
@@ -173,10 +174,12 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, *,
                                                   pa.array(cut, pa.binary())], ["p", "f"])
 
     got = some.mapInArrow(features, "p int, f binary").toArrow()
-    # copies of a text say no more than one of them
-    seen = sorted(set(zip(got.column("p").to_pylist(), got.column("f").to_pylist())))
-    kind = [k for k, _ in seen]
-    rows = [np.frombuffer(f, dtype=np.int32) for _, f in seen]
+    # copies of a text say no more than one of them; the arrays stay in Arrow's memory
+    seen = {}
+    for k, f in zip(got.column("p").to_pylist(), got.column("f")):
+        view = np.frombuffer(f.as_buffer(), dtype=np.int32)
+        seen[k, hashlib.md5(view, usedforsecurity=False).digest()] = view
+    kind, rows = [k for k, _ in sorted(seen)], [seen[x] for x in sorted(seen)]
     prior = min(max((toxic or 0) / max(n, 1), 1e-4), 0.9)
     return train([r for r, k in zip(rows, kind) if k], [r for r, k in zip(rows, kind) if not k], prior)
 
