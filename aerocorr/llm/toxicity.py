@@ -90,12 +90,17 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
           epochs: int = 12, min_steps: int = 1200, batch: int = 512, rate: float = 0.05,
           decay: float = 1e-3, seed: int = 3) -> Model:
     """Linear model with the logistic loss by mini-batch Adam on the
-    non-negative risk."""
+    non-negative risk; ``prior`` is an upper bound."""
     if not positive or not unlabelled:
         return Model(np.zeros(FEATURES, np.float32), -30.0)
     p, u = share(positive), share(unlabelled)
-    negative = np.maximum(0.0, (u - prior * p) / (1 - prior))  # never below none
     n1, n0 = len(positive), len(unlabelled)
+    # the unlabelled hold a feature at least prior * p times: common features of
+    # the positives bound the prior where the labels do not tell it
+    common = (p * n1 >= 10) & (p >= 0.1)
+    if common.any():
+        prior = max(1e-4, min(prior, float(((u + np.sqrt(u / n0) + 1 / n0)[common] / p[common]).min())))
+    negative = np.clip((u - prior * p) / (1 - prior), 0, 1)  # never below none
     spread = np.sqrt(p * (1 - p) / n1 + negative * (1 - negative) / n0 + 1 / n0**2)
     # more positives bring more chance features, so the bar rises with them
     enough = (p * n1 >= 4) & (p - negative > (2 + min(2, n1 / 400)) * spread) & (p > 3 * negative)
