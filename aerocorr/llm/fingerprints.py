@@ -105,7 +105,8 @@ def with_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
     as ghosts, the rows that stand for the start of the next part."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    part = ranges(rows, 2 * shuffle_partitions(spark))
+    parts = 4 * shuffle_partitions(spark)  # small enough for the terms of one to stay in memory
+    part = ranges(rows, parts)
     firsts = rows.groupBy(part.alias("part")).agg(F.max("doc_id").alias("head")).orderBy("part").collect()
     # the first row of a part follows the last of the next higher part; one row per part
     after = [(f.head, firsts[(i + 1) % len(firsts)].part) for i, f in enumerate(firsts)]
@@ -116,7 +117,7 @@ def with_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
                  F.col("to").isNull(), F.array(F.struct(F.col("part"), F.lit(0).alias("ghost"))))
                  .otherwise(F.array(F.struct(F.col("part"), F.lit(0).alias("ghost")),
                                     F.struct(F.col("to").alias("part"), F.lit(1).alias("ghost")))))
-                 .alias("p")).select("p.part", "p.ghost", "doc_id", "text"))
+                 .alias("p")).select("p.part", "p.ghost", "doc_id", "text").repartitionById(parts, F.col("part")))
     order = Window.partitionBy("part").orderBy("ghost", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
     return dealt.select("part", "ghost", "doc_id", "text", F.row_number().over(order).alias("place"),
                         F.lead("text").over(order).alias("next_text"))
