@@ -34,7 +34,7 @@ from pyspark.sql.window import Window
 
 from aerocorr.llm.common import shuffle_partitions
 
-SAMPLES = 32  # a multiple of AT_ONCE
+SAMPLES = 48  # a multiple of AT_ONCE
 AT_ONCE = 4  # samples worked out by one row: the generated code stays small enough for the JIT
 WORD_GAP = r"[\x20\x09-\x0D]+"
 EMPTY = (1 << 62) + 0  # above every sample of a term; its 24 bits are zero
