@@ -15,7 +15,8 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) create one."""
+    ``spark.checkpoint.dir``; only when it is unset and the master is local
+    (tests) create one."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if conf:
@@ -25,6 +26,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="aerocorr-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
@@ -78,7 +81,7 @@ def cluster_conf(input_bytes: int, total_cores: int, *, split_bytes: int = 512 <
     shuffle = max(3 * total_cores, -(-input_bytes // advisory_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
-        "spark.sql.shuffle.partitions": str(min(shuffle, 100_000)),
+        "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_bytes),

@@ -9,10 +9,10 @@ KEY_SEPARATOR = "|"
 
 
 def coord_key(lat, lon) -> Column:
-    """``"<lat>|<lon>"`` text key of a coordinate pair."""
+    """``"<lat>|<lon>"`` text key of a coordinate pair; NULL if a side is."""
     lat = F.col(lat) if isinstance(lat, str) else lat
     lon = F.col(lon) if isinstance(lon, str) else lon
-    return F.concat_ws(KEY_SEPARATOR, lat.cast("string"), lon.cast("string"))
+    return F.concat(lat.cast("string"), F.lit(KEY_SEPARATOR), lon.cast("string"))
 
 
 def split_key(key) -> Column:
@@ -24,6 +24,6 @@ def split_key(key) -> Column:
 
 
 def basename(path) -> Column:
-    """Last ``/``-separated segment of a path or URL."""
+    """Last ``/``-separated segment of a path or URL, trailing ``/`` aside."""
     path = F.col(path) if isinstance(path, str) else path
-    return F.element_at(F.split(path, "/"), -1)
+    return F.element_at(F.split(F.regexp_replace(path, "/+$", ""), "/"), -1)

@@ -17,7 +17,8 @@ def canonicalize(df: DataFrame, family: int | None = None,
                  schema: T.StructType = schemas.READING_SCHEMA,
                  keep_extra: bool = False) -> DataFrame:
     """Project ``df`` onto ``schema``: cast the columns it has, NULL for the
-    ones it lacks, tag the ``family``.  Reading the file with its own schema
+    ones it lacks or cannot be cast (malformed text), tag the ``family``.
+    Reading the file with its own schema
     and casting afterwards avoids Parquet type-mismatch failures.
     ``keep_extra`` appends the columns ``schema`` does not name."""
     have = set(df.columns)
@@ -26,7 +27,7 @@ def canonicalize(df: DataFrame, family: int | None = None,
         if field.name == "family" and family is not None:
             cols.append(F.lit(family).cast(field.dataType).alias("family"))
         elif field.name in have:
-            cols.append(F.col(field.name).cast(field.dataType).alias(field.name))
+            cols.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
         else:
             cols.append(F.lit(None).cast(field.dataType).alias(field.name))
     if keep_extra:

@@ -26,22 +26,31 @@ def geocode_table(df: DataFrame, lat: str = "lat", lon: str = "lon",
 
 def enrich_country(positions: DataFrame, geocode: DataFrame, *, on_missing: str = "keep",
                    lat: str = "lat", lon: str = "lon", country: str = "country",
-                   failed: str = schemas.FAILED_LOOKUP) -> DataFrame:
+                   failed: str = schemas.FAILED_LOOKUP, status: str | None = None) -> DataFrame:
     """Add ``country`` to every position.
 
-    ``on_missing``: ``"keep"`` marks coordinates absent from the table with
-    ``failed`` (fail-open), ``"drop"`` removes them, ``"error"`` fails the job."""
-    table = geocode_table(geocode.select(lat, lon, country), lat, lon, country)
-    if on_missing == "drop":
-        return positions.join(table, [lat, lon], "inner")
-    out = positions.join(table, [lat, lon], "left")
+    ``on_missing`` is for coordinates absent from the table: ``"keep"`` marks
+    them with ``failed`` (fail-open), ``"drop"`` removes them, ``"error"`` fails
+    the job.  A coordinate answered without a country, and a position without
+    coordinates, have a NULL country, which :func:`country_filter` drops.
+    ``status`` names an extra column: ``answered``, ``failed`` (the answer is
+    ``failed`` or NULL) or ``absent``."""
+    if on_missing not in ("keep", "drop", "error"):
+        raise ValueError(f"unknown on_missing policy {on_missing!r}")
+    table = (geocode_table(geocode.select(lat, lon, country), lat, lon, country)
+             .where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumn("_known", F.lit(True)))
+    out = positions.join(table, [lat, lon], "inner" if on_missing == "drop" else "left")
+    absent = F.col("_known").isNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    answer = F.col(country)
+    if status:
+        out = out.withColumn(status, F.when(F.col("_known").isNull(), "absent")
+                             .when(answer.isNull() | (answer == failed), "failed").otherwise("answered"))
     if on_missing == "keep":
-        return out.withColumn(country, F.coalesce(F.col(country), F.lit(failed)))
-    if on_missing == "error":
-        return out.withColumn(country, F.when(F.col(country).isNull(),
-                                              F.raise_error(F.lit("coordinate missing from geocode table")))
-                              .otherwise(F.col(country)))
-    raise ValueError(f"unknown on_missing policy {on_missing!r}")
+        out = out.withColumn(country, F.when(absent, F.lit(failed)).otherwise(answer))
+    elif on_missing == "error":
+        out = out.withColumn(country, F.when(absent, F.raise_error(
+            F.lit("coordinate missing from geocode table"))).otherwise(answer))
+    return out.drop("_known")
 
 
 def country_filter(df: DataFrame, country: str = schemas.COUNTRY_NAME,
@@ -57,5 +66,5 @@ def country_filter(df: DataFrame, country: str = schemas.COUNTRY_NAME,
 def geocode_worklist(positions: DataFrame, geocode: DataFrame, lat: str = "lat",
                      lon: str = "lon") -> DataFrame:
     """Distinct coordinates that still need a lookup."""
-    return (positions.select(lat, lon).distinct()
+    return (positions.select(lat, lon).na.drop().distinct()
             .join(geocode.select(lat, lon), [lat, lon], "left_anti"))

@@ -246,9 +246,9 @@ def positions_with_min_distance(spark, sf):
 
 @query("nearest_city_ties", with_(READINGS_CTE, POS_CTE, CITY_CTE,
                                   f"d AS (SELECT sensor_id, geonameid, {DIST} AS dist FROM pos, city)")
-       + """ SELECT a.sensor_id, a.geonameid, a.dist FROM d a
-             LEFT JOIN d b ON a.sensor_id = b.sensor_id AND a.dist > b.dist
-             WHERE b.sensor_id IS NULL""")
+       + """ SELECT sensor_id, geonameid, dist FROM (
+               SELECT *, rank() OVER (PARTITION BY sensor_id ORDER BY dist) AS rk FROM d)
+             WHERE rk = 1""")
 def nearest_city_ties(spark, sf):
     """Every nearest city per sensor, unbounded, ties kept."""
     # gazetteer rows are keyed by geonameid: no identical rows to collapse
@@ -482,7 +482,7 @@ def coord_key_roundtrip(spark, sf):
     return k.select("s_suppkey", "coord_key", parts[0].alias("a"), parts[1].alias("b"))
 
 
-@query("file_basename", "SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS file FROM pages")
+@query("file_basename", "SELECT page_id, regexp_extract(url, '([^/]*)/*$', 1) AS file FROM pages")
 def file_basename(spark, sf):
     return B.table(spark, sf, "pages").select("page_id", basename("url").alias("file"))
 
@@ -497,11 +497,28 @@ def exact_sample(spark, sf):
     return sampling.exact_sample(rd, SAMPLE_N, ["reading_id"])
 
 
-@query("random_sample_bound")
+@query("random_sample_bound", with_(READINGS_CTE) + f"""
+ SELECT true AS within_bound, true AS members, true AS repeatable, true AS near_expected,
+        least({SAMPLE_N}, count(*)) AS bound FROM r""")
 def random_sample_bound(spark, sf):
-    """Bernoulli sample capped at the bound (seeded; no SQL equivalent)."""
-    rd = _readings(spark, sf).select("reading_id", "sensor_id", "P1")
-    return sampling.random_sample(rd, SAMPLE_N, seed=7)
+    """Facts about the Bernoulli sample: rows within the bound, every row a
+    reading and none twice, the same rows for the same seed, and a size
+    within six standard deviations of the bound (the cap only cuts)."""
+    rd = materialize(spark, _readings(spark, sf).select("reading_id", "sensor_id", "P1"), name="sampled")
+    one = materialize(spark, sampling.random_sample(rd, SAMPLE_N, seed=7), name="sample")
+    two = sampling.random_sample(rd, SAMPLE_N, seed=7)
+    total = rd.agg(F.count(F.lit(1)).alias("total"))
+    size = one.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("reading_id").alias("ids"))
+    found = one.join(rd, ["reading_id", "sensor_id", "P1"], "left_semi").agg(F.count(F.lit(1)).alias("found"))
+    same = one.join(two, ["reading_id", "sensor_id", "P1"], "left_semi").agg(F.count(F.lit(1)).alias("same"))
+    facts = total.crossJoin(size).crossJoin(found).crossJoin(same)  # one row each
+    bound = F.least(F.lit(SAMPLE_N).cast("long"), F.col("total"))
+    return facts.select(
+        (F.col("n") <= bound).alias("within_bound"),
+        ((F.col("found") == F.col("n")) & (F.col("ids") == F.col("n"))).alias("members"),
+        (F.col("same") == F.col("n")).alias("repeatable"),
+        (F.col("n") >= bound - 6 * F.sqrt(bound.cast("double"))).alias("near_expected"),
+        bound.alias("bound"))
 
 
 @query("ml_corr_matrix", with_(NULLS_CTE, corr_sql("nv", ["x", "y", "h"])))

@@ -20,12 +20,13 @@ from aerocorr.operators.clean import distinct_positions
 from aerocorr.sources import bindings as B
 from aerocorr.sources.cities import read_cities
 from aerocorr.sources.landing import land
-from aerocorr.sources.readings import read_landed, read_readings
+from aerocorr.sources.readings import read_family, read_landed, read_readings
 from aerocorr.sources.sinks import materialize, write_sample_csv
 from aerocorr.sources.sites import read_sites
 
 LANDED_SCHEMA = T.StructType(schemas.READING_SCHEMA.fields + [
-    T.StructField("hour_of_day", T.IntegerType()), T.StructField("month", T.StringType())])
+    T.StructField("hour_of_day", T.IntegerType()), T.StructField("month", T.StringType()),
+    T.StructField("source_file", T.StringType())])
 SAMPLE_SCHEMA = "reading_id BIGINT, sensor_id BIGINT, avg_p DOUBLE, min_dist DOUBLE"
 
 
@@ -142,6 +143,39 @@ def land_manifest(spark, sf):
     return landed.select("sensor_id", "family", "month", "P1", "P2")
 
 
+@query("land_incremental", with_(READINGS_CTE)
+       + """ SELECT sensor_id, family, '2024-0' || (1 + sensor_id % 2) AS month, P1, P2 FROM r""")
+def land_incremental(spark, sf):
+    """Two calls that land files of the same family and month: the second one
+    adds its files, lists some of the first again, and erases nothing."""
+    base, out = work_dir(spark, "months"), work_dir(spark, "landed")
+    calls = ([], [])
+    for fam, df in B.reading_families(spark, sf).items():
+        for month in (1, 2):
+            rows = df.where(F.col("sensor_id") % 2 == month - 1)
+            for call in (0, 1):
+                path = f"{base}/{fam}/{month}/call {call}"
+                rows.where(F.col("reading_id") % 2 == call).select(
+                    F.col("sensor_id").cast("int"), "lat", "lon", "timestamp", "P1", "P2").write.parquet(path)
+                calls[call].append((path, fam, f"2024-0{month}"))
+    for entries in (calls[0], calls[1] + calls[0][:1]):
+        land(spark, spark.createDataFrame(entries, "path string, family int, month string"), out)
+    return read_landed(spark, out, schema=LANDED_SCHEMA).select("sensor_id", "family", "month", "P1", "P2")
+
+
+@query("family_mixed_schema", with_(READINGS_CTE) + """
+ SELECT sensor_id, lat, lon, P1, CASE WHEN sensor_id % 2 = 0 THEN P2 END AS P2 FROM r WHERE family = 2""")
+def family_mixed_schema(spark, sf):
+    """One family whose older files lack a column and hold narrower integers."""
+    base = work_dir(spark, "mixed")
+    rows = B.reading_families(spark, sf)[2]
+    rows.where("sensor_id % 2 = 1").select(F.col("sensor_id").cast("int"), "lat", "lon", "timestamp",
+                                           "P1").write.parquet(f"{base}/old")
+    rows.where("sensor_id % 2 = 0").select(F.col("sensor_id").cast("long"), "lat", "lon", "timestamp",
+                                           "P1", "P2").write.parquet(f"{base}/new")
+    return read_family(spark, [f"{base}/old", f"{base}/new"], 2).select("sensor_id", "lat", "lon", "P1", "P2")
+
+
 # --- streaming ----------------------------------------------------------------------
 
 @query("streaming_landing", with_(READINGS_CTE)
@@ -165,12 +199,12 @@ def streaming_landing(spark, sf):
  GROUP BY sensor_id, lat, lon""")
 def streaming_position_moments(spark, sf):
     """Running per-position moments maintained by a streaming aggregation."""
-    from aerocorr.streaming import start_position_moments, stream_readings
+    from aerocorr.streaming import read_snapshot, start_position_moments, stream_readings
     paths = _write_families(spark, sf)
     out = work_dir(spark, "stream-moments")
     q = start_position_moments(spark, stream_readings(spark, paths, max_files_per_trigger=2), out)
     q.awaitTermination()
-    m = spark.read.parquet(out)
+    m = read_snapshot(spark, out)
     # sums sit on exact decimal grids (avg_p is a multiple of 0.005), so
     # rounding them compares engines without float-noise ties
     n, mean, var = F.col("_n"), F.col("_mean"), F.col("_var")
@@ -183,12 +217,12 @@ def streaming_position_moments(spark, sf):
 def streaming_remoteness_corr(spark, sf):
     """The flagship matrix computed from the moments the streaming job keeps
     current (several micro-batches merged in its state)."""
-    from aerocorr.streaming import start_position_moments, stream_readings
+    from aerocorr.streaming import read_snapshot, start_position_moments, stream_readings
     paths = _write_families(spark, sf)
     out = work_dir(spark, "stream-moments")
     q = start_position_moments(spark, stream_readings(spark, paths, max_files_per_trigger=2), out)
     q.awaitTermination()
-    return studies.remoteness_from_moments(spark.read.parquet(out), B.sites(spark, sf), digits=DIGITS)
+    return studies.remoteness_from_moments(read_snapshot(spark, out), B.sites(spark, sf), digits=DIGITS)
 
 
 @query("remoteness_corr_landed", with_(*REMOTENESS_ROWS_SQL, corr_sql("j", ["avg_p", "min_dist"])))

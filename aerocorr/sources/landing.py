@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +11,10 @@ from aerocorr.functions.keys import basename
 from aerocorr.functions.time import STORED_HOUR, hour_of_day
 from aerocorr.operators.clean import canonicalize
 from aerocorr.schemas import READING_SCHEMA
+from aerocorr.sources.readings import files_of, merged_reads
 
 LANDED_COLUMNS = READING_SCHEMA.fieldNames()
-
-MAX_BROADCAST_FILES = 1_000_000  # manifest rows are (file, family, month): a few MB at most
+PARTITIONS = ["family", "month", "source_file"]
 
 
 def with_stored_hour(df: DataFrame) -> DataFrame:
@@ -21,45 +23,50 @@ def with_stored_hour(df: DataFrame) -> DataFrame:
 
 
 def dedupe_manifest(manifest: DataFrame, path_col: str = "path") -> DataFrame:
-    """One entry per (family, file basename): a file listed twice lands once."""
-    m = manifest.withColumn("file", basename(path_col))
-    return m.dropDuplicates(["family", "file"])
+    """One entry per (family, month, file basename), the smallest path: a file
+    listed twice lands once, files of the same name in two months both land."""
+    return (manifest.groupBy("family", F.col("month").cast("string").alias("month"),
+                             basename(path_col).alias("file"))
+            .agg(F.min(path_col).alias(path_col)))
 
 
 def land(spark: SparkSession, manifest: DataFrame, out: str, path_col: str = "path") -> DataFrame:
     """Read every already-fetched file named in ``manifest`` (columns
-    ``path``, ``family``, ``month``), cast it to the canonical reading schema and
-    write it under ``out`` partitioned by ``family`` and ``month``.  Partitions
-    present in the manifest are overwritten, so re-running is idempotent.
+    ``path``, ``family``, ``month``; a path may be a folder), cast it to the
+    canonical reading schema and write it under ``out`` partitioned by
+    ``family``, ``month`` and ``source_file``.  A re-run replaces the files it
+    names and nothing else, so months grow file by file.
 
-    The hour of day is parsed once here and stored as an integer column
-    (studies filter on it instead of re-parsing text timestamps), and each
-    file is sorted by sensor and time, which tightens Parquet min/max
-    statistics and compression.
+    Files may differ in columns and types.  The hour of day is parsed once here
+    and stored as an integer column, and each file is sorted by sensor and time,
+    which tightens Parquet statistics and compression.  Afterwards the rows of
+    every file are counted on both sides (no columns are read) and a difference
+    fails the call.
 
-    Only the manifest (one row per file) reaches the driver, to name the
-    files for the reader; the readings themselves are read and written by
-    the executors."""
-    m = dedupe_manifest(manifest, path_col)
-    files = m.select(path_col, "family").collect()  # a file list, not data
-    by_family: dict[int, list[str]] = {}
-    for row in files:
-        by_family.setdefault(int(row["family"]), []).append(row[path_col])
-    months = m.select(F.col("file").alias("_file"), "family",
-                      F.col("month").cast("string").alias("month"))
-    if len(files) <= MAX_BROADCAST_FILES:  # the manifest size is known exactly here
-        months = F.broadcast(months)
-    parts = []
-    for fam, paths in sorted(by_family.items()):
-        raw = spark.read.parquet(*paths)
-        raw = raw.select("*", F.col("_metadata.file_name").alias("_file"))
-        df = canonicalize(raw, fam, keep_extra=True).select(*LANDED_COLUMNS, "_file")
-        parts.append(df.join(months, ["_file", "family"]).drop("_file"))
-    out_df = parts[0]
-    for p in parts[1:]:
-        out_df = out_df.unionByName(p)
-    out_df = (with_stored_hour(out_df)
-              .sortWithinPartitions("family", "month", "sensor_id", "timestamp"))
-    (out_df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("family", "month").parquet(out))
+    Only the manifest (one row per file) reaches the driver, to name the files
+    for the reader; the readings are read and written by the executors."""
+    groups: dict[tuple[int, str], list[str]] = {}
+    for row in dedupe_manifest(manifest, path_col).collect():  # a file list, not data
+        groups.setdefault((int(row["family"]), row["month"]), []).append(row[path_col])
+    if not groups:
+        empty = with_stored_hour(spark.createDataFrame([], READING_SCHEMA))
+        return empty.withColumns({"month": F.lit(""), "source_file": F.lit("")})
+    parts, counts = [], []
+    for (family, month), paths in sorted(groups.items()):
+        for raw in merged_reads(spark, files_of(spark, paths)):
+            raw = raw.withColumns({"month": F.lit(month), "source_file": F.col("_metadata.file_name")})
+            parts.append(canonicalize(raw, family, keep_extra=True)
+                         .select(*LANDED_COLUMNS, "month", "source_file"))
+            counts.append(raw.select(F.lit(family).alias("family"), "month", "source_file"))
+    union = lambda dfs: reduce(DataFrame.unionByName, dfs)
+    (with_stored_hour(union(parts))
+        .sortWithinPartitions(*PARTITIONS, "sensor_id", "timestamp")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PARTITIONS).parquet(out))
+    landed = spark.read.schema("sensor_id BIGINT, family INT, month STRING, source_file STRING").parquet(out)
+    tally = lambda df, name: df.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias(name))
+    lost = (tally(union(counts), "listed").join(tally(landed, "landed"), PARTITIONS, "left")
+            .where("landed IS NULL OR landed <> listed").limit(5).collect())
+    if lost:
+        raise RuntimeError(f"landed rows differ from the listed files: {lost}")
     return spark.read.parquet(out)

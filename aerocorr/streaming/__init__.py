@@ -1,5 +1,5 @@
 """Structured Streaming jobs: incremental landing and running moments."""
 
 from aerocorr.streaming.ingest import (  # noqa: F401
-    start_landing, start_position_moments, stream_readings, with_month,
+    read_snapshot, start_landing, start_position_moments, stream_readings, with_month,
 )

@@ -5,7 +5,7 @@ def test_cluster_conf_scales_with_input():
     small = cluster_conf(10 << 30, 64)
     big = cluster_conf(100 << 40, 8000)
     assert int(big["_expected_scan_tasks"]) == 204800
-    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 409_600
     assert int(small["spark.sql.shuffle.partitions"]) == 192
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
 

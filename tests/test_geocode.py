@@ -40,3 +40,16 @@ def test_enrich_policies_and_worklist(spark):
     assert work == [(52.0, 9.0)]
     with pytest.raises(Exception):
         geocode.enrich_country(pos, geo, on_missing="error").collect()
+
+
+def test_answered_without_country_failed_and_absent_are_told_apart(spark):
+    pos = spark.createDataFrame([(1, 1.0, 1.0), (2, 2.0, 2.0), (3, 3.0, 3.0), (4, 4.0, 4.0), (5, None, 8.0)],
+                                "sensor_id int, lat double, lon double")
+    known = spark.createDataFrame([(1.0, 1.0, "Deutschland"), (2.0, 2.0, None), (3.0, 3.0, "error")],
+                                  "lat double, lon double, country string")
+    got = geocode.enrich_country(pos, known, status="status")
+    assert {r.sensor_id: (r.country, r.status) for r in got.collect()} == {
+        1: ("Deutschland", "answered"), 2: (None, "failed"), 3: ("error", "failed"),
+        4: ("error", "absent"), 5: (None, "absent")}
+    assert sorted(r.sensor_id for r in geocode.country_filter(got).collect()) == [1, 3, 4]
+    assert [(r.lat, r.lon) for r in geocode.geocode_worklist(pos, known).collect()] == [(4.0, 4.0)]

@@ -51,3 +51,14 @@ def test_salted_left_join_keeps_unmatched_rows(spark, skewed):
     plain = sorted(tuple(r) for r in skewed.join(attrs, "sensor_id", "left").collect())
     salted = sorted(tuple(r) for r in joins.salted_join(skewed, attrs, "sensor_id", 5, "left").collect())
     assert salted == plain and len(salted) == skewed.count()
+
+
+def test_salt_spreads_a_key_of_constant_rows(spark):
+    """A stuck sensor repeating one value reaches every salt."""
+    big = spark.range(0, 10_000, 1, 4).select(F.lit(1).alias("k"), F.lit(2.5).alias("v"))
+    small = spark.createDataFrame([(1, "x")], "k int, a string")
+    joined = joins.salted_join(big, small, "k", 16)
+    assert joined.count() == 10_000
+    salts = big.select(F.pmod(F.monotonically_increasing_id(), F.lit(16)).alias("s")).groupBy("s").count().collect()
+    assert len(salts) == 16 and max(r["count"] for r in salts) < 1_000
+    assert "monotonically_increasing_id" in joined._jdf.queryExecution().optimizedPlan().toString()

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from aerocorr import schemas
 from aerocorr.operators.stats import grouped_moments
-from aerocorr.streaming import start_landing, start_position_moments, stream_readings
+from aerocorr.streaming import read_snapshot, start_landing, start_position_moments, stream_readings
 
 
 def _write(spark, path, rows):
@@ -20,11 +20,11 @@ def test_moments_accumulate_across_runs(spark, tmp_path):
     second = [(1, 50.0, "2018-01-02 08:00:00", 30.0, 40.0), (3, 52.0, "2018-01-02 09:00:00", 5.0, 5.0)]
     _write(spark, src, first)
     start_position_moments(spark, stream_readings(spark, {2: src}), out, ckpt).awaitTermination()
-    snap1 = {r.sensor_id: (r._n, r._mean) for r in spark.read.parquet(out).collect()}
+    snap1 = {r.sensor_id: (r._n, r._mean) for r in read_snapshot(spark, out).collect()}
     assert snap1 == {1: (1, 15.0), 2: (0, None)}
     _write(spark, src, second)
     start_position_moments(spark, stream_readings(spark, {2: src}), out, ckpt).awaitTermination()
-    got = {r.sensor_id: (r._n, r._mean, r._var) for r in spark.read.parquet(out).collect()}
+    got = {r.sensor_id: (r._n, r._mean, r._var) for r in read_snapshot(spark, out).collect()}
     assert got[1][:2] == (2, 25.0) and got[1][2] == pytest.approx(100.0)
     assert got[3][:2] == (1, 5.0) and got[2][0] == 0
 
@@ -52,5 +52,5 @@ def test_stream_and_batch_moments_agree(spark, tmp_path):
     batch = grouped_moments(spark.read.parquet(src), ["sensor_id", "lat", "lon"],
                             (F.col("P1") + F.col("P2")) / 2)
     want = sorted((r.sensor_id, r.lat, r._n, round(r._mean, 9)) for r in batch.collect())
-    got = sorted((r.sensor_id, r.lat, r._n, round(r._mean, 9)) for r in spark.read.parquet(out).collect())
+    got = sorted((r.sensor_id, r.lat, r._n, round(r._mean, 9)) for r in read_snapshot(spark, out).collect())
     assert got == want
