@@ -19,7 +19,13 @@ def planar_distance(lat1, lon1, lat2, lon2) -> Column:
     return F.sqrt(dlat * dlat + dlon * dlon)
 
 
+CELL_LIMIT = float(1 << 52)
+
+
 def grid_cell(coord, cell_size) -> Column:
-    """Index of the grid cell of width ``cell_size`` holding ``coord``."""
+    """Index of the grid cell of width ``cell_size`` holding ``coord``.
+    Coordinates beyond 2**52 cells share the outermost one, so any finite value
+    has a cell (clamping never takes two points further apart)."""
     size = cell_size if isinstance(cell_size, Column) else F.lit(float(cell_size))
-    return F.floor(_c(coord) / size)
+    ratio = F.least(F.greatest(_c(coord) / size, F.lit(-CELL_LIMIT)), F.lit(CELL_LIMIT))
+    return F.floor(ratio)

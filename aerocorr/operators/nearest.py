@@ -8,40 +8,41 @@ edges), which makes the search exact:
 
 * bounded search (``radius``): one grid level with ``c = radius * (1 + GUARD)``;
   a nearest site at distance ``< radius`` is always a candidate.
-* unbounded search: phase 0 runs a fine level for every position.  A sensor
-  whose best candidate lies within the level's guaranteed radius is exact
-  (every pair that could beat or tie it was a candidate).  The remaining
-  sensors run phase 1 at a per-sensor coarser level whose guaranteed radius
-  covers an upper bound of their nearest distance, so again every pair that
-  could beat or tie it is a candidate.  The bound is the best phase-0
-  candidate; a sensor with none probes one representative site per cell,
-  level by level, and takes the nearest representative (a real site) as its
-  bound, so a sensor far from every site still meets only the sites around
-  its nearest ones rather than all of them.
+* unbounded search: phase 0 runs this fine level for every position.  A key
+  whose best candidate lies within the level's guaranteed radius is exact.  The
+  others descend a hierarchy of the cells that hold sites, from cells that hold
+  everything down to the fine level: of each level's cells a key keeps those
+  whose nearest corner is not beyond its bound, and its bound is the least of
+  its phase-0 candidate and the farthest corners seen so far.  Only the fine
+  cells that survive are joined with the sites, so a far-off sensor meets the
+  sites around its nearest one and never all of them.
 
 Ties are kept (``rank() == 1`` per key), which Spark plans as a
 WindowGroupLimit that already trims candidates before the shuffle.  NULL,
 NaN or infinite coordinates on either side never match.
 
-Work and actions: two small aggregates over the site table pick the base
-cell (bounding box; occupancy, so no cell holds more than ``CELL_CAP`` sites);
-phase 0's rank-1 rows are checkpointed in the shared checkpoint folder, and
-bounded probes (``limit(1)``) decide whether a second pass, and the
-representative probe, are needed at all.
+Work and actions: small aggregates over the site table pick the base cell
+(bounding box; occupancy, so no cell holds more than ``CELL_CAP`` sites unless
+they coincide); phase 0's rank-1 rows are checkpointed in the shared checkpoint
+folder, a bounded probe (``limit(1)``) decides whether the descent is needed at
+all, and the descent writes its pairs every few levels.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerocorr.config import ensure_checkpoint_dir
 from aerocorr.functions.geo import grid_cell, planar_distance
+from aerocorr.sources.sinks import materialize
 
 GUARD = 1e-3        # cell width = guaranteed radius * (1 + GUARD)
-MAX_LEVEL = 60      # coarsest phase-1 level: cell = base cell * 2**60
+STEP_BITS = 2       # a level of the descent splits a cell into 4 x 4
+WRITE_EVERY = 4     # levels between written tables of the descent
 
 
 def _usable(a: str, b: str):
@@ -128,7 +129,7 @@ def auto_cell(n: int, lat0: float, lat1: float, lon0: float, lon1: float) -> flo
 
 
 CELL_CAP = 64       # most sites one automatic cell may hold
-CELL_STEPS = 8      # candidate widths tried: the automatic one, then halvings
+CELL_STEPS = 8      # widths measured by one aggregate: one and its halvings
 
 
 def site_profile(st: DataFrame, site_lat: str, site_lon: str) -> dict:
@@ -143,27 +144,32 @@ def site_profile(st: DataFrame, site_lat: str, site_lon: str) -> dict:
 def base_cell(st: DataFrame, site_lat: str, site_lon: str, profile: dict,
               cap: int = CELL_CAP, steps: int = CELL_STEPS) -> float:
     """The power of two nearest to :func:`auto_cell` (in log scale), halved
-    until its densest cell holds at most ``cap`` sites, so clustered sites
-    cannot put a hot cell in front of every nearby position.  One aggregate
-    measures all candidate widths; with at most ``cap`` sites none is needed.
-    If no width gets there, the excess is coincident points that no grid
-    splits, and the first width is kept.  (The width only changes how much
-    work the search does, never its result.)"""
+    until its densest cell holds at most ``cap`` sites, however far a stray site
+    stretches the bounding box.  One aggregate measures ``steps`` widths.  Where
+    halving no longer thins the densest cell, its sites coincide and the widest
+    such width is taken.  (The width only changes how much work the search
+    does, never its result.)"""
     start = auto_cell(profile["n"], profile["lat0"], profile["lat1"], profile["lon0"], profile["lon1"])
     top = round(math.log2(start))
-    ks = [top - i for i in range(steps)]
     if profile["n"] <= cap:
         return 2.0 ** top
     pts = st.select(F.col(site_lat).alias("_a"), F.col(site_lon).alias("_b"))
-    lv = pts.select("*", F.explode(F.array(*[F.lit(k) for k in ks])).alias("_k"))
-    size = F.pow(F.lit(2.0), F.col("_k"))
-    occ = (lv.groupBy("_k", F.floor(F.col("_a") / size), F.floor(F.col("_b") / size)).count()
-             .groupBy("_k").agg(F.max("count").alias("_m")))
-    worst = {r["_k"]: r["_m"] for r in occ.collect()}  # one row per candidate width
-    for k in ks:
-        if worst.get(k, 0) <= cap:
-            return 2.0 ** k
-    return 2.0 ** top
+    largest = max(abs(profile[k]) for k in ("lat0", "lat1", "lon0", "lon1"))
+    finest = round(math.log2(max(largest, 1e-300))) - 50  # finer cells tell no doubles apart
+    seen: dict[int, int] = {}
+    while top > finest:
+        ks = list(range(top, max(top - steps, finest - 1), -1))
+        lv = pts.select("*", F.explode(F.array(*[F.lit(k) for k in ks])).alias("_k"))
+        size = F.pow(F.lit(2.0), F.col("_k"))
+        occ = (lv.groupBy("_k", grid_cell("_a", size), grid_cell("_b", size)).count()
+                 .groupBy("_k").agg(F.max("count").alias("_m")))
+        seen |= {r["_k"]: r["_m"] for r in occ.collect()}  # one row per candidate width
+        for k in ks:
+            if seen[k] <= cap:
+                return 2.0 ** k
+        top -= steps
+    least = min(seen.values(), default=0)
+    return 2.0 ** max((k for k, m in seen.items() if m == least), default=top)
 
 
 def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cell, mode,
@@ -206,67 +212,78 @@ def _nearest(positions, sites, keys, lat, lon, site_lat, site_lon, dist_col, cel
     top0 = top0.checkpoint(eager=True)
     done0 = top0.where(F.col(dist_col) <= F.lit(r0))
 
-    # phase 1: keys without a candidate inside the guaranteed radius
+    # keys without a candidate inside the guaranteed radius
     ub = (top0.select(*keys, F.col(dist_col).alias("_ub")) if mode == "min"
           else top0.groupBy(*keys).agg(F.min(dist_col).alias("_ub")))
-
-    def level_of(bound):
-        """Smallest level whose guaranteed radius covers ``bound``."""
-        ratio = bound * F.lit(1 + GUARD) / F.lit(c0)
-        return F.least(F.lit(MAX_LEVEL), F.greatest(
-            F.lit(1), (F.floor(F.log2(F.greatest(ratio, F.lit(1.0)))) + 1).cast("int")))
-
-    def cells(df, x, y):
-        size = F.lit(c0) * F.pow(F.lit(2.0), F.col("_lvl"))
-        return df.withColumns({"_cx": F.floor(F.col(x) / size), "_cy": F.floor(F.col(y) / size)})
-
-    def sites_at(levels):
-        """Sites keyed by their cell at each level in ``levels`` (<= MAX_LEVEL rows)."""
-        lv = st.withColumn("_lvl", F.explode(F.sequence(F.lit(1), F.lit(MAX_LEVEL))))
-        return cells(lv.join(F.broadcast(levels), "_lvl", "left_semi"), site_lat, site_lon)
-
-    far_lat = F.greatest(F.abs(F.col(lat) - F.lit(ext["lat0"])), F.abs(F.col(lat) - F.lit(ext["lat1"])))
-    far_lon = F.greatest(F.abs(F.col(lon) - F.lit(ext["lon0"])), F.abs(F.col(lon) - F.lit(ext["lon1"])))
-    far = F.sqrt(far_lat * far_lat + far_lon * far_lon)  # no site is farther from the position
     unres = (pos.join(ub, keys, "left")
                 .where(F.col("_ub").isNull() | (F.col("_ub") > F.lit(r0)))
                 .drop("_cx", "_cy"))
-
     if unres.limit(1).count() == 0:  # usual case: phase 0 resolved every key
         return top0
-
-    def exact_pass(bound):
-        """Each remaining key at the level whose guaranteed radius covers its
-        ``bound``: every pair that could beat or tie it is a candidate."""
-        at = unres.withColumn("_lvl", level_of(bound)).drop("_ub", "_rub")
-        p1 = _offsets(cells(at, lat, lon), "_cx", "_cy")
-        s1 = sites_at(at.select("_lvl").distinct())
-        cand1 = (p1.join(s1, ["_lvl", "_cx", "_cy"]).drop("_lvl", "_cx", "_cy")
-                   .withColumn(dist_col, planar_distance(lat, lon, site_lat, site_lon)))
-        return done0.unionByName(best(cand1))
-
-    if radius is not None:
-        # every pair that matters lies within the radius: it bounds the keys
-        # that found no candidate, the best candidate bounds the others
-        return exact_pass(F.coalesce(F.col("_ub"), F.lit(radius)))
-
-    # A key with no phase-0 candidate at all gets a real-site bound first: one
-    # representative site per non-empty cell and level, probed in the 3x3
-    # blocks of every level up to the one that covers the whole site box.
-    # This keeps far-away sensors from meeting every site in the exact pass.
-    lost = unres.where(F.col("_ub").isNull()).select(*keys, lat, lon, level_of(far).alias("_top"))
-    if lost.limit(1).count() == 0:  # usual case: every key has a phase-0 candidate
-        return exact_pass(F.col("_ub"))
-    probe = _offsets(cells(lost.withColumn("_lvl", F.explode(F.sequence(F.lit(1), F.col("_top")))),
-                           lat, lon), "_cx", "_cy")
-    reps = (sites_at(probe.select("_lvl").distinct())
-            .groupBy("_lvl", "_cx", "_cy")
-            .agg(F.min(site_lat).alias("_rlat"), F.min_by(site_lon, site_lat).alias("_rlon")))
-    rep_ub = (probe.join(reps, ["_lvl", "_cx", "_cy"])
-                   .withColumn("_rd", planar_distance(lat, lon, "_rlat", "_rlon"))
-                   .groupBy(*keys).agg(F.min("_rd").alias("_rub")))
-    unres = unres.join(rep_ub, keys, "left")
-    return exact_pass(F.coalesce(F.col("_ub"), F.col("_rub"), far))
+    far = float("inf") if radius is None else radius
+    asked = unres.select(*keys, lat, lon, F.coalesce("_ub", F.lit(far)).alias("_ub")).distinct()
+    near = _descend(asked, st, c0, ext, keys, lat, lon, site_lat, site_lon)
+    where = [F.col(lat) == F.col("_plat"), F.col(lon) == F.col("_plon")] + [
+        F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    named = near.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                        F.col(lat).alias("_plat"), F.col(lon).alias("_plon"), "_cx", "_cy")
+    cand = (unres.drop("_ub").join(named, reduce(lambda a, b: a & b, where))
+            .drop("_plat", "_plon", *[f"_k{i}" for i in range(len(keys))])
+            .join(_with_cell(st, c0, site_lat, site_lon), ["_cx", "_cy"]).drop("_cx", "_cy")
+            .withColumn(dist_col, planar_distance(lat, lon, site_lat, site_lon)))
+    return done0.unionByName(best(cand))
+
+
+def _descend(asked, st, c0, ext, keys, lat, lon, site_lat, site_lon) -> DataFrame:
+    """The fine cells in which each asked ``(keys, lat, lon, _ub)`` may have its
+    nearest site: ``asked`` with ``(_cx, _cy)``.  ``_ub`` is an upper bound of
+    the key's distance, infinite if unknown."""
+    spark = asked.sparkSession
+    fine = materialize(spark, (
+        _with_cell(st, c0, site_lat, site_lon).groupBy("_cx", "_cy").agg(
+            F.min(site_lat).alias("_a0"), F.max(site_lat).alias("_a1"),
+            F.min(site_lon).alias("_b0"), F.max(site_lon).alias("_b1"))), name="site-cells")
+    span = fine.agg(F.max("_cx") - F.min("_cx"), F.max("_cy") - F.min("_cy")).first()
+    bits = max(span).bit_length()
+    levels = list(range(-(-bits // STEP_BITS) * STEP_BITS, -1, -STEP_BITS))
+
+    def cells(level):
+        """Site cells of a level with the box of their sites; a cell's number
+        is the fine number without its last bits."""
+        at = [F.shiftright(c, level).alias(c) for c in ("_cx", "_cy")]
+        up = [F.shiftright(c, level + STEP_BITS).alias(f"{c}up") for c in ("_cx", "_cy")]
+        box = [F.min("_a0").alias("_a0"), F.max("_a1").alias("_a1"),
+               F.min("_b0").alias("_b0"), F.max("_b1").alias("_b1")]
+        return fine.select(*at, *up, "_a0", "_a1", "_b0", "_b1").groupBy(
+            "_cx", "_cy", "_cxup", "_cyup").agg(*box)
+
+    # every asked row starts at each of the top cells, at most 2 x 2 by the choice of the level
+    roots = [F.struct(F.lit(r["_cx"]).alias("_cx"), F.lit(r["_cy"]).alias("_cy"))
+             for r in cells(levels[0]).select("_cx", "_cy").collect()]
+    pairs = asked.select("*", F.inline(F.array(*roots)))
+    for n, level in enumerate(levels):
+        if n:
+            pairs = pairs.withColumnsRenamed({"_cx": "_cxup", "_cy": "_cyup"}).join(
+                cells(level), ["_cxup", "_cyup"]).drop("_cxup", "_cyup")
+        else:
+            pairs = pairs.join(cells(level).drop("_cxup", "_cyup"), ["_cx", "_cy"])
+        p, q = F.col(lat), F.col(lon)
+        zero = F.lit(0.0)
+        least = planar_distance(F.greatest(F.col("_a0") - p, p - F.col("_a1"), zero),
+                                F.greatest(F.col("_b0") - q, q - F.col("_b1"), zero), zero, zero)
+        most = planar_distance(F.greatest(F.abs(p - F.col("_a0")), F.abs(p - F.col("_a1"))),
+                               F.greatest(F.abs(q - F.col("_b0")), F.abs(q - F.col("_b1"))), zero, zero)
+        measured = pairs.withColumns({"_near": least, "_far": most}).drop("_a0", "_a1", "_b0", "_b1")
+        bound = measured.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+            F.min("_far").alias("_reach"))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+        pairs = (measured.join(bound, same)
+                 .withColumn("_ub", F.least("_ub", "_reach"))
+                 .where(F.col("_near") <= F.col("_ub") * F.lit(1 + 1e-9))  # rounding never drops a tie
+                 .drop("_near", "_far", "_reach", *[f"_k{i}" for i in range(len(keys))]))
+        if n % WRITE_EVERY == WRITE_EVERY - 1:
+            pairs = materialize(spark, pairs, name="site-descent")
+    return pairs.drop("_ub")
 
 
 def nearest_sites(positions: DataFrame, sites: DataFrame, *,

@@ -183,3 +183,38 @@ def test_no_positions(spark):
     assert nearest.min_distance(p, s).count() == 0
     assert nearest.nearest_sites(p, s).count() == 0
     assert nearest.nearest_within(p, s, 0.5).count() == 0
+
+
+def _pairs_met(spark, monkeypatch, positions, sites):
+    """Rows (position, fine cell) the descent leaves, weighted by the cell's sites."""
+    met = []
+    plain = nearest._descend
+
+    def watched(asked, st, c0, ext, keys, lat, lon, site_lat, site_lon):
+        out = plain(asked, st, c0, ext, keys, lat, lon, site_lat, site_lon)
+        met.append(out.join(nearest._with_cell(st, c0, site_lat, site_lon), ["_cx", "_cy"]).count())
+        return out
+    monkeypatch.setattr(nearest, "_descend", watched)
+    p = spark.createDataFrame(positions, "sensor_id long, lat double, lon double")
+    s = spark.createDataFrame(sites, "site_id long, latitude double, longitude double")
+    got = {}
+    for r in nearest.nearest_sites(p, s).collect():
+        got.setdefault(r.sensor_id, set()).add(r.site_id)
+    for i, a, b in positions:
+        d = {j: ((a - y) * (a - y) + (b - x) * (b - x)) ** 0.5 for j, y, x in sites}
+        assert got[i] == {j for j in d if d[j] == min(d.values())}
+    return sum(met)
+
+
+@pytest.mark.parametrize("case", ["far sensors", "stray site", "huge coordinates"])
+def test_far_geometry_meets_few_pairs(spark, monkeypatch, case):
+    rng = random.Random(4)
+    sites = [(i, 47.5 + 6.4 * rng.random(), 6 + 8.6 * rng.random()) for i in range(1000)]
+    positions = [(i, 47.5 + 6.4 * rng.random(), 6 + 8.6 * rng.random()) for i in range(100)]
+    if case == "far sensors":
+        positions = [(i, 40 + rng.random(), -75 + rng.random()) for i in range(100)]
+    elif case == "stray site":
+        sites.append((5000, 99999.0, 99999.0))
+    else:
+        positions += [(900, 1e20, 3.0), (901, -1e16, 1e16)]
+    assert _pairs_met(spark, monkeypatch, positions, sites) < 0.05 * len(sites) * len(positions)
