@@ -213,9 +213,33 @@ def settlement_corr(spark: SparkSession, sf: str) -> DataFrame:
 @query("settlement_corr_rows", with_(*SETTLEMENT_ROWS_SQL,
                                      corr_sql("j", ["avg_p", "population", "elevation"])))
 def settlement_corr_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """The settlement matrix through reading-level rows (two scans)."""
+    """The settlement matrix from distinct values per sensor (one scan)."""
     return studies.settlement_study(_readings(spark, sf), B.cities(spark, sf),
-                                    radius=SETTLEMENT_RADIUS, digits=DIGITS, strategy="join")
+                                    radius=SETTLEMENT_RADIUS, digits=DIGITS, strategy="pre-aggregate")
+
+
+@query("settlement_corr_weighted", with_(*SETTLEMENT_ROWS_SQL[:6], """
+ one AS (SELECT sensor_id, arg_min(population, geonameid) AS population,
+                arg_min(elevation, geonameid) AS elevation FROM nc GROUP BY sensor_id)""", """
+ j AS (SELECT avg_p, population, elevation FROM rd JOIN one USING (sensor_id)
+       WHERE population IS NOT NULL AND elevation IS NOT NULL AND avg_p IS NOT NULL)""",
+                                         corr_sql("j", ["avg_p", "population", "elevation"])))
+def settlement_corr_weighted(spark: SparkSession, sf: str) -> DataFrame:
+    """Every reading weighs once, also of sensors with tied cities."""
+    return studies.settlement_study(_readings(spark, sf), B.cities(spark, sf), distinct_rows=False,
+                                    radius=SETTLEMENT_RADIUS, digits=DIGITS)
+
+
+@query("nearest_city_table", with_(READINGS_CTE, POS_CTE, CITY_CTE,
+                                   f"d AS (SELECT *, {DIST} AS min_dist FROM pos, city)")
+       + f""" SELECT sensor_id, lat, lon, geonameid, name, asciiname, alternatenames, latitude, longitude,
+                     population, elevation, min_dist FROM (
+                SELECT *, rank() OVER (PARTITION BY sensor_id ORDER BY min_dist) AS rk FROM d)
+              WHERE rk = 1 AND min_dist < {SETTLEMENT_RADIUS}""")
+def nearest_city_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The second study's per-sensor table with every city column."""
+    return studies.settlement_table(_stored_positions(spark, sf), B.cities(spark, sf),
+                                    radius=SETTLEMENT_RADIUS)
 
 
 @query("settlement_corr_country", None)
@@ -263,7 +287,7 @@ def nearest_city_ties(spark, sf):
                 SELECT *, rank() OVER (PARTITION BY sensor_id ORDER BY dist) AS rk FROM d)
               WHERE rk = 1 AND dist < {schemas.CITY_RADIUS}""")
 def nearest_city_within(spark, sf):
-    near = nearest.nearest_within(_positions(spark, sf), _city_attrs(spark, sf), schemas.CITY_RADIUS)
+    near = nearest.nearest_within(_stored_positions(spark, sf), _city_attrs(spark, sf), schemas.CITY_RADIUS)
     return near.select("sensor_id", "geonameid", "dist")
 
 

@@ -17,9 +17,10 @@ Settlement (and remoteness with ``strategy="join"``)::
 Per-sensor tables are one row per sensor; they are written once (cutting the
 lineage) and broadcast after a bounded row-count probe, so the readings are
 never shuffled.  Beyond the broadcast bound the join falls back to a shuffle
-join with AQE skew splitting.  The settlement study needs reading-level values
-(it correlates distinct ``(avg_p, population, elevation)`` triples), so it
-keeps the join form.
+join with AQE skew splitting.  The settlement study correlates distinct
+``(avg_p, population, elevation)`` triples: readings of sensors without a city
+in reach leave at the broadcast join, and the triples are combined per task
+before they are shuffled.
 """
 
 from __future__ import annotations
@@ -162,21 +163,29 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
                      positions: DataFrame | None = None,
                      radius: float = schemas.CITY_RADIUS, max_value: float = schemas.MAX_VALUE,
                      distinct_rows: bool = True, digits: int | None = None,
-                     persist: bool = True, strategy: str = "pre-aggregate",
+                     persist: bool = True, strategy: str = "join",
+                     one_row_per_sensor: bool | None = None,
                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                      salt_buckets: int = 0) -> DataFrame:
     """3x3 Pearson matrix of ``(avg_p, population, elevation)``.  With
     ``distinct_rows`` (the study's definition) each distinct triple weighs
-    once; otherwise each reading does.
-
-    ``strategy="pre-aggregate"`` (used when the triples are distinct and the
-    positions come from the readings) scans the readings once: a single
-    distinct over ``(sensor_id, lat, lon, qualifying avg_p)`` gives both the
-    position set and the values.  Sensor values are quantized, so that table
-    is bounded by positions x distinct values, far below the reading count
-    (for continuous-valued readings use ``strategy="join"``)."""
+    once; otherwise each reading does.  ``one_row_per_sensor`` keeps, of tied
+    cities and of several positions, the nearest city with the smallest
+    ``geonameid``; by default where readings weigh, as a reading would
+    otherwise count once per tied city.
+
+    ``strategy="join"`` finds the positions in a pruned scan, then scans the
+    readings with pushed filters and broadcasts the matched sensors.
+    ``strategy="pre-aggregate"`` scans once, with a distinct over ``(sensor_id,
+    lat, lon, avg_p)`` that is shuffled and written: for quantized values only,
+    and only with distinct rows and positions from the readings (an error
+    otherwise)."""
+    if strategy == "pre-aggregate" and not (distinct_rows and positions is None):
+        raise ValueError("pre-aggregate needs distinct rows and positions from the readings")
+    if one_row_per_sensor is None:
+        one_row_per_sensor = not distinct_rows
     ok_cond = (F.col("P1") < F.lit(max_value)) & (F.col("P2") < F.lit(max_value))
-    if strategy == "pre-aggregate" and distinct_rows and positions is None:
+    if strategy == "pre-aggregate":
         vals = readings.select("sensor_id", "lat", "lon",
                                F.when(ok_cond, avg_particulates(readings)).alias("avg_p")).distinct()
         pos = vals.select("sensor_id", "lat", "lon").distinct()
@@ -186,7 +195,7 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
             pos = materialize(readings.sparkSession,
                               vals.select("sensor_id", "lat", "lon").distinct(), name="positions")
         avg = vals.where(F.col("avg_p").isNotNull()).select("sensor_id", "avg_p")
-    elif strategy in ("pre-aggregate", "join"):
+    elif strategy == "join":
         pos = positions if positions is not None else distinct_positions(readings)
         if persist and positions is None:  # the search reads its positions more than once
             pos = materialize(readings.sparkSession, pos, name="positions")
@@ -199,6 +208,9 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
     near = settlement_table(pos, cities, radius=radius, persist=persist,
                             distinct_cities=not distinct_rows)
     attrs = near.select("sensor_id", "population", "elevation")
+    if one_row_per_sensor:
+        first = F.min(F.struct("min_dist", "geonameid", "population", "elevation")).alias("c")
+        attrs = near.groupBy("sensor_id").agg(first).select("sensor_id", "c.population", "c.elevation")
     joined = keep_if_all_present(join_attributes(avg, attrs, "sensor_id", max_broadcast_rows,
                                                  salt_buckets=salt_buckets),
                                  ["population", "elevation", "avg_p"])

@@ -3,9 +3,6 @@ import random
 import pytest
 
 from aerocorr.plans import studies
-from aerocorr.sources import bindings as B
-
-SF = "/root/testdata/sf0.001"
 
 
 def _m(df):
@@ -33,8 +30,16 @@ def test_remoteness_strategies_agree_on_moved_sensors(spark):
 
 
 def test_settlement_weights(spark):
-    rd = B.readings(spark, SF)
-    distinct = _m(studies.settlement_study(rd, B.cities(spark, SF), radius=0.5))
-    per_reading = _m(studies.settlement_study(rd, B.cities(spark, SF), radius=0.5,
-                                              distinct_rows=False))
-    assert distinct[("avg_p", "population")][1] <= per_reading[("avg_p", "population")][1]
+    """Ten readings of a sensor between two tied cities weigh ten, not twenty."""
+    rd = spark.createDataFrame([(1, 50.0, 7.0, "2018-01-01 08:00:00", float(i), 2.0) for i in range(10)]
+                               + [(2, 60.0, 7.0, "2018-01-01 08:00:00", float(i), 3.0) for i in range(4)],
+                               "sensor_id long, lat double, lon double, timestamp string, P1 double, P2 double")
+    cities = spark.createDataFrame([(5, 50.25, 100, 10), (4, 49.75, 200, 20), (6, 60.0, 300, 30)],
+                                   "geonameid int, latitude double, population long, dem int").selectExpr(
+        "geonameid", "'n' AS name", "'n' AS asciiname", "'' AS alternatenames", "latitude", "7.0D AS longitude",
+        "population", "dem")
+    n = lambda **k: _m(studies.settlement_study(rd, cities, radius=0.5, **k))[("avg_p", "population")][1]
+    assert n(distinct_rows=False) == 14 and n(distinct_rows=False, one_row_per_sensor=False) == 24
+    assert n() == n(strategy="pre-aggregate") == 24
+    with pytest.raises(ValueError):
+        studies.settlement_study(rd, cities, distinct_rows=False, strategy="pre-aggregate")
