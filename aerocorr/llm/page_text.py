@@ -33,11 +33,13 @@ RAW = frozenset("script style noscript textarea title iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt
 ruby s samp small span strike strong sub sup time tt u var wbr""".split())
-NOISE = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments
-consent cookie cookies disclaimer discussion disqus footer gdpr header legal masthead menu modal nav navbar
-navigation newsletter notice notices pager pagination popup promo promoted promotion recommended related replies
-reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar widget
-widgets""".split())
+NOISE = frozenset("""ad ads adbox adslot advert adverts advertisement advertising alert banner bottombar breadcrumb
+breadcrumbs consent cookie cookies disclaimer disqus footer gdpr header masthead menu menubar modal nav navbar
+navigation newsletter notice notices overlay pager pagination popup promo promoted promotion recommended related
+replies reply respond share sharing sidebar sidenav signup social sponsor sponsored subscribe subscription tags
+toast toolbar topbar topnav widget widgets""".split())
+NOISE_PARTS = ("comment", "advert", "cookie", "sidebar", "newsletter")  # anywhere in a word of a class or id
+HEADED = frozenset("article content entry post section title".split())  # their header belongs to the text
 NOISE_ROLES = frozenset("banner navigation complementary contentinfo search form dialog alert menu".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -66,7 +68,11 @@ def is_noise(tag: str, attributes: str) -> bool:
             return True
         if name in ("class", "id"):
             plain = re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()
-            if not NOISE.isdisjoint(SPLIT.split(plain)):
+            found = SPLIT.split(plain)
+            noise = NOISE.intersection(found)
+            if noise == {"header"} and (tag in HEADINGS or HEADED.intersection(found)):
+                noise = set()
+            if noise or any(part in x and x != "commentary" for x in found for part in NOISE_PARTS):
                 return True
     return False
 

@@ -20,6 +20,9 @@ LINE = "The quick brown fox jumps over the lazy dog, and then it sleeps."
     (f"<div id=content><p>{LINE}</p><form><label>Mail</label><button>Go</button></form><h2>Sub</h2>"
      f"<blockquote>{LINE}</blockquote></div><aside>{LINE}</aside><div class=cookie-notice>{LINE}</div>",
      f"{LINE}\nSub\n{LINE}"),
+    (f"<article><h1 class=header>T</h1><div class=entry-header>By Ann</div><p>{LINE}</p><section id=discussion>"
+     f"<p>{LINE}</p></section><ol class=commentlist><li>{LINE}</li></ol><div class=header>{LINE}</div></article>",
+     f"T\nBy Ann\n{LINE}\n{LINE}"),
     (f"<script>var t='<p>{LINE}</p>';</script><style>p{{}}</style><p>{LINE}</p>", LINE),
 ])
 def test_main_text(page, want):
