@@ -15,13 +15,11 @@ from aerocorr.plans.catalog import (
     DIGITS, GEO_COUNTRY, corr_sql, MIN_DIST_CTE, POS_CTE, READINGS_CTE, REMOTENESS_ROWS_SQL, SAMPLE_N,
     SITE_CTE, query, with_,
 )
-from aerocorr.operators import nearest
-from aerocorr.operators.clean import distinct_positions
 from aerocorr.sources import bindings as B
 from aerocorr.sources.cities import read_cities
 from aerocorr.sources.landing import land
 from aerocorr.sources.readings import read_family, read_landed, read_readings
-from aerocorr.sources.sinks import materialize, write_sample_csv
+from aerocorr.sources.sinks import write_sample_csv
 from aerocorr.sources.sites import read_sites
 
 LANDED_SCHEMA = T.StructType(schemas.READING_SCHEMA.fields + [
@@ -50,9 +48,11 @@ def csv_export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
        + " SELECT p.sensor_id, p.lat, p.lon, m.min_dist FROM pos p JOIN md m ON p.sensor_id = m.sensor_id")
 def parquet_materialize(spark, sf):
     """The nearest-site table built once, written, and served from the files."""
-    pos = distinct_positions(B.readings(spark, sf))
-    return materialize(spark, lambda: nearest.positions_with_min_distance(pos, B.sites(spark, sf)),
-                       name="nearest-site")
+    path = work_dir(spark, "nearest-site")
+    studies.remoteness_table(B.readings(spark, sf), B.sites(spark, sf), path=path)
+    # served from the files: the second call reads no sites at all
+    return studies.remoteness_table(B.readings(spark, sf), B.sites(spark, sf).limit(0), path=path,
+                                    refresh=False)
 
 
 @query("site_csv_scan", with_(SITE_CTE) + " SELECT latitude, longitude FROM site")

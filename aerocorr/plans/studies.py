@@ -56,17 +56,23 @@ def sensor_positions(readings: DataFrame, geocode: DataFrame | None = None,
 
 def remoteness_table(readings: DataFrame, sites: DataFrame, *, geocode: DataFrame | None = None,
                      country: str = schemas.COUNTRY_NAME, cell: float | None = None,
-                     persist: bool = True) -> DataFrame:
+                     persist: bool = True, path: str | None = None,
+                     refresh: bool = True) -> DataFrame:
     """Positions with their sensor-wide distance to the nearest site
-    ``(sensor_id, lat, lon, min_dist)``, written and re-read when ``persist``."""
-    pos = sensor_positions(readings, geocode, country)
-    if persist:
-        spark = readings.sparkSession
-        pos = materialize(spark, pos, name="positions")
-        near = materialize(spark, positions_with_min_distance(
-            pos, sites.select("latitude", "longitude"), cell=cell), name="nearest-site")
-        return near
-    return positions_with_min_distance(pos, sites.select("latitude", "longitude"), cell=cell)
+    ``(sensor_id, lat, lon, min_dist)``, written and re-read when ``persist``.
+    With ``path`` the table is kept there; ``refresh=False`` then reloads it in
+    later runs without building anything."""
+    spark = readings.sparkSession
+
+    def build(stored: bool) -> DataFrame:
+        pos = sensor_positions(readings, geocode, country)
+        if stored:
+            pos = materialize(spark, pos, name="positions")
+        return positions_with_min_distance(pos, sites.select("latitude", "longitude"), cell=cell)
+
+    if persist or path:
+        return materialize(spark, lambda: build(True), path, name="nearest-site", refresh=refresh)
+    return build(False)
 
 
 def remoteness_readings(readings: DataFrame, near: DataFrame, *,
@@ -94,7 +100,8 @@ def remoteness_study(readings: DataFrame, sites: DataFrame, *, geocode: DataFram
                      first_hour: int = schemas.DAY_FIRST_HOUR,
                      last_hour: int = schemas.DAY_LAST_HOUR,
                      cell: float | None = None, digits: int | None = None,
-                     persist: bool = True, strategy: str = "pre-aggregate") -> DataFrame:
+                     persist: bool = True, strategy: str = "pre-aggregate",
+                     path: str | None = None, refresh: bool = True) -> DataFrame:
     """2x2 Pearson matrix of ``(avg_p, min_dist)`` over every qualifying
     reading (each reading weighs once).
 
@@ -103,10 +110,13 @@ def remoteness_study(readings: DataFrame, sites: DataFrame, *, geocode: DataFram
     the moments of the qualifying ``avg_p`` values, and the correlation is
     pooled from that small table (``min_dist`` is constant per sensor).
     ``strategy="join"`` builds the reading-level rows (what the CSV sample
-    exports) and correlates them directly; it scans the readings twice."""
+    exports) and correlates them directly; it scans the readings twice and can
+    keep and reload its nearest-site table (``path``, ``refresh``)."""
+    if path and strategy != "join":
+        raise ValueError("only the join strategy keeps a nearest-site table")
     if strategy == "join":
         near = remoteness_table(readings, sites, geocode=geocode, country=country, cell=cell,
-                                persist=persist)
+                                persist=persist, path=path, refresh=refresh)
         rows = remoteness_readings(readings, near, max_value=max_value, first_hour=first_hour,
                                    last_hour=last_hour)
         return correlation_matrix(rows, ["avg_p", "min_dist"], digits=digits)
@@ -146,17 +156,20 @@ def remoteness_from_moments(moments: DataFrame, sites: DataFrame, *,
 
 def settlement_table(positions: DataFrame, cities: DataFrame, *,
                      radius: float = schemas.CITY_RADIUS, persist: bool = True,
-                     distinct_cities: bool = True) -> DataFrame:
+                     distinct_cities: bool = True, path: str | None = None,
+                     refresh: bool = True) -> DataFrame:
     """Per sensor, the nearest city (ties kept) when it lies strictly within
     ``radius``: ``(sensor_id, lat, lon, geonameid, name, asciiname,
-    alternatenames, latitude, longitude, population, elevation, min_dist)``."""
+    alternatenames, latitude, longitude, population, elevation, min_dist)``.
+    ``path`` and ``refresh`` as in :func:`remoteness_table`."""
     attrs = cities.select("geonameid", "name", "asciiname", "alternatenames", "latitude",
                           "longitude", "population", F.col("dem").alias("elevation"))
-    near = nearest_within(positions.select("sensor_id", "lat", "lon"), attrs, radius,
-                          dist_col="min_dist", distinct_sites=distinct_cities)
-    if persist:
-        near = materialize(positions.sparkSession, near, name="nearest-city")
-    return near
+    build = lambda: nearest_within(
+        positions.select("sensor_id", "lat", "lon"), attrs, radius, dist_col="min_dist",
+        distinct_sites=distinct_cities)
+    if persist or path:
+        return materialize(positions.sparkSession, build, path, name="nearest-city", refresh=refresh)
+    return build()
 
 
 def settlement_study(readings: DataFrame, cities: DataFrame, *,
@@ -165,6 +178,7 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
                      distinct_rows: bool = True, digits: int | None = None,
                      persist: bool = True, strategy: str = "join",
                      one_row_per_sensor: bool | None = None,
+                     path: str | None = None, refresh: bool = True,
                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                      salt_buckets: int = 0) -> DataFrame:
     """3x3 Pearson matrix of ``(avg_p, population, elevation)``.  With
@@ -179,7 +193,7 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
     ``strategy="pre-aggregate"`` scans once, with a distinct over ``(sensor_id,
     lat, lon, avg_p)`` that is shuffled and written: for quantized values only,
     and only with distinct rows and positions from the readings (an error
-    otherwise)."""
+    otherwise).  ``path`` and ``refresh`` keep and reload the nearest-city table."""
     if strategy == "pre-aggregate" and not (distinct_rows and positions is None):
         raise ValueError("pre-aggregate needs distinct rows and positions from the readings")
     if one_row_per_sensor is None:
@@ -206,7 +220,7 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
     # with distinct triples, duplicated city rows or repeated values change
     # nothing, so neither is de-duplicated on the way
     near = settlement_table(pos, cities, radius=radius, persist=persist,
-                            distinct_cities=not distinct_rows)
+                            distinct_cities=not distinct_rows, path=path, refresh=refresh)
     attrs = near.select("sensor_id", "population", "elevation")
     if one_row_per_sensor:
         first = F.min(F.struct("min_dist", "geonameid", "population", "elevation")).alias("c")

@@ -43,3 +43,15 @@ def test_settlement_weights(spark):
     assert n() == n(strategy="pre-aggregate") == 24
     with pytest.raises(ValueError):
         studies.settlement_study(rd, cities, distinct_rows=False, strategy="pre-aggregate")
+
+
+def test_saved_tables_are_reloaded_not_rebuilt(spark, tmp_path):
+    rd = spark.createDataFrame([(1, 50.0, 7.0, "2018-01-01 08:00:00", 1.0, 2.0)],
+                               "sensor_id long, lat double, lon double, timestamp string, P1 double, P2 double")
+    sites = spark.createDataFrame([(50.0, 8.0)], "latitude double, longitude double")
+    other = spark.createDataFrame([(50.0, 7.5)], "latitude double, longitude double")
+    path = str(tmp_path / "near")
+    dist = lambda s, **k: studies.remoteness_table(rd, s, path=path, **k).first().min_dist
+    assert dist(sites, refresh=False) == 1.0  # nothing there yet: built
+    assert dist(other, refresh=False) == 1.0  # reloaded
+    assert dist(other) == 0.5
