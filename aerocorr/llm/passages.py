@@ -9,8 +9,9 @@
    match less the gaps between matches on both sides; the best predecessor is a
    prefix maximum in a Fenwick tree over the positions in the other text.
 4. Chains are aligned on the words themselves: matches are extended to both
-   sides, the gaps are aligned by edit distance, and passages of at least
-   ``LEAST`` words with ``SIMILAR`` of them equal remain.
+   sides, the gaps are aligned by longest common subsequence, and the chain is
+   cut into segments of at least ``LEAST`` words with ``SIMILAR`` of them equal:
+   a chain that bridges different text gives each of its passages.
 
 One row per found passage.  The group of documents that share it hangs together
 over the smallest doc_id that holds each part of it.
@@ -176,23 +177,42 @@ def _stretches(batches):
                 ["doc_id", "low", "high", "words"])
 
 
-def equal_words(a: np.ndarray, b: np.ndarray) -> int:
-    """Words aligned as equal between two short stretches (longest common
-    subsequence); stretches beyond BAND count those equal place by place."""
+def equal_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words aligned as equal between two stretches (longest
+    common subsequence).  Stretches beyond BAND are compared place by place if
+    equally long, else only as far as they go on from either end."""
     if len(a) == len(b):
-        same = int((a == b).sum())
-        if same == len(a):
-            return same
+        same = np.flatnonzero(a == b)
+        if len(same) == len(a) or len(a) > BAND:
+            return same, same
+    none = np.zeros(0, np.int64)
     if not len(a) or not len(b):
-        return 0
+        return none, none
     if max(len(a), len(b)) > BAND:
-        n = min(len(a), len(b))
-        return int((a[:n] == b[:n]).sum())
-    row = np.zeros(len(b) + 1, dtype=np.int32)
-    for x in a:
-        step = np.maximum(row[1:], row[:-1] + (b == x))
-        row[1:] = np.maximum.accumulate(step)
-    return int(row[-1])
+        n = extension(a, b)[0]
+        m = extension(a[n:][::-1], b[n:][::-1])[0]
+        head = np.flatnonzero(a[:n] == b[:n])
+        tail = np.flatnonzero(a[len(a) - m:] == b[len(b) - m:])
+        return np.concatenate([head, tail + len(a) - m]), np.concatenate([head, tail + len(b) - m])
+    table = np.zeros((len(a) + 1, len(b) + 1), dtype=np.int32)
+    for k, x in enumerate(a):
+        table[k + 1, 1:] = np.maximum.accumulate(np.maximum(table[k, 1:], table[k, :-1] + (b == x)))
+    at, there, i, j = [], [], len(a), len(b)
+    while table[i, j]:
+        if table[i - 1, j] == table[i, j]:
+            i -= 1
+        elif table[i, j - 1] == table[i, j]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            at.append(i)
+            there.append(j)
+    return np.array(at[::-1], np.int64), np.array(there[::-1], np.int64)
+
+
+def equal_words(a: np.ndarray, b: np.ndarray) -> int:
+    """Number of words aligned as equal between two short stretches."""
+    return len(equal_pairs(a, b)[0])
 
 
 def extension(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -211,24 +231,69 @@ def extension(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return end, int(same[:end].sum())
 
 
-def align(a: np.ndarray, b: np.ndarray, pos: np.ndarray, ref: np.ndarray) -> tuple[int, int, int, int, int]:
-    """(start, end, start there, end there, equal words) of a chain whose
-    matches are at ``pos`` and ``ref`` of the word hashes a and b."""
-    equal, i, j = 0, int(pos[0]), int(ref[0])
+def aligned_pairs(a: np.ndarray, b: np.ndarray, pos: np.ndarray, ref: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the equal words of a chain whose matches are at ``pos`` and
+    ``ref`` of the word hashes a and b, with what goes on at both ends."""
+    s, t = int(pos[0]), int(ref[0])
+    before = extension(a[:s][::-1], b[:t][::-1])[0]
+    same = np.flatnonzero(a[s - before:s] == b[t - before:t])
+    here, there = [same + s - before], [same + t - before]
+    i, j = s, t
     for p, r in zip(pos.tolist(), ref.tolist()):
+        left = K
         if p < i or r < j:  # overlaps the match before: only what is new counts
             skip = max(i - p, j - r)
             if skip >= K or (i - p) != (j - r):
                 continue
             p, r, left = p + skip, r + skip, K - skip
         else:
-            equal += equal_words(a[i:p], b[j:r])
-            left = K
-        equal, i, j = equal + left, p + left, r + left
-    s, t = int(pos[0]), int(ref[0])
-    before, same = extension(a[:s][::-1], b[:t][::-1])
-    after, same2 = extension(a[i:], b[j:])
-    return s - before, i + after, t - before, j + after, equal + same + same2
+            x, y = equal_pairs(a[i:p], b[j:r])
+            here.append(x + i)
+            there.append(y + j)
+        here.append(np.arange(p, p + left))
+        there.append(np.arange(r, r + left))
+        i, j = p + left, r + left
+    after = extension(a[i:], b[j:])[0]
+    same = np.flatnonzero(a[i:i + after] == b[j:j + after])
+    return np.concatenate([*here, same + i]), np.concatenate([*there, same + j])
+
+
+def align(a: np.ndarray, b: np.ndarray, pos: np.ndarray, ref: np.ndarray) -> tuple[int, int, int, int, int]:
+    """(start, end, start there, end there, equal words) of a whole chain."""
+    x, y = aligned_pairs(a, b, pos, ref)
+    return int(x[0]), int(x[-1]) + 1, int(y[0]), int(y[-1]) + 1, len(x)
+
+
+def similar_segments(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
+    """First and last index of disjoint segments of the equal words at x and y
+    that have LEAST words with SIMILAR of them equal: the whole, else the
+    longest one and then those on both sides of it.  A run of equal words is
+    never cut, as a segment that reaches into it gains by taking all of it."""
+    skipped = np.concatenate([[0], np.maximum(np.diff(x), np.diff(y)) - 1]).cumsum()
+    k = np.arange(len(x))
+    place = k + skipped  # column of the alignment
+    high = (1 - SIMILAR) * (k + 1) - SIMILAR * skipped  # score up to and with a pair
+    low = high - (1 - SIMILAR)
+    out, todo = [], [(0, len(x))]
+    while todo:
+        f, e = todo.pop()
+        if e - f < LEAST * SIMILAR:
+            continue
+        here, there = int(x[e - 1] - x[f]) + 1, int(y[e - 1] - y[f]) + 1
+        if min(here, there) >= LEAST and e - f >= SIMILAR * max(here, there):
+            out.append((f, e - 1))
+            continue
+        least = np.minimum.accumulate(low[f:e])
+        start = np.searchsorted(-least, -(high[f:e] + 1e-9))
+        long = place[f:e] - place[f:e][start]
+        last = int(long.argmax())
+        first = int(start[last])
+        if long[last] + 1 < LEAST:
+            continue
+        if min(x[f + last] - x[f + first], y[f + last] - y[f + first]) + 1 >= LEAST:
+            out.append((f + first, f + last))
+        todo += [(f, f + first), (f + last + 1, e)]
+    return sorted(out)
 
 
 FOUND = ("doc_id long, ref_id long, start_word int, end_word int, ref_start int, ref_end int, "
@@ -240,11 +305,11 @@ def _aligned(batches):
         rows = []
         for x in batch.to_pylist():
             a, b = np.frombuffer(x["here"], np.uint32), np.frombuffer(x["there"], np.uint32)
-            s, e, t, f, equal = align(a, b, np.array(x["pos"]) - x["low"], np.array(x["ref_pos"]) - x["ref_low"])
-            length, similar = min(e - s, f - t), equal / max(e - s, f - t)
-            if length >= LEAST and similar >= SIMILAR:
-                rows.append((x["doc_id"], x["ref_id"], s + x["low"], e + x["low"], t + x["ref_low"],
-                             f + x["ref_low"], length, equal, similar))
+            here, there = aligned_pairs(a, b, np.array(x["pos"]) - x["low"], np.array(x["ref_pos"]) - x["ref_low"])
+            for i, j in similar_segments(here, there):
+                s, e, t, f = (int(v) for v in (here[i], here[j] + 1, there[i], there[j] + 1))
+                rows.append((x["doc_id"], x["ref_id"], s + x["low"], e + x["low"], t + x["ref_low"], f + x["ref_low"],
+                             min(e - s, f - t), j - i + 1, (j - i + 1) / max(e - s, f - t)))
         if rows:
             kinds = [pa.int64()] * 2 + [pa.int32()] * 6 + [pa.float64()]
             yield pa.RecordBatch.from_arrays(

@@ -4,7 +4,8 @@ import re
 import numpy as np
 import pytest
 
-from aerocorr.llm.passages import GAP, K, align, chain, equal_words, repeated_passages
+from aerocorr.llm.passages import (
+    GAP, K, LEAST, SIMILAR, align, chain, equal_words, repeated_passages, similar_segments)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -62,6 +63,35 @@ def test_planted_passages(spark):
     assert 10 <= found.start_word <= 20 and 90 <= found.end_word <= 100 and found.similarity >= 0.9
 
 
+@pytest.mark.parametrize("size, gap", [(200, 150), (200, 110), (100, 60), (60, 40)])
+def test_passages_of_one_pair_are_cut(spark, size, gap):
+    """Two exact passages with different text between them are both found,
+    however far their chain reaches."""
+    rng = random.Random(size + gap)
+    one, two = text(rng, size), text(rng, size)
+    docs = [(i, " ".join(text(rng, 30) + one + text(rng, gap) + two + text(rng, 30))) for i in (1, 2)]
+    got = repeated_passages(spark, spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    spans = sorted((r.start_word, r.end_word, r.ref_start, r.ref_end) for r in got)
+    second = 30 + size + gap
+    assert spans == [(30, 30 + size) * 2, (second, second + size) * 2] and {r.similarity for r in got} == {1.0}
+
+
+def test_segments_against_brute_force():
+    """The longest similar segment is found, and every run of LEAST equal words
+    lies in a segment."""
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        equal = np.repeat(rng.random(40) < 0.6, rng.integers(1, 70, 40))
+        x = np.flatnonzero(equal)
+        got = similar_segments(x, x + 5)
+        longest = max((x[j] - x[i] + 1 for i in range(len(x)) for j in range(i, len(x))
+                       if j - i + 1 >= SIMILAR * (x[j] - x[i] + 1)), default=0)
+        assert max((x[j] - x[i] + 1 for i, j in got), default=0) == (longest if longest >= LEAST else 0)
+        covered = {w for i, j in got for w in range(x[i], x[j] + 1)}
+        for run in np.split(x, np.flatnonzero(np.diff(x) > 1) + 1):
+            assert len(run) < LEAST or covered.issuperset(run.tolist())
+
+
 def test_messy_rows(spark, messy):
     got = {(r.doc_id, r.ref_id) for r in repeated_passages(spark, messy).collect()}
     assert got == {(2, 1), (3, 1), (12, 11)}
