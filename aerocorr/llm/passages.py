@@ -4,7 +4,12 @@
    words (A-Z lowered) the one with the smallest hash, so two texts that share
    ``K + WINDOW - 1`` words in a row share a seed.
 2. A seed's occurrences are matched with the one in its smallest doc_id, not
-   with each other: rows stay linear however often a passage repeats.
+   with each other: rows stay linear however often a passage repeats.  The
+   smallest doc_id may hold only a part of what two later ones share, so seeds
+   with places that no passage of this first step covers are matched again by
+   their runs of successive seeds, up to runs of ``LEAST`` words: a run meets
+   the smallest doc_id that holds all of it, and the pairs found so are
+   compared in all their seeds near the run.
 3. The matches of each pair of documents are chained: a chain's score is K per
    match less the gaps between matches on both sides; the best predecessor is a
    prefix maximum in a Fenwick tree over the positions in the other text.
@@ -17,8 +22,8 @@ One row per found passage.  The group of documents that share it hangs together
 over the smallest doc_id that holds each part of it.
 
 Defined cases: null and empty texts have no seeds; texts shorter than ``LEAST``
-words cannot hold a passage; within a document a seed counts at its first
-place; rows that repeat a doc_id are one document (their seeds are pooled, its
+words cannot hold a passage; a seed that a document holds n times is matched at
+all n places with the first place, and place by place, of the other; rows that repeat a doc_id are one document (their seeds are pooled, its
 text is the one with the smallest hash), so a document is never matched with
 itself; rows without doc_id take no part.
 """
@@ -42,7 +47,8 @@ DROP = 8  # an extension ends where its score falls so far below its best
 
 
 def seeds_of(whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(seed, position) of a text's minimisers, each seed once."""
+    """(seed, position) of a text's minimisers; the second and later places of
+    a seed also count as numbered seeds of their own."""
     n = len(whole) - K + 1
     if n < 1:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -55,8 +61,14 @@ def seeds_of(whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     else:
         view = np.lib.stride_tricks.sliding_window_view(run, WINDOW)
         at = np.unique(view.argmin(axis=1) + np.arange(n - WINDOW + 1))
-    seed, first = np.unique(run[at], return_index=True)
-    return seed, at[first]
+    order = np.argsort(run[at], kind="stable")
+    seed, at = run[at][order], at[order]
+    begin = np.concatenate([[True], seed[1:] != seed[:-1]])
+    number = np.arange(len(at)) - np.maximum.accumulate(np.where(begin, np.arange(len(at)), 0))
+    again = number > 0
+    numbered = mix(seed[again] + number[again].astype(np.uint64) * _ROLE[K])
+    odd = np.uint64(1)  # marks numbered seeds
+    return np.concatenate([seed & ~odd, numbered | odd]), np.concatenate([at, at[again]])
 
 
 def _seeds(batches):
@@ -77,18 +89,97 @@ def _seeds(batches):
                      pa.array(np.concatenate(places).astype(np.int32))], ["seed", "doc_id", "pos"])
 
 
-def matches(docs: DataFrame) -> DataFrame:
-    """(doc_id, ref_id, at): per pair of documents the places of shared seeds."""
+def shared_seeds(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(seed, doc_id, pos, ref_id, ref_pos, n): the n places of seeds that
+    several documents hold, with the first place in the smallest doc_id."""
     found = docs.mapInArrow(_seeds, "seed long, doc_id long, pos int")
     first = found.groupBy("seed").agg(
-        F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("last")).where("last <> f.doc_id")
+        F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("last"),
+        F.count(F.lit(1)).alias("n")).where("last <> f.doc_id")
     again = docs.mapInArrow(_seeds, "seed long, doc_id long, pos int")
-    both = again.join(first.select("seed", F.col("f.doc_id").alias("ref_id"), F.col("f.pos").alias("ref_pos")),
-                      "seed").where("doc_id <> ref_id")
+    return written(spark, again.join(first.select("seed", F.col("f.doc_id").alias("ref_id"),
+                                                  F.col("f.pos").alias("ref_pos"), "n"), "seed"), "seeds")
+
+
+def by_pair(both: DataFrame) -> DataFrame:
+    """(doc_id, ref_id, at): per pair of documents the places of shared seeds."""
     return (both.groupBy("doc_id", "ref_id")
             .agg(F.collect_list(F.struct("pos", "ref_pos")).alias("at")).where("size(at) > 1"))
 
 
+RUNS = "run long, doc_id long, pos int, end int, open boolean"
+
+
+def _runs(batches):
+    """Places of a document's seeds -> its runs of two and more successive
+    seeds, as far as one that spans LEAST words; ``open`` where a place of the
+    run is outside the passages.  Where all its seeds have met one stretch of
+    one document, the first step has compared them, in this and in every other
+    document that holds the run: it is left out."""
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    for batch in batches:
+        for doc, at in zip(batch.column("doc_id").to_pylist(), batch.column("at")):
+            flat = at.values
+            pos, seed, ref, there, free = (np.asarray(flat.field(c).cast(pa.int64())) for c in (
+                "pos", "seed", "ref_id", "ref_pos", "open"))
+            pos, index = np.unique(pos, return_index=True)
+            # of the same seed at successive words (one word repeated) the first and the last place
+            same = (np.diff(pos) == 1) & (np.diff(seed[index]) == 0)
+            ends = ~(np.concatenate([[False], same]) & np.concatenate([same, [False]]))
+            pos, index = pos[ends], index[ends]
+            seed, ref, there, free = seed[index].view(np.uint64), ref[index], there[index], free[index].cumsum()
+            before = np.concatenate([[0], free])
+            turn = (ref[1:] != ref[:-1]) | (np.diff(pos) != np.diff(there))
+            turns = np.concatenate([[0], turn.cumsum()])  # places where the met stretch changes
+            key, r = seed.copy(), 1
+            todo = np.arange(len(pos))  # starts whose run does not span LEAST words yet
+            while True:
+                todo = todo[todo + r < len(pos)]
+                last = todo + r
+                todo = todo[(pos[last - 1] + K - pos[todo] < LEAST) & (pos[last] - pos[last - 1] < LEAST)]
+                if not len(todo):
+                    break
+                last = todo + r
+                key[todo] = mix(key[todo] * _ROLE[1] + seed[last])
+                new = todo[turns[last] > turns[todo]]
+                last = new + r
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, t) for x, t in zip(
+                        [key[new].view(np.int64), np.full(len(new), doc), pos[new], pos[last]], kinds)]
+                    + [pa.array(before[last + 1] > before[new])], [c.split()[0] for c in RUNS.split(", ")])
+                r += 1
+
+
+def rematched(spark: SparkSession, shared: DataFrame, passages: DataFrame) -> DataFrame:
+    """(doc_id, ref_id, pos, ref_pos) of seeds with places outside the
+    passages, matched by runs of successive seeds."""
+    covered = passages.groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias("held"))
+    # a seed of two places has nothing but the match of the first step
+    marked = shared.where("n > 2 and seed % 2 = 0").join(covered, "doc_id", "left").select(
+        "seed", "doc_id", "pos", "ref_id", "ref_pos", F.expr(
+            "(doc_id <> ref_id or pos <> ref_pos) and (held is null or not exists(held, "
+            f"h -> h.start_word <= pos and pos + {K} <= h.end_word))").alias("open"))
+    few = written(spark, marked.join(marked.where("open").select("seed").distinct(), "seed"), "open")
+    runs = few.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "seed", "ref_id", "ref_pos", "open")).alias("at")
+                                     ).mapInArrow(_runs, RUNS)
+    first = runs.groupBy("run").agg(
+        F.min(F.struct("doc_id", "pos", "end")).alias("f"), F.max("doc_id").alias("last"),
+        F.max("open").alias("any")).where("last <> f.doc_id and any")
+    met = written(spark, runs.where("open").join(first.select("run", "f"), "run").where("doc_id <> f.doc_id").select(
+        "doc_id", F.col("f.doc_id").alias("ref_id"), "pos", "end", F.col("f.pos").alias("ref_pos"),
+        F.col("f.end").alias("ref_end")), "met")
+    ends = met.select("doc_id", "ref_id", "pos", "ref_pos").unionByName(
+        met.select("doc_id", "ref_id", F.col("end").alias("pos"), F.col("ref_end").alias("ref_pos")))
+    # the other seeds that a pair shares near its runs, by stretches of LEAST words
+    first_part, last_part = (F.floor(F.col(c) / LEAST).cast("int") for c in ("pos", "end"))
+    near = met.select("doc_id", "ref_id", F.explode(F.sequence(first_part - 1, last_part + 1)).alias("part")).distinct()
+    mine = few.select("seed", "doc_id", "pos", first_part.alias("part"))
+    theirs = few.groupBy("seed", F.col("doc_id").alias("ref_id")).agg(F.min("pos").alias("ref_pos"))
+    others = near.join(mine, ["doc_id", "part"]).join(theirs, ["ref_id", "seed"]).select(
+        "doc_id", "ref_id", "pos", "ref_pos")
+    return ends.unionByName(others).distinct()
+
+
 def chain(pos: np.ndarray, ref: np.ndarray) -> list[list[int]]:
     """Best disjoint collinear chains of the matches, as lists of indices in
     order.  With the gap cost GAP * (skipped here + skipped there), the best
@@ -317,11 +408,9 @@ def _aligned(batches):
                 [f.split()[0] for f in FOUND.split(", ")])
 
 
-def repeated_passages(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row per passage of a document that an earlier document (smaller
-    doc_id) holds too; places are numbers of words, ends exclusive."""
-    few = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chains = written(spark, matches(few).mapInArrow(_chains, CHAINS), "chains")
+def passages_of(spark: SparkSession, few: DataFrame, both: DataFrame) -> DataFrame:
+    """The passages that the matches (doc_id, ref_id, pos, ref_pos) lie in."""
+    chains = written(spark, by_pair(both).mapInArrow(_chains, CHAINS), "chains")
     asked = (chains.select("doc_id", "low", "high")
              .unionByName(chains.select(F.col("ref_id").alias("doc_id"), F.col("ref_low").alias("low"),
                                         F.col("ref_high").alias("high"))).distinct()
@@ -336,3 +425,17 @@ def repeated_passages(spark: SparkSession, docs: DataFrame) -> DataFrame:
     pairs = chains.join(here, ["doc_id", "low", "high"]).join(there, ["ref_id", "ref_low", "ref_high"])
     return pairs.select("doc_id", "ref_id", "low", "ref_low", "pos", "ref_pos", "here", "there").mapInArrow(
         _aligned, FOUND)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One row per passage of a document that an earlier document (smaller
+    doc_id) holds too; places are numbers of words, ends exclusive."""
+    few = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    shared = shared_seeds(spark, few)
+    one = written(spark, passages_of(spark, few, shared.where("doc_id <> ref_id")), "passages")
+    two = passages_of(spark, few, rematched(spark, shared, one))
+    # what lies inside a passage of the first step is known
+    held = one.groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias("held"))
+    new = two.join(held, "doc_id", "left").where(
+        "held is null or not exists(held, h -> h.start_word <= start_word and end_word <= h.end_word)")
+    return one.unionByName(new.drop("held"))

@@ -92,6 +92,45 @@ def test_segments_against_brute_force():
             assert len(run) < LEAST or covered.issuperset(run.tolist())
 
 
+def spans_of(spark, docs):
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    return {(r.doc_id, r.ref_id, r.start_word, r.end_word, r.ref_start) for r in repeated_passages(spark, df).collect()}
+
+
+def test_earlier_holders_of_parts_hide_nothing(spark):
+    """Two documents share a passage whose halves (or all its sentences) stand
+    in earlier ones that do not hold the whole."""
+    rng = random.Random(5)
+    for size, cut in ((60, 30), (120, 40), (200, 25)):
+        whole = text(rng, size)
+        docs = {i: text(rng, 40) + whole[a:a + cut] + text(rng, 40) for i, a in enumerate(range(0, size, cut), 1)}
+        docs |= {50: text(rng, 20) + whole + text(rng, 30), 51: text(rng, 70) + whole, 52: whole + text(rng, 10)}
+        got = spans_of(spark, docs)
+        assert {(51, 50, 70, 70 + size, 20), (52, 50, 0, size, 20)} <= got, (size, cut)
+        assert all(d > 50 for d, *_ in got)
+
+
+def test_an_edited_first_holder_hides_no_equal_copies(spark):
+    rng = random.Random(6)
+    whole = text(rng, 60)
+    edited = [w if i % 4 != 3 or 20 < i < 40 else "changed" for i, w in enumerate(whole)]
+    got = spans_of(spark, {1: edited, 2: text(rng, 30) + whole, 3: whole + text(rng, 30)})
+    assert (3, 2, 0, 60, 30) in got
+
+
+def test_every_place_of_a_passage(spark):
+    """A passage twice in one document, and one whose first sentences stand
+    alone earlier in the document that holds it."""
+    rng = random.Random(7)
+    whole = text(rng, 60)
+    got = spans_of(spark, {1: whole + text(rng, 50), 2: whole + text(rng, 300) + whole})
+    assert got == {(2, 1, 0, 60, 0), (2, 1, 360, 420, 0)}
+    got = spans_of(spark, {1: whole[:30] + text(rng, 200) + whole + text(rng, 200) + whole[30:], 2: whole})
+    assert (2, 1, 0, 60, 230) in got
+    got = spans_of(spark, {1: text(rng, 20) + ["so"] * 90, 2: ["so"] * 90 + text(rng, 20)})
+    assert any(e - s >= 80 for _, _, s, e, _ in got)
+
+
 def test_messy_rows(spark, messy):
     got = {(r.doc_id, r.ref_id) for r in repeated_passages(spark, messy).collect()}
     assert got == {(2, 1), (3, 1), (12, 11)}
