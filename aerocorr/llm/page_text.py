@@ -4,8 +4,9 @@ A page is cut into text blocks; a block's tag path is the chain of its open
 elements.  Per path the length of text and the punctuation are added up and set
 against the number of blocks and the part of the text inside links.  The two
 ratios are smoothed along the page, multiplied, and paths above a share of the
-page's mean are content; so are blocks that sit in the same container as most
-of the content (headings, short lines, lists).  Elements that are never
+page's mean are content; so are all blocks of the article or main element they
+sit in, or without one the blocks that are not mostly links in the container
+that holds them all (headings, short lines, lists).  Elements that are never
 article text (navigation, forms, scripts ...) and containers whose class or id
 says the same (adverts, comments, notices ...) are left out beforehand.
 
@@ -188,19 +189,15 @@ def content(found: list[tuple[tuple[str, ...], str, int]]) -> list[str]:
     chosen = {p for p in score if np.mean(score[p]) >= bar and links[p] < 0.5 * length[p]}
     if not chosen:
         chosen = {max(length, key=lambda p: (length[p], p))}
-    # the container that holds most of the chosen text takes its other blocks along
-    held = defaultdict(float)
-    for p in chosen:
-        for i in range(len(p) + 1):
-            held[p[:i]] += length[p]
-    total = sum(length[p] for p in chosen)
-    root = max((c for c in held if held[c] >= 0.5 * total), key=len)
-    if root and root[-1] not in ("article", "main", "section", "div", "td", "body"):
-        root = root[:-1]
+    # the container that holds all chosen paths takes its other blocks along; no chosen path is left out
     marked = next((p[:i + 1] for p in sorted(chosen) for i, t in enumerate(p) if t in ("article", "main")), None)
-    root = marked if marked and root[:len(marked)] != marked else root
     if marked:
-        root = root[:len(marked)]
+        return [text for path, text, _ in found if path in chosen or path[:len(marked)] == marked]
+    low, high = min(chosen), max(chosen)
+    depth = next((i for i, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))
+    root = low[:depth]
+    if root and root[-1] not in ("article", "main", "section", "div", "td", "body"):
+        root = root[:-1]
     return [text for path, text, linked in found
             if path[:len(root)] == root and (path in chosen or linked < 0.5 * len(text) or path[-1:] == ("h1",))]
 

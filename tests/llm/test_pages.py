@@ -29,6 +29,21 @@ def test_main_text(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize("inner", ["ul><li", "blockquote><p", "div><p", "section><p"])
+def test_mixed_blocks_without_article(inner):
+    """Lead paragraphs beside a container that holds most of the text."""
+    close = "".join(f"</{t.strip('<')}>" for t in reversed(inner.split(">")))
+    page = (f"<body><div><h2>Head</h2><p>{LINE} a.</p><p>{LINE} b.</p>"
+            + "".join(f"<{inner}>{LINE} {i}.{close}" for i in range(4)) + f"<p>{LINE} c.</p></div></body>")
+    assert main_text(page).split("\n") == [
+        "Head", f"{LINE} a.", f"{LINE} b.", *[f"{LINE} {i}." for i in range(4)], f"{LINE} c."]
+
+
+def test_links_of_an_article_stay():
+    page = f"<article><p>{LINE}</p><p>{LINE}</p><ol><li><a href=1>A reference</a></li></ol></article>"
+    assert main_text(page) == f"{LINE}\n{LINE}\nA reference"
+
+
 def test_long_page_is_whole():
     paragraphs = [f"{LINE} {i}." for i in range(3000)]
     page = "<body><article>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article></body>"
