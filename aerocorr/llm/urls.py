@@ -6,9 +6,10 @@ labelled examples of the method, which judges all others:
 
 1. paths are counted per host with runs of digits and long hexadecimal ids
    already generalised, so a hot host is a few rows before anything is joined;
-2. level by level a segment becomes the wildcard ``*`` where it is one of many
-   rare siblings, or where its labelled block rate does not differ from that of
-   all its siblings (two-proportion test): such branches merge;
+2. level by level a segment becomes the wildcard ``*`` where its labelled block
+   rate does not differ from that of all its siblings (two-proportion test), or
+   where it is one of many rare siblings and has too few labels to tell: such
+   branches merge;
 3. a template's block rate is smoothed towards its host's, and that towards
    the rate of all labelled URLs; templates at or above ``REJECT`` are blocked.
 
@@ -39,6 +40,8 @@ DEPTH = 8
 MANY = 8  # siblings from which rare segments are variable
 RARE = 0.2  # share of the siblings' URLs below which a segment is rare
 Z = 2.0  # merge branches whose block rates differ by less standard errors
+FEW = 20  # URLs below which a segment is rare in itself
+TELLING = 5  # labelled URLs from which a segment's own rate counts
 WEIGHT = 5.0  # of the rate smoothed towards, in labelled URLs
 REJECT = 0.6
 
@@ -81,7 +84,8 @@ def templates(spark: SparkSession, counted: DataFrame) -> DataFrame:
         rate = (F.col("bad") + 1) / (F.col("labelled") + 2)
         pool = (F.col("all_bad") + 1) / (F.col("all_labelled") + 2)
         error = F.sqrt(pool * (1 - pool) * (1 / (F.col("labelled") + 2) + 1 / (F.col("all_labelled") + 2)))
-        variable = (F.col("kids") >= MANY) & (F.col("n") < RARE * F.col("all_n"))
+        variable = ((F.col("kids") >= MANY) & (F.col("n") < RARE * F.col("all_n"))
+                    & (F.col("n") < FEW) & (F.col("labelled") < TELLING))
         alike = (F.col("kids") > 1) & (F.abs(rate - pool) <= Z * error)
         step = kids.join(node, ["host", "template"]).select(
             "host", "template", "seg",

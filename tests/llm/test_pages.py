@@ -98,5 +98,17 @@ def test_templates_generalise_blocked_branches(spark):
     assert {r.template for r in got} == {"/user/*"} and {r.verdict for r in got} == {"allow"}
 
 
+@pytest.mark.parametrize("one, others", [("block", "allow"), ("allow", "block")])
+def test_one_of_ten_sections_keeps_its_rate(spark, one, others):
+    """Ten even sections of a host, one of them labelled unlike the others: its
+    unlabelled URLs follow it, those of the others do not."""
+    names = ["spam", *(f"{chr(97 + i)}news" for i in range(9))]
+    rules = [(one if n == "spam" else others, "h.net", f"/{n}/1") for n in names]
+    urls = [f"http://h.net/{n}/{d}{i}" for n in names for d in (1, 2) for i in range(40)]
+    got = judge_urls(spark, spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    for r in got:
+        assert r.verdict == (one if "/spam/" in r.path else others), r
+
+
 def test_no_urls(spark):
     assert judge_urls(spark, spark.createDataFrame([], "page_id long, url string")).count() == 0
