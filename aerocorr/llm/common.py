@@ -62,6 +62,18 @@ def spread_rank(spark: SparkSession, df: DataFrame, keys: Sequence[str], order:
             .drop("__slice", "__s", "__start", "__r", *[f"__k{i}" for i in range(len(keys))]))
 
 
+def heavy_join(big: DataFrame, small: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Inner join of ``big`` with ``small`` (one row per key) where a key may
+    hold a third of ``big``.  ``hot`` (columns ``on``, distinct) names the heavy
+    keys; it must be bounded by how it was made, e.g. by a least share of all
+    rows.  They meet by broadcast and leave no key to one task; the others
+    shuffle.  ``big`` is read twice; hand in a written table."""
+    on = list(on)
+    few = small.join(F.broadcast(hot), on, "left_semi")
+    return big.join(F.broadcast(few), on).unionByName(
+        big.join(F.broadcast(hot), on, "left_anti").join(small, on))
+
+
 def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable over the undirected ``edges``
     (a, b).  Every round takes the smallest label among the neighbours and

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from aerocorr.llm.common import table
 from aerocorr.llm.exact import exact_dedup
 from aerocorr.llm.fingerprints import fingerprints
 from aerocorr.llm.page_text import extract
 from aerocorr.llm.jaccard import near_groups
+from aerocorr.llm.line_runs import dedup_lines
 from aerocorr.llm.mixing import mix_positions
 from aerocorr.llm.packing import pack
 from aerocorr.llm.passages import repeated_passages
@@ -55,14 +58,35 @@ def op10_secrets(spark, sf_dir):
     return scan(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_passages, op3_urls, op4_html, op5_jaccard, op6_fingerprints, op7_exact_dedup, op8_mixing, op9_toxicity,
-                                  op10_secrets)}
+def op11_lines(spark, sf_dir):
+    return dedup_lines(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_passages, op3_urls, op4_html, op5_jaccard, op6_fingerprints, op7_exact_dedup,
+    op8_mixing, op9_toxicity, op10_secrets, op11_lines)}
+
+LOWER_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLES = {
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY sha256(coalesce(text, '')))""",
+    "op11_lines": f"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS t
+                   FROM documents),
+             l AS (SELECT doc_id, r, unnest(t) AS line, generate_subscripts(t, 1) AS i FROM d),
+             k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                       {LOWER_AZ}) AS key FROM l),
+             g AS (SELECT key, max(doc_id) AS keep FROM k WHERE length(key) >= 20
+                   GROUP BY key HAVING count(DISTINCT r) >= 3),
+             m AS (SELECT k.*, g.key IS NOT NULL AND doc_id IS DISTINCT FROM keep AS gone
+                   FROM k LEFT JOIN g ON k.key = g.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY r, doc_id""",
 }
 
 
