@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from aerocorr.llm.collocations import collocations
 from aerocorr.llm.common import table
 from aerocorr.llm.exact import exact_dedup
 from aerocorr.llm.fingerprints import fingerprints
@@ -63,9 +64,13 @@ def op11_lines(spark, sf_dir):
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_passages, op3_urls, op4_html, op5_jaccard, op6_fingerprints, op7_exact_dedup,
-    op8_mixing, op9_toxicity, op10_secrets, op11_lines)}
+    op8_mixing, op9_toxicity, op10_secrets, op11_lines, op12_collocations)}
 
 LOWER_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -87,6 +92,29 @@ ORACLES = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
         FROM m GROUP BY r, doc_id""",
+    "op12_collocations": f"""
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                       translate(coalesce(text, ''), {LOWER_AZ}), '[.,;:!?\x0A-\x0D]')) AS t FROM documents),
+             w AS (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM d),
+             g AS (SELECT lang, len(w) AS size, unnest(list_concat(
+                       w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+                       list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS p
+                   FROM w),
+             f AS (SELECT lang, p, count(*) AS a, string_split(p, ' ') AS w FROM g GROUP BY lang, p),
+             s AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+             c AS (SELECT lang, p, a, w, unnest(range(1, len(w))) AS k FROM f WHERE len(w) > 1 AND a >= 10),
+             x AS (SELECT c.*, l.a AS l, r.a AS r,
+                          (1000000::HUGEINT * c.a * c.a // (l.a::HUGEINT * r.a))::BIGINT AS score
+                   FROM c JOIN f l ON l.lang = c.lang AND l.p = array_to_string(c.w[:k], ' ')
+                          JOIN f r ON r.lang = c.lang AND r.p = array_to_string(c.w[k + 1:], ' ')),
+             b AS (SELECT lang, p, a, w, l, r, score FROM x
+                   QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+             o AS (SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS p, a FROM b WHERE len(w) = 3),
+             m AS (SELECT lang, p, max(a) AS most FROM o GROUP BY lang, p),
+             t AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.p) AS rank
+                   FROM b LEFT JOIN m ON m.lang = b.lang AND m.p = b.p
+                   WHERE most IS NULL OR 100 * most < 50 * a)
+        SELECT t.lang, rank, t.p AS phrase, a, l, r, n, score FROM t JOIN s ON s.lang = t.lang WHERE rank <= 2000""",
 }
 
 
