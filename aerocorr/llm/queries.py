@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from aerocorr.llm.collocations import collocations
 from aerocorr.llm.common import table
+from aerocorr.llm.divergence import divergence
 from aerocorr.llm.exact import exact_dedup
 from aerocorr.llm.fingerprints import fingerprints
 from aerocorr.llm.page_text import extract
@@ -68,9 +69,14 @@ def op12_collocations(spark, sf_dir):
     return collocations(spark, table(spark, sf_dir, "documents"))
 
 
+def op13_divergence(spark, sf_dir):
+    return divergence(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_passages, op3_urls, op4_html, op5_jaccard, op6_fingerprints, op7_exact_dedup,
-    op8_mixing, op9_toxicity, op10_secrets, op11_lines, op12_collocations)}
+    op8_mixing, op9_toxicity, op10_secrets, op11_lines, op12_collocations,
+    op13_divergence)}
 
 LOWER_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -115,6 +121,33 @@ ORACLES = {
                    FROM b LEFT JOIN m ON m.lang = b.lang AND m.p = b.p
                    WHERE most IS NULL OR 100 * most < 50 * a)
         SELECT t.lang, rank, t.p AS phrase, a, l, r, n, score FROM t JOIN s ON s.lang = t.lang WHERE rank <= 2000""",
+    "op13_divergence": f"""
+        WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS i,
+                          regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+                   FROM documents),
+             o AS (SELECT lang, source, i, translate(unnest(w), {LOWER_AZ}) AS term FROM d),
+             k AS (SELECT lang, term, count(*) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT i) >= 3),
+             v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+             c AS (SELECT lang, source, term, count(*) AS n FROM o GROUP BY lang, source, term),
+             g AS (SELECT DISTINCT lang, source FROM d),
+             x AS (SELECT g.lang, g.source, k.term, k.n AS kn, coalesce(c.n, 0) AS n
+                   FROM g JOIN k ON k.lang = g.lang
+                   LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+             p AS (SELECT x.*, 1 + 1000000000::HUGEINT * (x.n + 1)
+                               // (sum(x.n) OVER (PARTITION BY x.lang, x.source) + v.v) AS p,
+                          1 + 1000000000::HUGEINT * (x.kn + 1) // (v.n + v.v) AS q
+                   FROM x JOIN v ON v.lang = x.lang),
+             s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+                   FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source
+                   GROUP BY a.lang, a.source, b.source),
+             r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+                   FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+                   LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+                   UNION ALL
+                   SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+             z AS (SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (
+                       PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM r)
+        SELECT * FROM z WHERE part = 'pair' OR rank <= 200""",
 }
 
 
