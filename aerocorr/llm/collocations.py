@@ -11,7 +11,7 @@ there are at most S * length steps; the run ends when a
 whole cycle has brought no new frequent phrase.
 
 What a scan must know - the step in which a subphrase reached the threshold -
-is a table of one byte a slot, a slot being the low bits of a phrase's key.  It
+is a table of one byte a slot, a slot being the top bits of a phrase's key.  It
 is sized once, by the words that reached the threshold in step 0, and has at
 most ``SLOTS`` bytes.  Phrases that share a slot only start sooner, or are
 counted without need; a slot once set stays, so a start never moves and every
@@ -20,7 +20,7 @@ its counts (combined in the task, then by key) to the open ones; closed phrases
 below the threshold go, and the table of the step before is removed.
 
 Phrases are known by 64-bit hashes of their words and language.  A last scan
-brings the strings and the keys of the subphrases of all phrases in set slots;
+brings the strings and the subphrases' keys of all phrases in set slots;
 then come scores, the drop rule and the top of each language.  Subphrases in
 many candidates (words, at most ``HOT`` of them by their share of all words)
 meet by broadcast.
@@ -55,7 +55,7 @@ SLOTS, LEAST_SLOTS = 1 << 24, 1 << 16  # powers of two
 HOT = 4096
 NEVER = 255
 PIECE = 1 << 21  # bytes of text worked on at a time
-HELD = 1 << 20  # counted phrases kept in a task before they are handed on
+HELD = 1 << 22  # keys kept in a task before they are handed on
 
 _SEP = np.zeros(256, dtype=bool)
 _SEP[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -95,7 +95,7 @@ def phrases(rows, data, offsets, seeds, length: int):
     first, whole, _, bounds = words(_FLAT[data], offsets)
     text = np.repeat(np.arange(len(rows)), np.diff(bounds))
     word = mix(whole ^ seeds[rows[text]]) if len(first) else whole
-    piece = np.cumsum(_SEP[data], dtype=np.int64)[first] + text * (len(data) + 1)
+    piece = np.cumsum(_SEP[data], dtype=np.int32)[first] + text * (len(data) + 1)
     out = [(np.arange(len(first)), word)]
     total = word * _ROLE[0]
     for k in range(2, length + 1):
@@ -111,43 +111,42 @@ def _of(batch):
     return langs, np.array([known[x] for x in langs], dtype=np.uint64)
 
 
+def _slot(key, slots):
+    """The slot of a key: its top bits."""
+    return (key >> np.uint64(65 - len(slots).bit_length())).astype(np.int64)
+
+
 def _count(step: int, shards: int, length: int, table):
     """Batches (lang, text) -> (key, n, start) of the phrases counted in ``step``."""
     def emit(held):
-        key = np.concatenate([h[0] for h in held])
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        n = np.add.reduceat(np.concatenate([h[1] for h in held])[order], head)
-        start = np.concatenate([h[2] for h in held])[order][head]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(key[head].view(np.int64)), pa.array(n), pa.array(start)], ["key", "n", "start"])
+        for start in sorted(held):
+            key = np.sort(np.concatenate(held[start]))
+            head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            n = np.diff(np.append(head, len(key)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[head].view(np.int64)), pa.array(n),
+                 pa.array(np.full(len(head), start, np.int32))], ["key", "n", "start"])
 
     def run(batches):
-        held, size = [], 0
+        held, size = {}, 0
         slots = None if table is None else table.value
-        mask = None if table is None else np.uint64(len(slots) - 1)
         for batch in batches:
             _, seeds = _of(batch)
             for rows, data, offsets in _pieces(batch.column("text"), PIECE):
                 all_keys, _, _ = phrases(rows, data, offsets, seeds, length if step else 1)
-                for k, (at, keys) in enumerate(all_keys, 1):
-                    if k == 1:
-                        pick, start = (keys, np.zeros(len(keys), np.int32)) if step < shards else (keys[:0], None)
-                    else:
-                        shorter = slots[all_keys[k - 2][1] & mask].astype(np.int32)
-                        start = np.maximum(shorter[at], shorter[at + 1]) + 1
-                        on = (start <= step) & (step < start + shards)
-                        pick, start = keys[at[on]], start[on]
-                    if len(pick):
-                        key, where, n = np.unique(pick, return_index=True, return_counts=True)
-                        held.append((key, n.astype(np.int64), start[where]))
-                        size += len(key)
+                found = [(0, all_keys[0][1])] if step < shards else []
+                for (_, shorter), (at, keys) in zip(all_keys, all_keys[1:]):
+                    reached = slots[_slot(shorter, slots)]
+                    start = np.maximum(reached[at], reached[at + 1])
+                    found += [(x + 1, keys[at[start == x]]) for x in range(max(0, step - shards), step)]
+                for start, keys in found:
+                    if len(keys):
+                        held.setdefault(start, []).append(keys)
+                        size += len(keys)
                 if size > HELD:
-                    yield emit(held)
-                    held, size = [], 0
-        if held:
-            yield emit(held)
+                    yield from emit(held)
+                    held, size = {}, 0
+        yield from emit(held)
     return run
 
 
@@ -156,42 +155,54 @@ NAMES = pa.schema([("key", pa.int64()), ("lang", pa.string()), ("words", pa.int3
 
 
 def _name(length: int, table):
-    """Batches -> the phrases in set slots with their strings and, for each cut,
-    the keys of both parts; and rows of 0 words with the words of each language."""
+    """Batches -> the phrases of two words or more in set slots, with their
+    strings and the keys of both parts at each cut; and rows of 0 words with the
+    words of each language."""
+    def lists(keys, size):
+        flat = np.stack(keys, axis=1).ravel().view(np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, size), pa.int32()), pa.array(flat))
+
     def run(batches):
         slots = table.value
-        mask = np.uint64(len(slots) - 1)
-        seen = np.zeros(0, np.uint64)
+        seen = np.zeros(0, np.uint64)  # what this task has named, in order
         for batch in batches:
             langs, seeds = _of(batch)
             for rows, data, offsets in _pieces(batch.column("text"), PIECE):
                 all_keys, first, text = phrases(rows, data, offsets, seeds, length)
                 if not len(first):
                     continue
-                gap = np.flatnonzero((_FLAT[data] == 32) | (data == 9))
-                gap = np.sort(np.concatenate([gap, offsets[1:]]))
+                gap = np.sort(np.concatenate([np.flatnonzero((_FLAT[data] == 32) | (data == 9)), offsets[1:]]))
                 end = gap[np.searchsorted(gap, first, side="right")]  # a word ends at the next gap or end of text
                 low = _LOWER[data].tobytes()
-                out = []
-                for k, (at, keys) in enumerate(all_keys, 1):
-                    set_ = at[slots[keys[at] & mask] != NEVER]
-                    key, where = np.unique(keys[set_], return_index=True)
-                    new = ~np.isin(key, seen)
-                    for x, i in zip(key[new].view(np.int64).tolist(), set_[where[new]].tolist()):
-                        parts = [low[first[j]:end[j]].decode() for j in range(i, i + k)]
-                        out.append((x, langs[rows[text[i]]], k, " ".join(parts),
-                                    [int(all_keys[c - 1][1][i].view(np.int64)) for c in range(1, k)],
-                                    [int(all_keys[k - c - 1][1][i + c].view(np.int64)) for c in range(1, k)], 0))
-                    seen = np.concatenate([seen, key[new]])
-                if len(seen) > 4 * HELD:
+                for k, (at, keys) in enumerate(all_keys[1:], 2):
+                    on = at[slots[_slot(keys[at], slots)] != NEVER]
+                    key, where = np.unique(keys[on], return_index=True)
+                    place = np.searchsorted(seen, key)
+                    new = np.ones(len(key), bool)
+                    inside = place < len(seen)
+                    new[inside] = seen[place[inside]] != key[inside]
+                    key, where = key[new], on[where[new]]
+                    if not len(key):
+                        continue
+                    seen = np.sort(np.concatenate([seen, key]))
+                    parts = [[low[a:b] for a, b in zip(first[where + j].tolist(), end[where + j].tolist())]
+                             for j in range(k)]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(key.view(np.int64)),
+                        pa.array([langs[i] for i in rows[text[where]].tolist()], pa.string()),
+                        pa.array(np.full(len(key), k, np.int32)),
+                        pa.array([b" ".join(x) for x in zip(*parts)], pa.binary()).cast(pa.string()),
+                        lists([all_keys[c - 1][1][where] for c in range(1, k)], k - 1),
+                        lists([all_keys[k - c - 1][1][where + c] for c in range(1, k)], k - 1),
+                        pa.array(np.zeros(len(key), np.int64))], schema=NAMES)
+                if len(seen) > HELD:
                     seen = seen[:0]
-                counts = np.bincount(text, minlength=len(rows))
                 tally: dict[str, int] = {}
-                for r, c in zip(rows.tolist(), counts.tolist()):
+                for r, c in zip(rows.tolist(), np.bincount(text, minlength=len(rows)).tolist()):
                     tally[langs[r]] = tally.get(langs[r], 0) + c
-                out += [(None, x, 0, None, [], [], c) for x, c in tally.items() if c]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), NAMES.types)], schema=NAMES)
+                    [pa.array(c, t) for c, t in zip(zip(*[(None, x, 0, None, [], [], c) for x, c in tally.items()]),
+                                                    NAMES.types)], schema=NAMES)
     return run
 
 
@@ -232,7 +243,7 @@ def counted(spark: SparkSession, few: DataFrame, least: int, length: int, shards
         if slots is None:
             size = min(SLOTS, max(LEAST_SLOTS, 1 << (16 * reached.count()).bit_length()))
             slots = np.full(size, NEVER, np.uint8)
-        new = reached.select(F.col("key").bitwiseAND(F.lit(len(slots) - 1)).cast("int").alias("slot")).distinct()
+        new = reached.select(F.shiftrightunsigned("key", 65 - len(slots).bit_length()).cast("int").alias("slot")).distinct()
         new = new.toArrow()["slot"].to_numpy()  # at most one row a slot
         slots[new[slots[new] == NEVER]] = step
         if sent is not None:
@@ -258,18 +269,17 @@ def collocations(spark: SparkSession, docs: DataFrame, least: int = LEAST, lengt
     path = work_dir(spark, "phrase_names")
     (few.select("lang", "text").mapInArrow(_name(length, sent), "key long, lang string, words int, "
                                            "phrase string, heads array<long>, tails array<long>, n long")
-        .groupBy("key", "words", F.when(F.col("key").isNull(), F.col("lang")).alias("of"))
-        .agg(F.min(F.struct("phrase", "lang", "heads", "tails")).alias("x"), F.sum("n").alias("n"))
-        .select("key", "words", "x.*", "n").write.parquet(path))
+        .groupBy("key", "words", "lang", "phrase", "heads", "tails").agg(F.sum("n").alias("n"))
+        .write.parquet(path))
     names = spark.read.parquet(path)
     size = names.where("words = 0").select(F.col("lang").alias("in_lang"), "n")
     path = work_dir(spark, "frequent_phrases")
     (names.where("words > 0").drop("n").join(counts.withColumnRenamed("n", "a"), "key").write.parquet(path))
     found = spark.read.parquet(path)
-    total = found.where("words = 1").agg(F.sum("a")).first()[0] or 0
-    hot = found.where(F.col("a") * HOT >= total).select("key")  # at most HOT of each length
-    part = lambda key, n: found.select(F.col("key").alias(key), F.col("a").alias(n))
-    cuts = found.where("words > 1").select("key", "a", F.posexplode(F.arrays_zip("heads", "tails")).alias("k", "x"))
+    total = size.agg(F.sum("n")).first()[0] or 0
+    hot = counts.where(F.col("n") * HOT >= total).select("key")  # at most HOT of each length
+    part = lambda key, n: counts.select(F.col("key").alias(key), F.col("n").alias(n))
+    cuts = found.select("key", "a", F.posexplode(F.arrays_zip("heads", "tails")).alias("k", "x"))
     path = work_dir(spark, "phrase_cuts")
     (heavy_join(cuts.select("key", "a", "k", F.col("x.heads").alias("head"), F.col("x.tails").alias("tail")),
                 part("head", "l"), ["head"], hot.withColumnRenamed("key", "head")).write.parquet(path))
@@ -281,7 +291,7 @@ def collocations(spark: SparkSession, docs: DataFrame, least: int = LEAST, lengt
     longer = (found.where("words > 2").select(F.explode(F.array(F.element_at("heads", -1), F.element_at("tails", 1)))
                                               .alias("in_key"), "a")
               .groupBy("in_key").agg(F.max("a").alias("most")))
-    kept = (found.where("words > 1").join(worst, "key").join(longer, F.col("key") == F.col("in_key"), "left")
+    kept = (found.join(worst, "key").join(longer, F.col("key") == F.col("in_key"), "left")
             .where(F.col("most").isNull() | (100 * F.col("most") < inside_percent * F.col("a"))))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("w.score"), F.desc("a"), "phrase"))
     best = kept.select("lang", "phrase", "a", "w", rank.cast("long").alias("rank")).where(F.col("rank") <= top)
