@@ -10,16 +10,19 @@ from pyspark.sql import types as T
 
 from aerocorr import schemas
 from aerocorr.config import work_dir
+from aerocorr.operators.clean import distinct_positions
+from aerocorr.operators.geocode import geocode_table
 from aerocorr.plans import studies
 from aerocorr.plans.catalog import (
-    DIGITS, GEO_COUNTRY, corr_sql, MIN_DIST_CTE, POS_CTE, READINGS_CTE, REMOTENESS_ROWS_SQL, SAMPLE_N,
+    DIGITS, GEO_COUNTRY, GEO_CTE, corr_sql, MIN_DIST_CTE, POS_CTE, READINGS_CTE, REMOTENESS_ROWS_SQL, SAMPLE_N,
     SITE_CTE, query, with_,
 )
 from aerocorr.sources import bindings as B
 from aerocorr.sources.cities import read_cities
-from aerocorr.sources.landing import land
+from aerocorr.sources.geocode_cache import GeocodeCache
+from aerocorr.sources.landing import land, ledger
 from aerocorr.sources.readings import read_family, read_landed, read_readings
-from aerocorr.sources.sinks import write_sample_csv
+from aerocorr.sources.sinks import materialize, write_sample_csv
 from aerocorr.sources.sites import read_sites
 
 LANDED_SCHEMA = T.StructType(schemas.READING_SCHEMA.fields + [
@@ -163,6 +166,86 @@ def land_incremental(spark, sf):
     return read_landed(spark, out, schema=LANDED_SCHEMA).select("sensor_id", "family", "month", "P1", "P2")
 
 
+def _rename(spark, folder: str, name: str) -> str:
+    """Give the one Parquet file in ``folder`` a name; its path."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part = next(s.getPath() for s in fs.listStatus(path) if s.getPath().getName().endswith(".parquet"))
+    fs.rename(part, jvm.org.apache.hadoop.fs.Path(folder, name))
+    return f"{folder}/{name}"
+
+
+def _two_folders(spark, sf) -> str:
+    """Readings of each family in two folders, as files of one name; landed by
+    a call for each folder and a third that lists the first again."""
+    base, out = work_dir(spark, "same-names"), work_dir(spark, "landed")
+    calls = ([], [])
+    for fam, df in B.reading_families(spark, sf).items():
+        for call in (0, 1):
+            folder = f"{base}/{'ab'[call]}/{fam}"
+            df.where(F.col("reading_id") % 3 == call).select(
+                F.col("sensor_id").cast("int"), "lat", "lon", "timestamp", "P1", "P2").coalesce(1).write.parquet(folder)
+            calls[call].append((_rename(spark, folder, "data.parquet"), fam, "2024-01"))
+    for entries in (calls[0], calls[1], calls[0]):
+        land(spark, spark.createDataFrame(entries, "path string, family int, month string"), out)
+    return out
+
+
+@query("land_same_names", with_(READINGS_CTE)
+       + " SELECT sensor_id, family, '2024-01' AS month, P1, P2 FROM r WHERE reading_id % 3 < 2")
+def land_same_names(spark, sf):
+    """Files of one name from two folders, landed in two calls, all keep their rows."""
+    return read_landed(spark, _two_folders(spark, sf), schema=LANDED_SCHEMA).select(
+        "sensor_id", "family", "month", "P1", "P2")
+
+
+@query("land_ledger", with_(READINGS_CTE) + """
+ SELECT family, '2024-01' AS month, CASE reading_id % 3 WHEN 0 THEN 'a' ELSE 'b' END AS folder,
+        count(*) AS rows, CAST(1 + reading_id % 3 AS INTEGER) AS call
+ FROM r WHERE reading_id % 3 < 2 GROUP BY ALL""")
+def land_ledger(spark, sf):
+    """The ledger of those calls: the third one landed nothing."""
+    path = F.element_at(F.split("file_path", "/"), -3)
+    return ledger(spark, _two_folders(spark, sf)).select("family", "month", path.alias("folder"), "rows", "call")
+
+
+@query("nearest_refresh_changed", with_(READINGS_CTE, POS_CTE, SITE_CTE, MIN_DIST_CTE)
+       + " SELECT p.sensor_id, p.lat, p.lon, m.min_dist FROM pos p JOIN md m ON p.sensor_id = m.sensor_id")
+def nearest_refresh_changed(spark, sf):
+    """The nearest-site table of a third of the readings, then refreshed with
+    all of them: only sensors with new positions are searched again."""
+    path = work_dir(spark, "nearest-site")
+    rd = B.readings(spark, sf)
+    for part in (rd.where("sensor_id % 3 = 0"), rd):
+        near = studies.remoteness_table(part, B.sites(spark, sf), path=path, refresh="changed")
+    return near
+
+
+@query("geocode_cache_rounds", with_(READINGS_CTE, POS_CTE, GEO_CTE) + """
+ SELECT lat, lon, coalesce(country, 'error') AS country,
+        CAST(CASE WHEN country IS NOT NULL AND CAST(round(lat * 100) AS INTEGER) % 2 = 0 THEN 1 ELSE 2 END
+             AS INTEGER) AS attempt
+ FROM (SELECT DISTINCT lat, lon FROM pos WHERE lat IS NOT NULL AND lon IS NOT NULL) p
+ LEFT JOIN geo USING (lat, lon)""")
+def geocode_cache_rounds(spark, sf):
+    """Two rounds of worklist, lookup and append.  The first round answers half
+    of the known coordinates, failed ones are asked once more."""
+    positions = distinct_positions(B.readings(spark, sf))
+    known = geocode_table(B.geocoded(spark, sf))
+    cache = GeocodeCache(spark, work_dir(spark, "geocode-cache"), max_attempts=2)
+    for late in (False, True):
+        asked = cache.worklist(positions).join(known, ["lat", "lon"], "left")
+        served = F.col("country").isNotNull() & (F.lit(late) | (F.round(F.col("lat") * 100).cast("int") % 2 == 0))
+        cache.add(asked.select("lat", "lon", F.when(served, F.to_json(F.struct(
+            F.lit(7).alias("osm_id"), F.struct("country").alias("address"))))
+            .otherwise(F.lit('{"error": "Unable to geocode"}')).alias("body")))
+    out = materialize(spark, cache.entries().join(cache.answers().withColumnRenamed("country", "answer"), ["lat", "lon"])
+                      .select("lat", "lon", F.col("answer").alias("country"), "attempt"), name="geocoded")
+    cache.close()
+    return out
+
+
 @query("family_mixed_schema", with_(READINGS_CTE) + """
  SELECT sensor_id, lat, lon, P1, CASE WHEN sensor_id % 2 = 0 THEN P2 END AS P2 FROM r WHERE family = 2""")
 def family_mixed_schema(spark, sf):

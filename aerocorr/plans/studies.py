@@ -40,6 +40,7 @@ from aerocorr.operators.nearest import min_distance, nearest_within, positions_w
 from aerocorr.functions.time import reading_hour
 from aerocorr.operators.stats import correlation_matrix, grouped_moments, pooled_correlation_matrix
 from aerocorr.sources.sinks import materialize
+from aerocorr.sources.versions import open_version, refresh_changed
 
 
 def sensor_positions(readings: DataFrame, geocode: DataFrame | None = None,
@@ -57,22 +58,26 @@ def sensor_positions(readings: DataFrame, geocode: DataFrame | None = None,
 def remoteness_table(readings: DataFrame, sites: DataFrame, *, geocode: DataFrame | None = None,
                      country: str = schemas.COUNTRY_NAME, cell: float | None = None,
                      persist: bool = True, path: str | None = None,
-                     refresh: bool = True) -> DataFrame:
+                     refresh: bool | str = True) -> DataFrame:
     """Positions with their sensor-wide distance to the nearest site
     ``(sensor_id, lat, lon, min_dist)``, written and re-read when ``persist``.
-    With ``path`` the table is kept there; ``refresh=False`` then reloads it in
-    later runs without building anything."""
+    With ``path`` the table is kept there in versions; in later runs
+    ``refresh=False`` reloads it without building anything and
+    ``refresh="changed"`` computes only the sensors whose positions changed
+    (:func:`aerocorr.sources.versions.refresh_changed`)."""
     spark = readings.sparkSession
-
-    def build(stored: bool) -> DataFrame:
-        pos = sensor_positions(readings, geocode, country)
-        if stored:
-            pos = materialize(spark, pos, name="positions")
-        return positions_with_min_distance(pos, sites.select("latitude", "longitude"), cell=cell)
-
-    if persist or path:
-        return materialize(spark, lambda: build(True), path, name="nearest-site", refresh=refresh)
-    return build(False)
+    near = lambda pos: positions_with_min_distance(
+        pos, sites.select("latitude", "longitude"), cell=cell)
+    if path and refresh is False and (stored := open_version(spark, path)) is not None:
+        return stored
+    pos = sensor_positions(readings, geocode, country)
+    if not (persist or path):
+        return near(pos)
+    pos = materialize(spark, pos, name="positions")
+    if path:
+        return refresh_changed(spark, path, pos, sites.select("latitude", "longitude"), near,
+                               "sensor_id", f"nearest-site cell={cell}", refresh)
+    return materialize(spark, near(pos), name="nearest-site")
 
 
 def remoteness_readings(readings: DataFrame, near: DataFrame, *,
@@ -101,7 +106,7 @@ def remoteness_study(readings: DataFrame, sites: DataFrame, *, geocode: DataFram
                      last_hour: int = schemas.DAY_LAST_HOUR,
                      cell: float | None = None, digits: int | None = None,
                      persist: bool = True, strategy: str = "pre-aggregate",
-                     path: str | None = None, refresh: bool = True) -> DataFrame:
+                     path: str | None = None, refresh: bool | str = True) -> DataFrame:
     """2x2 Pearson matrix of ``(avg_p, min_dist)`` over every qualifying
     reading (each reading weighs once).
 
@@ -157,19 +162,20 @@ def remoteness_from_moments(moments: DataFrame, sites: DataFrame, *,
 def settlement_table(positions: DataFrame, cities: DataFrame, *,
                      radius: float = schemas.CITY_RADIUS, persist: bool = True,
                      distinct_cities: bool = True, path: str | None = None,
-                     refresh: bool = True) -> DataFrame:
+                     refresh: bool | str = True) -> DataFrame:
     """Per sensor, the nearest city (ties kept) when it lies strictly within
     ``radius``: ``(sensor_id, lat, lon, geonameid, name, asciiname,
     alternatenames, latitude, longitude, population, elevation, min_dist)``.
     ``path`` and ``refresh`` as in :func:`remoteness_table`."""
     attrs = cities.select("geonameid", "name", "asciiname", "alternatenames", "latitude",
                           "longitude", "population", F.col("dem").alias("elevation"))
-    build = lambda: nearest_within(
-        positions.select("sensor_id", "lat", "lon"), attrs, radius, dist_col="min_dist",
-        distinct_sites=distinct_cities)
-    if persist or path:
-        return materialize(positions.sparkSession, build, path, name="nearest-city", refresh=refresh)
-    return build()
+    here = positions.select("sensor_id", "lat", "lon")
+    near = lambda pos: nearest_within(
+        pos, attrs, radius, dist_col="min_dist", distinct_sites=distinct_cities)
+    if path:
+        return refresh_changed(positions.sparkSession, path, here, attrs, near, "sensor_id",
+                               f"nearest-city {radius} {distinct_cities}", refresh)
+    return materialize(positions.sparkSession, near(here), name="nearest-city") if persist else near(here)
 
 
 def settlement_study(readings: DataFrame, cities: DataFrame, *,
@@ -178,7 +184,7 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
                      distinct_rows: bool = True, digits: int | None = None,
                      persist: bool = True, strategy: str = "join",
                      one_row_per_sensor: bool | None = None,
-                     path: str | None = None, refresh: bool = True,
+                     path: str | None = None, refresh: bool | str = True,
                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                      salt_buckets: int = 0) -> DataFrame:
     """3x3 Pearson matrix of ``(avg_p, population, elevation)``.  With

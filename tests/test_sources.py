@@ -166,3 +166,51 @@ def test_files_of_one_family_may_differ(spark, tmp_path):
                           READING.replace("P1 double, P2 double", "P1 string, P2 string")).write.parquet(c)
     got = {r.sensor_id: (r.P1, r.P2) for r in read_family(spark, [a, b, c], 2).collect()}
     assert got == {1: (3.0, None), 2: (3.0, 4.0), 3: (None, 4.5)}
+
+
+def _named(spark, tmp_path, folder, keys, name="data.parquet"):
+    """One Parquet file of a given name holding a row for each key."""
+    import glob
+    spark.createDataFrame([(k, 50.0, 7.0, "2018-01-01 06:00:00", 3.0, 4.0) for k in keys], READING) \
+        .coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "w"))
+    os.makedirs(tmp_path / folder, exist_ok=True)
+    path = str(tmp_path / folder / name)
+    os.replace(glob.glob(str(tmp_path / "w" / "*.parquet"))[0], path)
+    return path
+
+
+def test_ledger_keeps_files_of_one_name_apart(spark, tmp_path):
+    """Two folders, one file name, two calls: all rows; a re-run adds nothing;
+    a changed file replaces its own rows; a new file of a known folder lands."""
+    from aerocorr.sources import ledger
+    a, b = _named(spark, tmp_path, "a", range(10)), _named(spark, tmp_path, "b", range(100, 107))
+    out, schema = str(tmp_path / "landed"), "path string, family int, month string"
+    call = lambda *paths: land(spark, spark.createDataFrame([(p, 2, "2018-01") for p in paths], schema), out)
+    assert call(a).count() == 10
+    assert call(b).count() == 17
+    before = {(r.file_path, r.rows, r.call) for r in ledger(spark, out).collect()}
+    assert {(r, c) for _, r, c in before} == {(10, 1), (7, 2)}
+    assert call(a, b, str(tmp_path / "a")).count() == 17
+    assert {(r.file_path, r.rows, r.call) for r in ledger(spark, out).collect()} == before
+    _named(spark, tmp_path, "a", range(4))
+    _named(spark, tmp_path, "a", [50], "more.parquet")
+    got = sorted(r.sensor_id for r in call(str(tmp_path / "a")).select("sensor_id").collect())
+    assert got == [0, 1, 2, 3, 50, *range(100, 107)]
+    assert sorted((r.rows, r.call) for r in ledger(spark, out).collect()) == [(1, 3), (4, 3), (7, 2)]
+    other = land(spark, spark.createDataFrame([(a, 2, "2018-02")], schema), out)
+    assert other.groupBy("month").count().count() == 2
+
+
+def test_a_broken_call_is_landed_again(spark, tmp_path, monkeypatch):
+    """Data written, ledger not: the next call lands the same files once."""
+    from aerocorr.sources import landing
+    a = _named(spark, tmp_path, "a", range(5))
+    out, manifest = str(tmp_path / "landed"), spark.createDataFrame([(a, 2, "m")], "path string, family int, month string")
+    monkeypatch.setattr(landing, "materialize", lambda *_, **__: 1 / 0)
+    try:
+        land(spark, manifest, out)
+    except ZeroDivisionError:
+        pass
+    monkeypatch.undo()
+    assert spark.read.parquet(out).count() == 5 and landing.ledger(spark, out).count() == 0
+    assert land(spark, manifest, out).count() == 5 and landing.ledger(spark, out).count() == 1
