@@ -7,13 +7,14 @@ first - share at least l elements.  A longer prefix costs more postings but
 asks for more matches before anything is verified; each document takes the l
 with the smallest estimated cost.
 
-1. One pass gives each document its set's size and a 128-bit signature; equal
-   sets form a class and its smallest doc_id represents it.  The pass also
+1. One pass gives each document its set's size and the 64-bit key of its set;
+   equal sets form a class, known by that key.  The pass also
    finds shingles that are frequent in some piece of the input; the ``HOT``
    most frequent of those are known everywhere (a fixed size).
 2. A second pass deals the shingles out by hash, packed as bytes (40 bits next
    to the number of the part, 64 bits for hot ones) with the 64-bit key of
-   their class, and counts classes per shingle.  Only shingles of several
+   their class, and counts classes per shingle.  There are as many parts as
+   keep a part, one group in a worker, at about ``PART`` shingles.  Only shingles of several
    classes come back as rows: a document has few, and one with more than 20 %
    shingles of its own cannot link and stops here.  Copies are combined in the
    piece and again in the part, so a class of any size is counted once.
@@ -28,7 +29,7 @@ with the smallest estimated cost.
    sizes, then verification.
 
 Links inside a component found in step 3 need no verification, as the result is
-the component.  ``links()`` without step 3 lists all pairs between classes.
+the component.
 
 Defined cases: null text, empty text and text without words have an empty set
 and link with nothing; a text of fewer than 5 words has its whole sequence as
@@ -53,6 +54,7 @@ _SALT = np.uint64(0x243F6A8885A308D3)
 K = 5
 PERCENT = 80
 HOT = 65_536
+PART = 1_000_000  # shingles counted in a Python worker at a time: about 100 MB
 MAX_MATCH = 8  # l goes from 1 to this; a longer prefix never pays beyond
 VERIFY_COST = 0.02  # per element of a set, against 1 per posting
 
@@ -80,27 +82,27 @@ def _distinct(sets):
 
 
 def _profile(k: int, share: float):
-    """Batches -> (doc_id, n, s1, s2) for each document, and (token, times)
-    for shingles in at least ``share`` of a piece's different sets."""
+    """Batches -> (doc_id, mark, n, s1, s2) for each document, and (token,
+    times) for shingles in at least ``share`` of a piece's different sets."""
     def run(batches):
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, marks = batch.column("doc_id"), batch.column("mark")
             for row, sets in _sets(batch, k):
-                yield _rows(ids.slice(row, len(sets)), *_keys(sets), False)
+                yield _rows(ids.slice(row, len(sets)), marks.slice(row, len(sets)), *_keys(sets), False)
                 pick, _ = _distinct(sets)
                 if len(pick):
                     token, times = np.unique(np.concatenate([sets[i] for i in pick]),
                                              return_counts=True)
                     some = times >= max(8, share * len(pick))
                     token = token[some].view(np.int64)
-                    yield _rows(pa.array(token), times[some], token, token, True)
+                    yield _rows(pa.array(token), pa.array(token), times[some], token, token, True)
     return run
 
 
-def _rows(ids, n, s1, s2, hot):
+def _rows(ids, marks, n, s1, s2, hot):
     return pa.RecordBatch.from_arrays(
-        [ids.cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(s1), pa.array(s2),
-         pa.array(np.full(len(n), hot))], ["doc_id", "n", "s1", "s2", "hot"])
+        [ids.cast(pa.int64()), marks, pa.array(n.astype(np.int64)), pa.array(s1), pa.array(s2),
+         pa.array(np.full(len(n), hot))], ["doc_id", "mark", "n", "s1", "s2", "hot"])
 
 
 PACKED = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("sizes", pa.binary()),
@@ -178,9 +180,10 @@ def _count(hot, times):
 
 
 def profiles(spark: SparkSession, docs: DataFrame, k: int, hot_share: float):
-    """(doc_id, n, s1, s2) of every row; the hot shingles in order; their counts."""
-    seen = written(spark, docs.mapInArrow(
-        _profile(k, hot_share), "doc_id long, n long, s1 long, s2 long, hot boolean"), "sets")
+    """(doc_id, mark, n, s1, s2) of every row; the hot shingles in order; their counts."""
+    marked = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"), "text")
+    seen = written(spark, marked.mapInArrow(
+        _profile(k, hot_share), "doc_id long, mark long, n long, s1 long, s2 long, hot boolean"), "sets")
     hot = (seen.where("hot").groupBy(F.col("doc_id").alias("token")).agg(F.sum("n").alias("times"))
            .orderBy(F.desc("times"), "token").limit(HOT).toPandas())
     token = hot["token"].to_numpy(dtype=np.int64).view(np.uint64)
@@ -190,11 +193,13 @@ def profiles(spark: SparkSession, docs: DataFrame, k: int, hot_share: float):
 
 
 def shared_elements(spark: SparkSession, docs: DataFrame, k: int, hot: np.ndarray,
-                    times: np.ndarray) -> DataFrame:
-    """(s1, token, df): every shingle that at least two classes have."""
+                    times: np.ndarray, total: int) -> DataFrame:
+    """(s1, token, df): every shingle that at least two classes have.  ``total``:
+    shingles of all rows, which decides the number of parts, so that a part (one
+    group in a Python worker) holds about ``PART`` of them whatever the input."""
     sc = spark.sparkContext
     known, counts = sc.broadcast(hot), sc.broadcast(times)  # at most HOT entries of 8 bytes
-    parts = shuffle_partitions(spark)
+    parts = max(shuffle_partitions(spark), -(-total // PART))
     packed = docs.mapInArrow(_deal(k, parts, known),
                              "part int, keys binary, sizes binary, low binary, high binary")
     return packed.groupBy("part").applyInPandas(_count(known, counts), "s1 long, token long, df long")
@@ -260,7 +265,7 @@ def typical_pairs(entries: DataFrame) -> DataFrame:
     votes = (entries.select("token", F.col("rep").alias("a"), "comp").join(either, "token")
              .select("a", F.when(F.col("comp") != F.col("cb"), F.col("b")).otherwise(F.col("b2")).alias("b"))
              .groupBy("a", "b").agg(F.count(F.lit(1)).alias("v")))
-    return votes.groupBy("a").agg(F.max_by("b", F.struct("v", -F.col("b"))).alias("b"))
+    return votes.groupBy("a").agg(F.max_by("b", F.struct("v", F.bitwise_not("b"))).alias("b"))
 
 
 def candidate_pairs(entries: DataFrame) -> DataFrame:
@@ -285,19 +290,19 @@ def candidate_pairs(entries: DataFrame) -> DataFrame:
             .where("m >= l").select("a", "b"))
 
 
-def near_groups(spark: SparkSession, docs: DataFrame, k: int = K, hot_share: float = 0.01) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, class_id (smallest
-    doc_id with the same set), component_id (smallest doc_id reachable)."""
+def _grouped(spark: SparkSession, docs: DataFrame, k: int, hot_share: float) -> DataFrame:
+    """One row per row of ``docs``: doc_id, mark (hash of the text), n, rep
+    (smallest doc_id of the class) and comp (key of the component; NULL without
+    shingles).  A class is known by its key, never by a doc_id, so rows that
+    repeat a doc_id with other texts are not mixed up."""
     few = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     seen, hot, times = profiles(spark, few, k, hot_share)
-    reps = seen.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    member = written(spark, seen.join(reps, ["n", "s1", "s2"], "left").select(
-        "doc_id", "n", "s1", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep")),
-        "classes")
-    heads = member.where("n > 0 and rep is not null").groupBy("s1").agg(
-        F.max("n").alias("n"), F.min("rep").alias("rep"))
-    near = (shared_elements(spark, few, k, hot, times).join(heads, "s1")
-            .groupBy("s1", "rep", "n")
+    total = seen.agg(F.sum("n")).first()[0] or 0
+    classes = written(spark, seen.where("n > 0").groupBy("s1").agg(
+        F.max("n").alias("n"), F.min("doc_id").alias("rep")), "classes")
+    near = (shared_elements(spark, few, k, hot, times, total)
+            .join(classes.select("s1", "n"), "s1").withColumnRenamed("s1", "rep")
+            .groupBy("rep", "n")
             .agg(F.sort_array(F.collect_set(F.struct("df", "token"))).alias("e"))
             .where(F.size("e") >= needed(F.col("n")))
             .select("rep", "n", F.col("e.token").alias("tokens"), F.col("e.df").alias("dfs"),
@@ -311,15 +316,34 @@ def near_groups(spark: SparkSession, docs: DataFrame, k: int = K, hot_share: flo
         *entries.columns, F.coalesce("comp", "rep").alias("comp"))
     links = found.unionByName(verified(candidate_pairs(labelled), sets))
     comp = connected_components(spark, links)
-    groups = member.join(comp, member.rep == comp.node, "left")
-    return groups.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"),
-                         F.coalesce("comp", "rep").alias("component_id"))
+    named = classes.select("s1", "rep").join(comp, F.col("s1") == F.col("node"), "left").select(
+        F.col("s1").alias("key"), "rep", F.coalesce("comp", "s1").alias("comp"))
+    return written(spark, seen.join(named, (F.col("s1") == F.col("key")) & (F.col("n") > 0), "left")
+                   .select("doc_id", "mark", "n", "rep", "comp"), "groups")
+
+
+def near_groups(spark: SparkSession, docs: DataFrame, k: int = K, hot_share: float = 0.01) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest
+    doc_id reachable), class_id (smallest doc_id with the same set)."""
+    groups = _grouped(spark, docs, k, hot_share)
+    least = groups.where("comp is not null").groupBy(F.col("comp").alias("c")).agg(
+        F.min("doc_id").alias("component_id"))
+    alone = F.col("comp").isNull()
+    return groups.join(least, groups.comp == least.c, "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("rep")).alias("class_id"))
 
 
 def first_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: its smallest doc_id.
-    Texts without words, linked with nothing, all stay."""
-    groups = near_groups(spark, docs)
-    stay = groups.where("component_id is null or doc_id = component_id").select(
-        F.col("doc_id").alias("__id")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    """``docs`` with one document of each component: its smallest doc_id, of
+    several rows with that id those of one text.  Texts without words, linked
+    with nothing, all stay."""
+    groups = _grouped(spark, docs, K, 0.01)
+    rows = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    stay = (groups.where("comp is not null").groupBy("comp").agg(F.min(rows).alias("r"))
+            .select(F.col("r.doc_id").alias("__id"), F.col("r.mark").alias("__mark"))
+            .unionByName(groups.where("comp is null").select(
+                F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()))
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (mark == F.col("__mark")), "left_semi")

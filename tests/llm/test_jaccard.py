@@ -107,3 +107,33 @@ def test_components_of_a_long_path(spark):
 
 def test_empty(spark, empty):
     assert J.near_groups(spark, empty).count() == 0 and J.first_of_each(spark, empty).count() == 0
+
+
+def test_rows_that_repeat_an_id_with_other_texts(spark):
+    """A class is not its smallest doc_id: an unrelated text under a used id
+    stays alone, and of near texts under one id one stays."""
+    words = [f"w{i}" for i in range(60)]
+    near = lambda i: " ".join(words[:i] + ["other"] + words[i + 1:])
+    rows = [(1, " ".join(words)), (5, near(30)), (5, " ".join(f"u{i}" for i in range(50))), (7, near(1)),
+            (9, " ".join(f"v{i}" for i in range(50))), (11, " ".join(f"x{i}" for i in range(60))),
+            (11, " ".join(f"x{i}" for i in range(59))), (None, " ".join(f"z{i}" for i in range(20))),
+            (None, " ".join(f"z{i}" for i in range(20)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in J.near_groups(spark, df).collect())
+    assert got == [(0, 16, 0), (0, 16, 0), (1, 56, 1), (5, 46, 5), (5, 56, 1), (7, 56, 1), (9, 46, 9),
+                   (11, 55, 11), (11, 56, 11)]
+    stay = sorted((r.doc_id or 0, r.text.split()[0]) for r in J.first_of_each(spark, df).collect())
+    assert stay == [(0, "z0"), (0, "z0"), (1, "w0"), (5, "u0"), (9, "v0"), (11, "x0")]
+
+
+def test_parts_follow_the_number_of_shingles(spark, monkeypatch):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[:i] + ["o"] + words[i + 1:])) for i in range(30)] + [(99, " ".join(words[::2]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(tuple(r) for r in J.near_groups(spark, df).collect())
+    sizes = []
+    deal = J._deal
+    monkeypatch.setattr(J, "PART", 500)
+    monkeypatch.setattr(J, "_deal", lambda k, parts, hot: (sizes.append(parts), deal(k, parts, hot))[1])
+    assert sorted(tuple(r) for r in J.near_groups(spark, df).collect()) == whole
+    assert sizes[0] >= 24 and {r[2] for r in whole} == {0, 99}

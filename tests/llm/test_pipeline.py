@@ -85,7 +85,7 @@ def test_empty_documents(spark, tmp_path):
 def test_queries_are_registered():
     names = E.queries()
     assert set(QUERIES) < set(names) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
