@@ -54,8 +54,9 @@ INSIDE_PERCENT = 50
 SLOTS, LEAST_SLOTS = 1 << 24, 1 << 16  # powers of two
 HOT = 4096
 NEVER = 255
-PIECE = 1 << 21  # bytes of text worked on at a time
-HELD = 1 << 22  # keys kept in a task before they are handed on
+PIECE = 1 << 20  # bytes of text worked on at a time
+HELD = 1 << 21  # keys kept in a task before they are handed on
+BATCH = 1 << 15  # rows handed on at a time, as Arrow holds a batch outside the heap
 
 _SEP = np.zeros(256, dtype=bool)
 _SEP[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -116,6 +117,11 @@ def _slot(key, slots):
     return (key >> np.uint64(65 - len(slots).bit_length())).astype(np.int64)
 
 
+def _slices(batch):
+    for a in range(0, batch.num_rows, BATCH):
+        yield batch.slice(a, BATCH)
+
+
 def _count(step: int, shards: int, length: int, table):
     """Batches (lang, text) -> (key, n, start) of the phrases counted in ``step``."""
     def emit(held):
@@ -123,9 +129,9 @@ def _count(step: int, shards: int, length: int, table):
             key = np.sort(np.concatenate(held[start]))
             head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             n = np.diff(np.append(head, len(key)))
-            yield pa.RecordBatch.from_arrays(
+            yield from _slices(pa.RecordBatch.from_arrays(
                 [pa.array(key[head].view(np.int64)), pa.array(n),
-                 pa.array(np.full(len(head), start, np.int32))], ["key", "n", "start"])
+                 pa.array(np.full(len(head), start, np.int32))], ["key", "n", "start"]))
 
     def run(batches):
         held, size = {}, 0
@@ -185,16 +191,18 @@ def _name(length: int, table):
                     if not len(key):
                         continue
                     seen = np.sort(np.concatenate([seen, key]))
-                    parts = [[low[a:b] for a, b in zip(first[where + j].tolist(), end[where + j].tolist())]
-                             for j in range(k)]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(key.view(np.int64)),
-                        pa.array([langs[i] for i in rows[text[where]].tolist()], pa.string()),
-                        pa.array(np.full(len(key), k, np.int32)),
-                        pa.array([b" ".join(x) for x in zip(*parts)], pa.binary()).cast(pa.string()),
-                        lists([all_keys[c - 1][1][where] for c in range(1, k)], k - 1),
-                        lists([all_keys[k - c - 1][1][where + c] for c in range(1, k)], k - 1),
-                        pa.array(np.zeros(len(key), np.int64))], schema=NAMES)
+                    for some in range(0, len(key), BATCH):
+                        at, x = where[some:some + BATCH], key[some:some + BATCH]
+                        parts = [[low[a:b] for a, b in zip(first[at + j].tolist(), end[at + j].tolist())]
+                                 for j in range(k)]
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(x.view(np.int64)),
+                            pa.array([langs[i] for i in rows[text[at]].tolist()], pa.string()),
+                            pa.array(np.full(len(x), k, np.int32)),
+                            pa.array([b" ".join(y) for y in zip(*parts)], pa.binary()).cast(pa.string()),
+                            lists([all_keys[c - 1][1][at] for c in range(1, k)], k - 1),
+                            lists([all_keys[k - c - 1][1][at + c] for c in range(1, k)], k - 1),
+                            pa.array(np.zeros(len(x), np.int64))], schema=NAMES)
                 if len(seen) > HELD:
                     seen = seen[:0]
                 tally: dict[str, int] = {}
