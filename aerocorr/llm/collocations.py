@@ -20,8 +20,9 @@ its counts (combined in the task, then by key) to the open ones; closed phrases
 below the threshold go, and the table of the step before is removed.
 
 Phrases are known by 64-bit hashes of their words and language.  A last scan
-brings the strings and the subphrases' keys of all phrases in set slots;
-then come scores, the drop rule and the top of each language.  Subphrases in
+brings the strings and the subphrases' keys of the frequent phrases, by a table
+of marks of at most ``SLOTS`` bytes and then by key; then come scores, the drop
+rule and the top of each language.  Subphrases in
 many candidates (words, at most ``HOT`` of them by their share of all words)
 meet by broadcast.
 
@@ -160,16 +161,20 @@ NAMES = pa.schema([("key", pa.int64()), ("lang", pa.string()), ("words", pa.int3
                    ("heads", pa.list_(pa.int64())), ("tails", pa.list_(pa.int64())), ("n", pa.int64())])
 
 
+def _marked(key, marks):
+    """Whether keys may be frequent phrases: both their top and their low bits are marked."""
+    return (marks[_slot(key, marks)] & 1 > 0) & (marks[key & np.uint64(len(marks) - 1)] & 2 > 0)
+
+
 def _name(length: int, table):
-    """Batches -> the phrases of two words or more in set slots, with their
-    strings and the keys of both parts at each cut; and rows of 0 words with the
+    """Batches -> the marked phrases of two words or more, with their strings and the keys of both parts at each cut; and rows of 0 words with the
     words of each language."""
     def lists(keys, size):
         flat = np.stack(keys, axis=1).ravel().view(np.int64)
         return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, size), pa.int32()), pa.array(flat))
 
     def run(batches):
-        slots = table.value
+        marks = table.value
         seen = np.zeros(0, np.uint64)  # what this task has named, in order
         for batch in batches:
             langs, seeds = _of(batch)
@@ -181,7 +186,7 @@ def _name(length: int, table):
                 end = gap[np.searchsorted(gap, first, side="right")]  # a word ends at the next gap or end of text
                 low = _LOWER[data].tobytes()
                 for k, (at, keys) in enumerate(all_keys[1:], 2):
-                    on = at[slots[_slot(keys[at], slots)] != NEVER]
+                    on = at[_marked(keys[at], marks)]
                     key, where = np.unique(keys[on], return_index=True)
                     place = np.searchsorted(seen, key)
                     new = np.ones(len(key), bool)
@@ -219,7 +224,7 @@ COUNTED = "key long, n long, start int, reach int, closed boolean"
 
 def counted(spark: SparkSession, few: DataFrame, least: int, length: int, shards: int):
     """The cyclic scans over ``few`` (doc_id, lang, text): frequent phrases
-    (key, n) as a list of tables, and the slot table."""
+    (key, n) as a list of tables."""
     low, high = few.agg(F.min("doc_id"), F.max("doc_id")).first()
     low, high = (0, 0) if low is None else (low, high)
     cuts = [low + (high - low + 1) * i // shards for i in range(shards)]
@@ -249,7 +254,7 @@ def counted(spark: SparkSession, few: DataFrame, least: int, length: int, shards
         done.append(now.where("closed").select("key", "n"))
         reached = now.where(F.col("reach") == step)
         if slots is None:
-            size = min(SLOTS, max(LEAST_SLOTS, 1 << (16 * reached.count()).bit_length()))
+            size = min(SLOTS, max(LEAST_SLOTS, 1 << (64 * reached.count()).bit_length()))
             slots = np.full(size, NEVER, np.uint8)
         new = reached.select(F.shiftrightunsigned("key", 65 - len(slots).bit_length()).cast("int").alias("slot")).distinct()
         new = new.toArrow()["slot"].to_numpy()  # at most one row a slot
@@ -259,7 +264,8 @@ def counted(spark: SparkSession, few: DataFrame, least: int, length: int, shards
         sent = sc.broadcast(slots)
         newest = step if len(new) else newest
         if step + 1 == shards * length or step >= max(newest + shards, shards - 1):
-            return done, sent  # what the newest keys let start has had its cycle
+            sent.unpersist()
+            return done  # what the newest keys let start has had its cycle
         last, step = path, step + 1
 
 
@@ -270,10 +276,16 @@ def collocations(spark: SparkSession, docs: DataFrame, least: int = LEAST, lengt
     (words of the language), score = floor(1000000 a a / (l r))."""
     few = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                       F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    done, sent = counted(spark, few, least, length, shards)
+    done = counted(spark, few, least, length, shards)
     counts = done[0]
     for more in done[1:]:
         counts = counts.unionByName(more)
+    marks = np.zeros(min(SLOTS, max(LEAST_SLOTS, 1 << (16 * counts.count()).bit_length())), np.uint8)
+    low = F.col("key").bitwiseAND(F.lit(len(marks) - 1))
+    for bit, slot in ((1, F.shiftrightunsigned("key", 65 - len(marks).bit_length())), (2, low)):
+        found = counts.select(slot.cast("int").alias("slot")).distinct().toArrow()["slot"].to_numpy()
+        marks[found] |= bit  # at most one row a slot
+    sent = spark.sparkContext.broadcast(marks)
     path = work_dir(spark, "phrase_names")
     (few.select("lang", "text").mapInArrow(_name(length, sent), "key long, lang string, words int, "
                                            "phrase string, heads array<long>, tails array<long>, n long")
