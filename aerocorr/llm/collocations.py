@@ -21,10 +21,14 @@ below the threshold go, and the table of the step before is removed.
 
 Phrases are known by 64-bit hashes of their words and language.  A last scan
 brings the strings and the subphrases' keys of the frequent phrases, by a table
-of marks of at most ``SLOTS`` bytes and then by key; then come scores, the drop
-rule and the top of each language.  Subphrases in
-many candidates (words, at most ``HOT`` of them by their share of all words)
-meet by broadcast.
+of marks of at most ``SLOTS`` bytes and then by key.  It goes through the
+documents in rounds of 1/64, 3/64, 12/64 and 48/64 of them by a hash, each naming
+only phrases that no earlier round has named: a phrase is found in the round
+that brings its first few occurrences, so names come in proportion to the
+phrases, not to phrases times tasks.  Then come scores, the drop rule and the
+top of each language; a histogram of scores leaves rows that cannot be among the
+top out of the final sort.  Subphrases in many candidates (words, at most
+``HOT`` of them by their share of all words) meet by broadcast.
 
 Defined cases: a null or empty text has no words; a null language is ``und``;
 every row counts, also rows that repeat a doc_id; a null doc_id belongs to the
@@ -55,10 +59,13 @@ INSIDE_PERCENT = 50
 SLOTS, LEAST_SLOTS = 1 << 24, 1 << 16  # powers of two
 HOT = 4096
 NEVER = 255
+ROUNDS = (1, 4, 16, 64)  # of 64 parts of the documents, where a round of the last scan ends
+BEST = 1_000_000  # the highest score: a <= l and a <= r
 PIECE = 1 << 20  # bytes of text worked on at a time
 HELD = 1 << 21  # keys kept in a task before they are handed on
 BATCH = 1 << 15  # rows handed on at a time, as Arrow holds a batch outside the heap
 
+WORD = r"[^ \t.,;:!?\n\x0B\f\r]+"
 _SEP = np.zeros(256, dtype=bool)
 _SEP[list(b".,;:!?\n\x0b\x0c\r")] = True
 _FLAT = np.arange(256, dtype=np.uint8)
@@ -158,7 +165,7 @@ def _count(step: int, shards: int, length: int, table):
 
 
 NAMES = pa.schema([("key", pa.int64()), ("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()),
-                   ("heads", pa.list_(pa.int64())), ("tails", pa.list_(pa.int64())), ("n", pa.int64())])
+                   ("heads", pa.list_(pa.int64())), ("tails", pa.list_(pa.int64()))])
 
 
 def _marked(key, marks):
@@ -167,8 +174,8 @@ def _marked(key, marks):
 
 
 def _name(length: int, table):
-    """Batches -> the marked phrases of two words or more, with their strings and the keys of both parts at each cut; and rows of 0 words with the
-    words of each language."""
+    """Batches -> the marked phrases of two words or more, with their strings and
+    the keys of both parts at each cut."""
     def lists(keys, size):
         flat = np.stack(keys, axis=1).ravel().view(np.int64)
         return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, size), pa.int32()), pa.array(flat))
@@ -206,25 +213,75 @@ def _name(length: int, table):
                             pa.array(np.full(len(x), k, np.int32)),
                             pa.array([b" ".join(y) for y in zip(*parts)], pa.binary()).cast(pa.string()),
                             lists([all_keys[c - 1][1][at] for c in range(1, k)], k - 1),
-                            lists([all_keys[k - c - 1][1][at + c] for c in range(1, k)], k - 1),
-                            pa.array(np.zeros(len(x), np.int64))], schema=NAMES)
+                            lists([all_keys[k - c - 1][1][at + c] for c in range(1, k)], k - 1)], schema=NAMES)
                 if len(seen) > HELD:
                     seen = seen[:0]
-                tally: dict[str, int] = {}
-                for r, c in zip(rows.tolist(), np.bincount(text, minlength=len(rows)).tolist()):
-                    tally[langs[r]] = tally.get(langs[r], 0) + c
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*[(None, x, 0, None, [], [], c) for x, c in tally.items()]),
-                                                    NAMES.types)], schema=NAMES)
     return run
 
 
+def marked(keys: DataFrame, size: int):
+    """One byte a slot: bit 1 for the top bits of a key, bit 2 for its low ones.
+    The driver gets the slots as bits, at most ``size`` / 4 bytes."""
+    both = keys.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.shiftrightunsigned("key", 65 - size.bit_length()).alias("slot")),
+        F.struct(F.lit(1).alias("side"), F.col("key").bitwiseAND(F.lit(size - 1)).alias("slot")))).alias("x"))
+    bits = (both.groupBy("x.side", F.shiftright("x.slot", 6).alias("block"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(x.slot & 63 as int)))").alias("bits")).toArrow())
+    out = np.zeros((2, max(size >> 6, 1)), np.int64)
+    out[bits["side"].to_numpy(), bits["block"].to_numpy()] = bits["bits"].to_numpy()
+    top, low = np.unpackbits(out.view(np.uint8), axis=1, bitorder="little")[:, :size]
+    return top | low << 1
+
+
+def named(spark: SparkSession, few: DataFrame, keys: DataFrame, length: int) -> DataFrame:
+    """Each phrase of ``keys`` once, with its language, words and the keys of its parts."""
+    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS[-1]))
+    size = min(SLOTS, max(LEAST_SLOTS, 1 << (16 * keys.count()).bit_length()))
+    names, last = None, 0
+    for i, end in enumerate(ROUNDS):
+        if names is not None:
+            path = work_dir(spark, f"phrases_to_name_{i}")
+            keys.join(names.select("key"), "key", "left_anti").write.parquet(path)
+            keys = spark.read.parquet(path)
+        marks = marked(keys, size)
+        if names is not None and not marks.any():
+            break
+        sent = spark.sparkContext.broadcast(marks)
+        part = few.where((dealt >= last) & (dealt < end)).select("lang", "text")
+        path = work_dir(spark, f"phrase_names_{i}")
+        (part.mapInArrow(_name(length, sent), "key long, lang string, words int, phrase string, "
+                         "heads array<long>, tails array<long>")
+            .join(keys, "key", "left_semi").distinct().write.parquet(path))
+        sent.destroy()
+        more = spark.read.parquet(path)
+        names, last = more if names is None else names.unionByName(more), end
+    return names
+
+
+def _step(score, a):
+    """A number that never falls as (score, a) rises; few different ones."""
+    by_a = F.lit(1000) + F.floor(F.log2(a.cast("double")) * 8)
+    return F.when(score >= BEST, by_a).otherwise(F.floor(F.log2(score.cast("double") + 1) * 32)).cast("int")
+
+
+def leading(rows: DataFrame, top: int) -> DataFrame:
+    """``rows`` (lang, a, w.score) without those that cannot be among the first
+    ``top`` of their language: below the step at which ``top`` are reached."""
+    rows = rows.withColumn("step", _step(F.col("w.score"), F.col("a")))
+    steps = rows.groupBy("lang", "step").agg(F.count(F.lit(1)).alias("rows"))
+    above = F.sum("rows").over(Window.partitionBy("lang").orderBy(F.desc("step"))) - F.col("rows")
+    least = (steps.withColumn("above", above).where(F.col("above") < top)
+             .groupBy(F.col("lang").alias("of")).agg(F.min("step").alias("least")))
+    return rows.join(least, (F.col("lang") == F.col("of")) & (F.col("step") >= F.col("least"))).drop(
+        "of", "least", "step")
+
+
 COUNTED = "key long, n long, start int, reach int, closed boolean"
 
 
 def counted(spark: SparkSession, few: DataFrame, least: int, length: int, shards: int):
     """The cyclic scans over ``few`` (doc_id, lang, text): frequent phrases
-    (key, n) as a list of tables."""
+    (key, n, whether of several words) as a list of tables."""
     low, high = few.agg(F.min("doc_id"), F.max("doc_id")).first()
     low, high = (0, 0) if low is None else (low, high)
     cuts = [low + (high - low + 1) * i // shards for i in range(shards)]
@@ -251,7 +308,7 @@ def counted(spark: SparkSession, few: DataFrame, least: int, length: int, shards
         if last is not None:
             remove(spark, f"{last}/closed=false")
         now = spark.read.schema(COUNTED).parquet(path)
-        done.append(now.where("closed").select("key", "n"))
+        done.append(now.where("closed").select("key", "n", (F.col("start") > 0).alias("several")))
         reached = now.where(F.col("reach") == step)
         if slots is None:
             size = min(SLOTS, max(LEAST_SLOTS, 1 << (64 * reached.count()).bit_length()))
@@ -260,11 +317,11 @@ def counted(spark: SparkSession, few: DataFrame, least: int, length: int, shards
         new = new.toArrow()["slot"].to_numpy()  # at most one row a slot
         slots[new[slots[new] == NEVER]] = step
         if sent is not None:
-            sent.unpersist()
+            sent.destroy()
         sent = sc.broadcast(slots)
         newest = step if len(new) else newest
         if step + 1 == shards * length or step >= max(newest + shards, shards - 1):
-            sent.unpersist()
+            sent.destroy()
             return done  # what the newest keys let start has had its cycle
         last, step = path, step + 1
 
@@ -280,21 +337,16 @@ def collocations(spark: SparkSession, docs: DataFrame, least: int = LEAST, lengt
     counts = done[0]
     for more in done[1:]:
         counts = counts.unionByName(more)
-    marks = np.zeros(min(SLOTS, max(LEAST_SLOTS, 1 << (16 * counts.count()).bit_length())), np.uint8)
-    low = F.col("key").bitwiseAND(F.lit(len(marks) - 1))
-    for bit, slot in ((1, F.shiftrightunsigned("key", 65 - len(marks).bit_length())), (2, low)):
-        found = counts.select(slot.cast("int").alias("slot")).distinct().toArrow()["slot"].to_numpy()
-        marks[found] |= bit  # at most one row a slot
-    sent = spark.sparkContext.broadcast(marks)
-    path = work_dir(spark, "phrase_names")
-    (few.select("lang", "text").mapInArrow(_name(length, sent), "key long, lang string, words int, "
-                                           "phrase string, heads array<long>, tails array<long>, n long")
-        .groupBy("key", "words", "lang", "phrase", "heads", "tails").agg(F.sum("n").alias("n"))
-        .write.parquet(path))
-    names = spark.read.parquet(path)
-    size = names.where("words = 0").select(F.col("lang").alias("in_lang"), "n")
+    path = work_dir(spark, "counted_phrases")
+    counts.write.parquet(path)
+    counts = spark.read.parquet(path)
+    names = named(spark, few, counts.where("several").select("key"), length)
+    size = few.groupBy(F.col("lang").alias("in_lang")).agg(F.sum(F.regexp_count("text", F.lit(WORD))).alias("n"))
+    path = work_dir(spark, "phrase_words")
+    size.write.parquet(path)
+    size = spark.read.parquet(path)
     path = work_dir(spark, "frequent_phrases")
-    (names.where("words > 0").drop("n").join(counts.withColumnRenamed("n", "a"), "key").write.parquet(path))
+    names.join(counts.select("key", F.col("n").alias("a")), "key").write.parquet(path)
     found = spark.read.parquet(path)
     total = size.agg(F.sum("n")).first()[0] or 0
     hot = counts.where(F.col("n") * HOT >= total).select("key")  # at most HOT of each length
@@ -305,7 +357,7 @@ def collocations(spark: SparkSession, docs: DataFrame, least: int = LEAST, lengt
                 part("head", "l"), ["head"], hot.withColumnRenamed("key", "head")).write.parquet(path))
     cut = heavy_join(spark.read.parquet(path), part("tail", "r"), ["tail"], hot.withColumnRenamed("key", "tail"))
     d = lambda c: F.col(c).cast("decimal(19,0)")
-    cut = cut.withColumn("aa", (d("a") * d("a") * F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(38,0)")) \
+    cut = cut.withColumn("aa", (d("a") * d("a") * F.lit(BEST).cast("decimal(7,0)")).cast("decimal(38,0)")) \
              .withColumn("lr", d("l") * d("r")).withColumn("score", F.expr("aa div lr"))
     worst = cut.groupBy("key").agg(F.min(F.struct("score", "k", "l", "r")).alias("w"))
     longer = (found.where("words > 2").select(F.explode(F.array(F.element_at("heads", -1), F.element_at("tails", 1)))
@@ -313,6 +365,9 @@ def collocations(spark: SparkSession, docs: DataFrame, least: int = LEAST, lengt
               .groupBy("in_key").agg(F.max("a").alias("most")))
     kept = (found.join(worst, "key").join(longer, F.col("key") == F.col("in_key"), "left")
             .where(F.col("most").isNull() | (100 * F.col("most") < inside_percent * F.col("a"))))
+    path = work_dir(spark, "kept_phrases")
+    kept.select("lang", "phrase", "a", "w").write.parquet(path)
+    kept = leading(spark.read.parquet(path), top)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("w.score"), F.desc("a"), "phrase"))
     best = kept.select("lang", "phrase", "a", "w", rank.cast("long").alias("rank")).where(F.col("rank") <= top)
     return best.join(size, F.col("lang") == F.col("in_lang")).select(

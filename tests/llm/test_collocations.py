@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from aerocorr.llm import collocations as C
 
 LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
@@ -90,3 +92,35 @@ def test_long_text_is_cut_at_separators():
     assert all(d.tobytes()[-1:] in b",;" or i >= len(runs) - 2 for i, (_, d, _) in enumerate(runs))
     one = list(C._pieces(C.pa.array(["x" * 5000 + ". y"]), 1000))
     assert [len(d) for _, d, _ in one] == [5001, 2]
+
+
+def test_every_key_is_named_once_whatever_the_round(spark):
+    """Phrases of all documents and phrases of one document alike, found in any of the rounds."""
+    rows = [(i, "en", "of the " * (1 + i % 3) + f"only{i} here{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+    done = C.counted(spark, df, 1, 2, 2)
+    keys = done[0]
+    for more in done[1:]:
+        keys = keys.unionByName(more)
+    names = [r.phrase for r in C.named(spark, df, keys.where("several").select("key"), 2).collect()]
+    want = {" ".join(w[i:i + 2]) for _, _, t in rows for w in [t.split()] for i in range(len(w) - 1)}
+    assert len(names) == len(set(names)) and set(names) == want
+
+
+def test_marks_hold_every_key(spark):
+    keys = np.array([0, 1, -1, 2**63 - 1, -2**63, 12345678901234567], dtype=np.int64)
+    marks = C.marked(spark.createDataFrame([(int(k),) for k in keys], "key long"), 1 << 16)
+    assert C._marked(keys.view(np.uint64), marks).all() and (marks > 0).sum() <= 2 * len(keys)
+
+
+def test_leading_keeps_the_top(spark):
+    rng = random.Random(1)
+    rows = [("en", rng.choice([10**6, 10**6, rng.randrange(10**6), 0]), rng.randrange(10, 500), i) for i in range(3000)]
+    rows += [("de", 5, 10, i) for i in range(3)]
+    df = spark.createDataFrame(rows, "lang string, score long, a long, i int").selectExpr(
+        "lang", "a", "i", "named_struct('score', cast(score as decimal(38,0))) as w")
+    kept = {(r.lang, r.i) for r in C.leading(df, 400).collect()}
+    en = sorted(((-s, -a), i) for x, s, a, i in rows if x == "en")
+    last = en[399][0]
+    assert {("en", i) for x, i in en if x <= last} <= kept and {("de", i) for i in range(3)} <= kept
+    assert len(kept) < 1000
