@@ -15,12 +15,13 @@ from aerocorr.operators.geocode import geocode_table
 from aerocorr.plans import studies
 from aerocorr.plans.catalog import (
     DIGITS, GEO_COUNTRY, GEO_CTE, corr_sql, MIN_DIST_CTE, POS_CTE, READINGS_CTE, REMOTENESS_ROWS_SQL, SAMPLE_N,
-    SITE_CTE, query, with_,
+    SETTLEMENT_RADIUS, SETTLEMENT_ROWS_SQL, SITE_CTE, query, with_,
 )
 from aerocorr.sources import bindings as B
 from aerocorr.sources.cities import read_cities
 from aerocorr.sources.geocode_cache import GeocodeCache
 from aerocorr.sources.landing import land, ledger
+from aerocorr.sources.quarantine import parse_cities, parse_sites
 from aerocorr.sources.readings import read_family, read_landed, read_readings
 from aerocorr.sources.sinks import materialize, write_sample_csv
 from aerocorr.sources.sites import read_sites
@@ -47,6 +48,26 @@ def csv_export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
             .schema(SAMPLE_SCHEMA).csv(path))
 
 
+@query("settlement_csv_export", with_(*SETTLEMENT_ROWS_SQL, """
+ k AS (SELECT avg_p, population, elevation, CAST(floor(avg_p * 1000000) AS BIGINT) AS avg_key,
+              CAST(floor(population * 1000000) AS BIGINT) AS pop_key FROM j)""") + f"""
+ SELECT * FROM k
+ ORDER BY md5(concat_ws('|', CAST(avg_key AS VARCHAR), CAST(pop_key AS VARCHAR), CAST(elevation AS VARCHAR))),
+          avg_key, pop_key, elevation LIMIT {SAMPLE_N}""")
+def settlement_csv_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Bounded plotting sample of the settlement rows: one ``;`` CSV with a
+    header, read back.  Sampled by whole numbers, as engines print doubles
+    differently."""
+    rows = studies.settlement_rows(B.readings(spark, sf), B.cities(spark, sf), radius=SETTLEMENT_RADIUS)
+    rows = materialize(spark, rows.select(
+        "avg_p", "population", "elevation", F.floor(F.col("avg_p") * 1000000).cast("long").alias("avg_key"),
+        F.floor(F.col("population") * 1000000).cast("long").alias("pop_key")), name="settlement-rows")
+    path = work_dir(spark, "settlement-csv")
+    write_sample_csv(rows, path, keys=["avg_key", "pop_key", "elevation"], n=SAMPLE_N)
+    return (spark.read.option("header", True).option("sep", ";").schema(
+        "avg_p DOUBLE, population DOUBLE, elevation BIGINT, avg_key BIGINT, pop_key BIGINT").csv(path))
+
+
 @query("parquet_materialize", with_(READINGS_CTE, POS_CTE, SITE_CTE, MIN_DIST_CTE)
        + " SELECT p.sensor_id, p.lat, p.lon, m.min_dist FROM pos p JOIN md m ON p.sensor_id = m.sensor_id")
 def parquet_materialize(spark, sf):
@@ -66,6 +87,49 @@ def site_csv_scan(spark, sf):
     return read_sites(spark, path)
 
 
+# --- damage written into text files: every so many rows hold a word for a number ---
+DAMAGED_SITE, DAMAGED_CITY = 7, 13
+
+
+@query("site_csv_rejects", f"""
+SELECT s_suppkey % {DAMAGED_SITE} = 0 AS rejected,
+       CASE WHEN s_suppkey % {DAMAGED_SITE} <> 0 THEN 47.5e0 + (s_suppkey * 71 % 640) / 100e0 END AS latitude,
+       CASE WHEN s_suppkey % {DAMAGED_SITE} <> 0 THEN 6.0e0 + (s_suppkey * 29 % 860) / 100e0 END AS longitude,
+       CASE WHEN s_suppkey % {DAMAGED_SITE} = 0 THEN 'n/a;' || s_suppkey END AS line FROM supplier""")
+def site_csv_rejects(spark, sf):
+    """A damaged site file: the rows that parse, and the lines that do not."""
+    path = work_dir(spark, "damaged-sites")
+    bad = F.col("site_id") % DAMAGED_SITE == 0
+    (B.sites(spark, sf).select(
+        F.when(bad, "n/a").otherwise(F.col("latitude").cast("string")).alias("latitude"),
+        F.when(bad, F.col("site_id").cast("string")).otherwise(F.col("longitude").cast("string")).alias("longitude"))
+        .write.option("header", True).option("sep", ";").csv(path))
+    good, rejects = parse_sites(spark, path, max_share=0.5)
+    return good.select(F.lit(False).alias("rejected"), "*", F.lit(None).cast("string").alias("line")).unionByName(
+        rejects.select(F.lit(True).alias("rejected"), "line"), allowMissingColumns=True)
+
+
+@query("city_tsv_rejects", f"""
+SELECT c_custkey % {DAMAGED_CITY} = 0 AS rejected, CAST(c_custkey AS INTEGER) AS geonameid,
+       CASE WHEN c_custkey % {DAMAGED_CITY} <> 0 THEN c_custkey * 10 END AS population,
+       CASE WHEN c_custkey % {DAMAGED_CITY} = 0 THEN 19 END AS fields
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE n_name = '{GEO_COUNTRY}' OR c_custkey % {DAMAGED_CITY} = 0""")
+def city_tsv_rejects(spark, sf):
+    """A damaged gazetteer: one country's rows, and the rejected lines of all."""
+    path = work_dir(spark, "damaged-cities")
+    bad = F.col("geonameid") % DAMAGED_CITY == 0
+    (_gazetteer(spark, sf)
+        .withColumn("population", F.when(bad, "many").otherwise(F.col("population").cast("string")))
+        .write.option("header", False).option("sep", "\t").option("quote", "").option("nullValue", "").csv(path))
+    good, rejects = parse_cities(spark, path, GEO_COUNTRY, max_share=0.5)
+    fields = F.split("line", "\t")
+    return good.select(F.lit(False).alias("rejected"), "geonameid", "population",
+                       F.lit(None).cast("int").alias("fields")).unionByName(
+        rejects.select(F.lit(True).alias("rejected"), fields[0].cast("int").alias("geonameid"),
+                       F.lit(None).cast("long").alias("population"), F.size(fields).alias("fields")))
+
+
 def _gazetteer(spark, sf) -> DataFrame:
     """Cities laid out as the 19-column gazetteer."""
     c = B.cities(spark, sf)

@@ -39,7 +39,7 @@ from aerocorr.operators.joins import join_attributes
 from aerocorr.operators.nearest import min_distance, nearest_within, positions_with_min_distance
 from aerocorr.functions.time import reading_hour
 from aerocorr.operators.stats import correlation_matrix, grouped_moments, pooled_correlation_matrix
-from aerocorr.sources.sinks import materialize
+from aerocorr.sources.sinks import materialize, write_sample_csv
 from aerocorr.sources.versions import open_version, refresh_changed
 
 
@@ -178,16 +178,15 @@ def settlement_table(positions: DataFrame, cities: DataFrame, *,
     return materialize(positions.sparkSession, near(here), name="nearest-city") if persist else near(here)
 
 
-def settlement_study(readings: DataFrame, cities: DataFrame, *,
-                     positions: DataFrame | None = None,
-                     radius: float = schemas.CITY_RADIUS, max_value: float = schemas.MAX_VALUE,
-                     distinct_rows: bool = True, digits: int | None = None,
-                     persist: bool = True, strategy: str = "join",
-                     one_row_per_sensor: bool | None = None,
-                     path: str | None = None, refresh: bool | str = True,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                     salt_buckets: int = 0) -> DataFrame:
-    """3x3 Pearson matrix of ``(avg_p, population, elevation)``.  With
+def settlement_rows(readings: DataFrame, cities: DataFrame, *,
+                    positions: DataFrame | None = None,
+                    radius: float = schemas.CITY_RADIUS, max_value: float = schemas.MAX_VALUE,
+                    distinct_rows: bool = True, persist: bool = True, strategy: str = "join",
+                    one_row_per_sensor: bool | None = None,
+                    path: str | None = None, refresh: bool | str = True,
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    salt_buckets: int = 0) -> DataFrame:
+    """The rows ``(avg_p, population, elevation)`` of the settlement study.  With
     ``distinct_rows`` (the study's definition) each distinct triple weighs
     once; otherwise each reading does.  ``one_row_per_sensor`` keeps, of tied
     cities and of several positions, the nearest city with the smallest
@@ -237,4 +236,19 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *,
     rows = joined.select("avg_p", "population", "elevation")
     if distinct_rows:
         rows = rows.distinct()
-    return correlation_matrix(rows, ["avg_p", "population", "elevation"], digits=digits)
+    return rows
+
+
+def settlement_study(readings: DataFrame, cities: DataFrame, *, digits: int | None = None,
+                     sample_path: str | None = None, sample_rows: int = schemas.SAMPLE_ROWS,
+                     **options) -> DataFrame:
+    """3x3 Pearson matrix of the study's rows; ``options`` as in
+    :func:`settlement_rows`.  ``sample_path`` also exports at most
+    ``sample_rows`` of them for plotting, as one ``;`` CSV file (the rows are
+    then written once and serve both)."""
+    columns = ["avg_p", "population", "elevation"]
+    rows = settlement_rows(readings, cities, **options)
+    if sample_path:
+        rows = materialize(readings.sparkSession, rows, name="settlement-rows")
+        write_sample_csv(rows, sample_path, keys=columns, n=sample_rows)
+    return correlation_matrix(rows, columns, digits=digits)

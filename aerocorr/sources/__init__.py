@@ -7,3 +7,4 @@ from aerocorr.sources.sinks import materialize, write_parquet, write_sample_csv
 from aerocorr.sources.landing import land, ledger  # noqa: F401
 from aerocorr.sources.versions import expire, fingerprint, open_version, refresh_changed, snapshot  # noqa: F401
 from aerocorr.sources.geocode_cache import GeocodeCache  # noqa: F401
+from aerocorr.sources.quarantine import Parsed, TooManyRejects, parse_cities, parse_sites, parse_text  # noqa: F401

@@ -1,10 +1,12 @@
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from aerocorr import schemas
 from aerocorr.functions.keys import basename, coord_key, split_key
-from aerocorr.sources import land, materialize, read_cities, read_family, read_landed, read_sites, write_sample_csv
+from aerocorr.sources import land, materialize, read_cities, read_family, read_landed, read_sites, write_parquet, write_sample_csv
 
 
 def test_read_sites_permissive(spark, tmp_path):
@@ -214,3 +216,15 @@ def test_a_broken_call_is_landed_again(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     assert spark.read.parquet(out).count() == 5 and landing.ledger(spark, out).count() == 0
     assert land(spark, manifest, out).count() == 5 and landing.ledger(spark, out).count() == 1
+
+
+def test_write_parquet_keeps_what_stands(spark, tmp_path):
+    """The sink refuses a path in use unless told otherwise, and leaves it as it was."""
+    path = str(tmp_path / "t")
+    assert write_parquet(spark.range(6).withColumn("m", F.col("id") % 2), path, partition_by=["m"]) == path
+    assert os.path.isdir(os.path.join(path, "m=1"))
+    with pytest.raises(AnalysisException, match="already exists"):
+        write_parquet(spark.range(1), path)
+    assert spark.read.parquet(path).count() == 6
+    write_parquet(spark.range(2), path, mode="overwrite")
+    assert spark.read.parquet(path).count() == 2

@@ -55,3 +55,21 @@ def test_saved_tables_are_reloaded_not_rebuilt(spark, tmp_path):
     assert dist(sites, refresh=False) == 1.0  # nothing there yet: built
     assert dist(other, refresh=False) == 1.0  # reloaded
     assert dist(other) == 0.5
+
+
+def test_settlement_sample_serves_the_matrix_too(spark, tmp_path):
+    """The exported sample holds the study's rows; the matrix is the same with it."""
+    rd = spark.createDataFrame([(s, 50.0 + s, 7.0, "2018-01-01 08:00:00", float(i), 2.0)
+                                for s in range(4) for i in range(10)],
+                               "sensor_id long, lat double, lon double, timestamp string, P1 double, P2 double")
+    cities = spark.createDataFrame([(s, "c", "c", "", 50.01 + s, 7.0, float(100 * s + s * s), 10 + s) for s in range(4)],
+                                   "geonameid long, name string, asciiname string, alternatenames string, "
+                                   "latitude double, longitude double, population double, dem long")
+    path = str(tmp_path / "sample")
+    got = _m(studies.settlement_study(rd, cities, sample_path=path, sample_rows=15))
+    assert got == _m(studies.settlement_study(rd, cities))
+    rows = {tuple(r) for r in studies.settlement_rows(rd, cities).collect()}
+    sample = spark.read.option("header", True).option("sep", ";").schema(
+        "avg_p double, population double, elevation long").csv(path)
+    found = [tuple(r) for r in sample.collect()]
+    assert len(rows) == 40 and len(found) == 15 == len(set(found)) and set(found) <= rows
