@@ -259,9 +259,12 @@ def named(spark: SparkSession, few: DataFrame, keys: DataFrame, length: int) ->
 
 
 def _step(score, a):
-    """A number that never falls as (score, a) rises; few different ones."""
-    by_a = F.lit(1000) + F.floor(F.log2(a.cast("double")) * 8)
-    return F.when(score >= BEST, by_a).otherwise(F.floor(F.log2(score.cast("double") + 1) * 32)).cast("int")
+    """A number that never falls as (score, a) rises; few different ones.  Scores
+    below 32 and the highest, which many phrases share, are divided by a."""
+    by_a = F.floor(F.log2(a.cast("double")) * 8)
+    some = F.lit(32_000) + F.floor(F.log2(score.cast("double")) * 32)
+    return (F.when(score >= BEST, F.lit(33_000) + by_a).when(score >= 32, some)
+            .otherwise(score * 1000 + by_a).cast("int"))
 
 
 def leading(rows: DataFrame, top: int) -> DataFrame:
