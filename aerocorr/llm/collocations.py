@@ -49,6 +49,7 @@ from pyspark.sql.window import Window
 
 from aerocorr.config import work_dir
 from aerocorr.llm.common import chunks, heavy_join, mix, words
+from aerocorr.operators.joins import size_checked_broadcast
 from aerocorr.sources.commits import remove
 
 LEAST = 10
@@ -60,6 +61,7 @@ SLOTS, LEAST_SLOTS = 1 << 24, 1 << 16  # powers of two
 HOT = 4096
 NEVER = 255
 ROUNDS = (1, 4, 16, 64)  # of 64 parts of the documents, where a round of the last scan ends
+LANGS = 1 << 16  # languages whose bounds in the score histogram are broadcast
 BEST = 1_000_000  # the highest score: a <= l and a <= r
 PIECE = 1 << 20  # bytes of text worked on at a time
 HELD = 1 << 21  # keys kept in a task before they are handed on
@@ -275,6 +277,7 @@ def leading(rows: DataFrame, top: int) -> DataFrame:
     above = F.sum("rows").over(Window.partitionBy("lang").orderBy(F.desc("step"))) - F.col("rows")
     least = (steps.withColumn("above", above).where(F.col("above") < top)
              .groupBy(F.col("lang").alias("of")).agg(F.min("step").alias("least")))
+    least = size_checked_broadcast(least, LANGS)  # else all rows of a language meet in one task
     return rows.join(least, (F.col("lang") == F.col("of")) & (F.col("step") >= F.col("least"))).drop(
         "of", "least", "step")
 
