@@ -8,9 +8,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Rows above which a dimension side is no longer broadcast; the join then falls
-# back to a shuffle join (AQE splits skewed partitions).
+# Rows and bytes above which a dimension side is no longer broadcast; the join then
+# falls back to a shuffle join (AQE splits skewed partitions).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -305,6 +305,39 @@ def nearest_sites(positions: DataFrame, sites: DataFrame, *,
                     distinct_sites)
 
 
+def nearest_below(positions: DataFrame, sites: DataFrame, bound: str, *,
+                  key: str | list[str] = "sensor_id", lat: str = "lat", lon: str = "lon",
+                  site_lat: str = "latitude", site_lon: str = "longitude",
+                  dist_col: str = "dist") -> DataFrame:
+    """Per key, every site at minimum distance when that distance is at most the
+    key's ``bound`` (a column of ``positions``, one value a key; NULL:
+    unbounded).  Output: keys, ``lat``, ``lon``, site columns, ``dist_col``.
+
+    For few sites against many keys that already know a distance: a key leaves
+    the descent at the first level where no cell with sites comes within its
+    bound, so only keys that these sites beat or tie meet them."""
+    keys = [key] if isinstance(key, str) else list(key)
+    pos, st = _clean_sides(positions.select(*keys, lat, lon, bound), sites, lat, lon, site_lat, site_lon)
+    ext = site_profile(st, site_lat, site_lon)
+    limit = F.coalesce(F.col(bound), F.lit(float("inf")))
+    asked = pos.select(*keys, lat, lon, limit.alias("_limit"), limit.alias("_ub")).distinct()
+    if not ext["n"]:  # nothing to meet
+        return asked.drop("_limit", "_ub").join(st.withColumn(dist_col, F.lit(0.0)), F.lit(False))
+    c0 = base_cell(st, site_lat, site_lon, ext)
+    cand = (_descend(asked, st, c0, ext, keys, lat, lon, site_lat, site_lon)
+            .join(_with_cell(st, c0, site_lat, site_lon), ["_cx", "_cy"]).drop("_cx", "_cy")
+            .withColumn(dist_col, planar_distance(lat, lon, site_lat, site_lon))
+            .where(F.col(dist_col) <= F.col("_limit")).drop("_limit"))
+    return _rank1(cand, keys, dist_col)
+
+
+def closest_rows(candidates: DataFrame, key: str | list[str] = "sensor_id",
+                 dist_col: str = "dist") -> DataFrame:
+    """Of candidate pairs the nearest ones per key, ties kept.  Nearest tables of
+    parts of the positions or of the sites merge this way."""
+    return _rank1(candidates, [key] if isinstance(key, str) else list(key), dist_col)
+
+
 def min_distance(positions: DataFrame, sites: DataFrame, *, key: str = "sensor_id",
                  lat: str = "lat", lon: str = "lon", site_lat: str = "latitude",
                  site_lon: str = "longitude", out: str = "min_dist",

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,6 +124,46 @@ def pooled_correlation_matrix(groups: DataFrame, value: str, attr: str, *, n: st
         for a, b, r in cells])))
 
 
+def co_moments(df: DataFrame, columns: Sequence[str]) -> dict:
+    """Count, means and centred sums of products of ``columns`` over the rows
+    where all are present: one aggregate, a few numbers on the driver.
+    ``{"n", "mean": [..], "m": [[..]]}``, merged by :func:`merge_moments`."""
+    cols, k = list(columns), len(columns)
+    rows = df.where(_complete(df, cols)).select(*[F.col(c).cast("double").alias(c) for c in cols])
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    got = rows.agg(F.count(F.lit(1)), *[F.avg(c) for c in cols],
+                   *[F.covar_pop(cols[i], cols[j]) for i, j in pairs]).first()
+    n, m = got[0], [[0.0] * k for _ in cols]
+    for (i, j), c in zip(pairs, got[1 + k:]):
+        m[i][j] = m[j][i] = (c or 0.0) * n
+    return {"n": n, "mean": [x or 0.0 for x in got[1:1 + k]], "m": m}
+
+
+def merge_moments(a: dict, b: dict) -> dict:
+    """The moments of two disjoint sets of rows together: within-part sums plus
+    the centred part between the two means."""
+    if not a["n"] or not b["n"]:
+        return b if not a["n"] else a
+    n, k = a["n"] + b["n"], len(a["mean"])
+    d = [y - x for x, y in zip(a["mean"], b["mean"])]
+    w = a["n"] * b["n"] / n
+    return {"n": n, "mean": [x + di * b["n"] / n for x, di in zip(a["mean"], d)],
+            "m": [[a["m"][i][j] + b["m"][i][j] + w * d[i] * d[j] for j in range(k)] for i in range(k)]}
+
+
+def matrix_of_moments(spark: SparkSession, moments: dict, columns: Sequence[str], *,
+                      digits: int | None = None) -> DataFrame:
+    """The long-form matrix of :func:`correlation_matrix` from :func:`co_moments`."""
+    m, cells = moments["m"], []
+    for i, a in enumerate(columns):
+        for j, b in enumerate(columns):
+            varies = m[i][i] > 0 and m[j][j] > 0
+            r = (1.0 if i == j else m[i][j] / (m[i][i] ** 0.5 * m[j][j] ** 0.5)) if varies else None
+            cells.append((a, b, r, moments["n"]))
+    out = spark.createDataFrame(cells, "col_a string, col_b string, r double, n long")
+    return out if digits is None else out.withColumn("r", F.round("r", digits))
+
+
 def matrix_wide(matrix: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The long-form matrix as ``k`` rows ``(col_a, <c1>, ..., <ck>)`` - the
     layout of a printed correlation matrix.  The pivot values are given, so

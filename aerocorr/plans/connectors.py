@@ -14,8 +14,8 @@ from aerocorr.operators.clean import distinct_positions
 from aerocorr.operators.geocode import geocode_table
 from aerocorr.plans import studies
 from aerocorr.plans.catalog import (
-    DIGITS, GEO_COUNTRY, GEO_CTE, corr_sql, MIN_DIST_CTE, POS_CTE, READINGS_CTE, REMOTENESS_ROWS_SQL, SAMPLE_N,
-    SETTLEMENT_RADIUS, SETTLEMENT_ROWS_SQL, SITE_CTE, query, with_,
+    CITY_CTE, DIGITS, DIST, GEO_COUNTRY, GEO_CTE, corr_sql, MIN_DIST_CTE, POS_CTE, READINGS_CTE, REMOTENESS_ROWS_SQL,
+    SAMPLE_N, SETTLEMENT_RADIUS, SETTLEMENT_ROWS_SQL, SITE_CTE, query, with_,
 )
 from aerocorr.sources import bindings as B
 from aerocorr.sources.cities import read_cities
@@ -382,3 +382,52 @@ def remoteness_corr_landed(spark, sf):
     land(spark, spark.createDataFrame(entries, "path string, family int, month string"), out)
     readings = read_landed(spark, out, schema=LANDED_SCHEMA)
     return studies.remoteness_study(readings, B.sites(spark, sf), digits=DIGITS)
+
+
+# --- studies kept current by streams ------------------------------------------------
+
+def _in_parts(df: DataFrame, by: str, name: str, parts: int = 3) -> DataFrame:
+    """A stream over ``df`` written as ``parts`` files by ``by`` modulo their
+    number, one file a micro-batch."""
+    spark, path = df.sparkSession, work_dir(df.sparkSession, name)
+    for part in range(parts):
+        df.where(F.pmod(F.col(by), F.lit(parts)) == part).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("streaming_nearest_city", with_(READINGS_CTE, POS_CTE, CITY_CTE,
+                                       f"d AS (SELECT sensor_id, geonameid, {DIST} AS dist FROM pos, city)")
+       + """ SELECT sensor_id, geonameid, dist FROM (
+               SELECT *, rank() OVER (PARTITION BY sensor_id ORDER BY dist) AS rk FROM d)
+             WHERE rk = 1""")
+def streaming_nearest_city(spark, sf):
+    """The nearest cities of every sensor after three micro-batches that each
+    bring new sensors and new cities."""
+    from aerocorr.streaming import read_nearest, start_nearest
+    out = work_dir(spark, "stream-nearest")
+    sensors = _in_parts(B.readings(spark, sf).select("sensor_id", "lat", "lon"), "sensor_id", "stream-sensors")
+    cities = _in_parts(B.cities(spark, sf).select("geonameid", "latitude", "longitude"), "geonameid", "stream-cities")
+    start_nearest(spark, sensors, cities, out).awaitTermination()
+    return read_nearest(spark, out).select("sensor_id", "geonameid", "dist")
+
+
+@query("streaming_settlement_corr", with_(*SETTLEMENT_ROWS_SQL, corr_sql("j", ["avg_p", "population", "elevation"])))
+def streaming_settlement_corr(spark, sf):
+    """The settlement matrix from merged moments of distinct triples, the
+    readings arriving in three micro-batches."""
+    from aerocorr.streaming import settlement_matrix, start_settlement
+    out = work_dir(spark, "stream-settlement")
+    rd = B.readings(spark, sf)
+    near = studies.settlement_table(materialize(spark, distinct_positions(rd), name="positions"),
+                                    B.cities(spark, sf), radius=SETTLEMENT_RADIUS)
+    stream = _in_parts(rd.select("reading_id", "sensor_id", "P1", "P2"), "reading_id", "stream-readings")
+    start_settlement(spark, stream, near, out).awaitTermination()
+    return settlement_matrix(spark, out, digits=DIGITS)
+
+
+@query("settlement_corr_key_filter", with_(*SETTLEMENT_ROWS_SQL, corr_sql("j", ["avg_p", "population", "elevation"])))
+def settlement_corr_key_filter(spark, sf):
+    """The settlement matrix with the broadcast ruled out: readings pass a
+    filter of the matched sensors before the join shuffles them."""
+    return studies.settlement_study(B.readings(spark, sf), B.cities(spark, sf), radius=SETTLEMENT_RADIUS,
+                                    digits=DIGITS, max_broadcast_rows=0)
