@@ -525,9 +525,9 @@ def exact_sample(spark, sf):
  SELECT true AS within_bound, true AS members, true AS repeatable, true AS near_expected,
         least({SAMPLE_N}, count(*)) AS bound FROM r""")
 def random_sample_bound(spark, sf):
-    """Facts about the Bernoulli sample: rows within the bound, every row a
+    """Facts about the random sample: rows within the bound, every row a
     reading and none twice, the same rows for the same seed, and a size
-    within six standard deviations of the bound (the cap only cuts)."""
+    within six standard deviations of the bound."""
     rd = materialize(spark, _readings(spark, sf).select("reading_id", "sensor_id", "P1"), name="sampled")
     one = materialize(spark, sampling.random_sample(rd, SAMPLE_N, seed=7), name="sample")
     two = sampling.random_sample(rd, SAMPLE_N, seed=7)

@@ -25,5 +25,17 @@ def test_exact_sample_plan_never_sorts_everything(spark):
 def test_random_sample_bounded(spark, total):
     df = spark.range(total)
     out = sampling.random_sample(df, 100, seed=3)
-    assert out.count() <= min(100, total)
+    assert out.count() == min(100, total)
     assert sampling.random_sample(df, 100, seed=3).count() == out.count()  # seeded
+
+
+def test_random_sample_favours_no_partition(spark):
+    """Over many seeds the first and the last of eight partitions give alike."""
+    df = spark.range(0, 8_000, 1, 8)
+    first = last = 0
+    for seed in range(30):
+        ids = [r.id for r in sampling.random_sample(df, 80, seed=seed).collect()]
+        assert len(set(ids)) == 80
+        first += sum(i < 1_000 for i in ids)
+        last += sum(i >= 7_000 for i in ids)
+    assert 220 < first < 380 and 220 < last < 380  # 300 each, standard deviation 16
