@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerocorr.llm.common import spread_rank
-from aerocorr.llm.mixing import integer_weights, mix_positions, mix_rows, schedule
+from aerocorr.llm.mixing import PERIOD, integer_weights, mix_positions, mix_rows, schedule
 from aerocorr.llm.packing import FINE, boundaries, length_bin, pack
 
 
@@ -85,6 +85,78 @@ def test_mix_rows_keeps_columns_and_rows(spark, messy):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, messy.collect()))
 
 
+def test_weights_of_many_sources_keep_the_target():
+    """A target of a half beside 5,000 sources, and one below a unit."""
+    weights = {"half": 5_000.0, **{f"s{i}": 1.0 for i in range(5_000)}}
+    whole = integer_weights(weights, PERIOD)
+    assert sum(whole.values()) == PERIOD and abs(whole["half"] / PERIOD - 0.5) <= 1 / PERIOD
+    tiny = integer_weights({"a": 1e-9, "b": 0.5, "c": 0.5}, 1_000)
+    assert tiny["a"] == 1 and sorted(tiny.values()) == [1, 499, 500]
+    assert integer_weights({"a": 1e-12, "b": 1.0}, 4) == {"a": 1, "b": 3}
+
+
+def test_schedule_of_many_sources_stays_within_one_block():
+    """Every block runs inside its window, so no source is ever a block off."""
+    weights = integer_weights({"half": 5_000.0, **{f"s{i}": 1.0 + i % 3 for i in range(5_000)}}, 20_000)
+    done = Counter()
+    for s, j, slot in schedule(weights):
+        assert done[s] == j
+        assert j * 20_000 // weights[s] <= slot < -(-(j + 1) * 20_000 // weights[s])
+        done[s] += 1
+    assert done == weights
+
+
+def test_mix_equals_a_brute_force_schedule(spark):
+    """Slots of every block against an earliest-deadline-first run in fractions."""
+    from fractions import Fraction
+    sizes = {"a": 90, "b": 40, "c": 10, None: 25}
+    rows = [(i, s, i % 7) for s, n in sizes.items() for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, n_chars long")
+    targets, block, period = {"a": 8, "b": 5, "c": 2, None: 1}, 5, 16
+    got = {}
+    for r in mix_positions(spark, docs, targets, block=block, period=period).collect():
+        got.setdefault((r.source, r.block), set()).add(r.slot)
+    done, want = Counter(), {}
+    for slot in range(200):
+        released = [s for s, w in targets.items() if done[s] / Fraction(w, 16) < slot + 1]
+        due = min(released, key=lambda s: ((done[s] + 1) / Fraction(targets[s], 16), s or ""))
+        want[due, done[due]] = slot
+        done[due] += 1
+    for (s, j), slots in got.items():
+        w = targets[s]
+        assert len(slots) == 1  # a block has one slot
+        slot = slots.pop()
+        assert j * 16 // w <= slot < -(-(j + 1) * 16 // w)
+        assert abs(slot - want[(s, j)]) < 16 / w  # ties may fall otherwise inside the window
+
+
+def test_targets_need_rows_and_sense(spark):
+    docs = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "doc_id long, source string, n_chars long")
+    for bad in ({"zz": 1}, {"a": 0}, {"a": -1}, {"a": float("nan")}):
+        with pytest.raises(ValueError):
+            mix_positions(spark, docs, bad)
+    assert mix_positions(spark, docs.limit(0), {"zz": 1}).count() == 0
+
+
+def test_a_target_is_never_pooled(spark):
+    docs = spark.range(0, 620).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < 600, F.concat(F.lit("s"), (F.col("id") % 60).cast("string")))
+        .otherwise("rare").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    got = mix_positions(spark, docs, {"rare": 1000.0}, max_sources=10, block=2, period=200).collect()
+    assert len({(r.slot, r.place) for r in got}) == 620
+    assert sorted(r.slot for r in got if r.source == "rare")[-1] < 40
+
+
+def test_mix_rows_keeps_extra_columns_of_any_name(spark):
+    names = ["__slot", "__h", "__source", "__rank", "__slice", "row", "name", "slot", "h", "a", "rank", "block", "ws"]
+    docs = spark.range(0, 100).select(
+        F.col("id").alias("doc_id"), (F.col("id") % 3).cast("string").alias("source"),
+        F.lit(1).cast("long").alias("n_chars"), *[(F.col("id") * 10 + i).alias(c) for i, c in enumerate(names)])
+    got = mix_rows(spark, docs, max_sources=2)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, docs.collect()))
+
+
 def test_many_sources_share_an_entry(spark):
     docs = spark.range(0, 300).select(
         F.col("id").alias("doc_id"), F.concat(F.lit("s"), (F.col("id") % 60).cast("string")).alias("source"),
