@@ -19,8 +19,9 @@ lineage) and broadcast after a bounded row-count probe, so the readings are
 never shuffled.  Beyond the broadcast bound the join falls back to a shuffle
 join with AQE skew splitting.  The settlement study correlates distinct
 ``(avg_p, population, elevation)`` triples: readings of sensors without a city
-in reach leave at the broadcast join, and the triples are combined per task
-before they are shuffled.
+in reach leave at the broadcast join, the others become distinct ``(avg_p,
+place)`` pairs, and the cities tied at a place join only where all triples of
+an ``avg_p`` are in one task (:mod:`aerocorr.operators.triples`).
 """
 
 from __future__ import annotations
@@ -39,9 +40,12 @@ from aerocorr.operators.joins import join_attributes
 from aerocorr.operators.nearest import min_distance, nearest_within, positions_with_min_distance
 from aerocorr.functions.time import reading_hour
 from aerocorr.operators.stats import correlation_matrix, grouped_moments, pooled_correlation_matrix
+from aerocorr.operators.triples import attached_rows
 from aerocorr.sources.sinks import materialize, write_sample_csv
 from aerocorr.sources.versions import open_version, refresh_changed
 
+PLACE = ["latitude", "longitude"]
+
 
 def sensor_positions(readings: DataFrame, geocode: DataFrame | None = None,
                      country: str = schemas.COUNTRY_NAME,
@@ -178,6 +182,22 @@ def settlement_table(positions: DataFrame, cities: DataFrame, *,
     return materialize(positions.sparkSession, near(here), name="nearest-city") if persist else near(here)
 
 
+def settlement_places(positions: DataFrame, cities: DataFrame, *, radius: float = schemas.CITY_RADIUS,
+                      persist: bool = True) -> tuple[DataFrame, DataFrame]:
+    """:func:`settlement_table` in two tables that do not grow with the cities
+    tied at a place: ``(sensor_id, latitude, longitude)``, the places of each
+    sensor's nearest cities, and ``(latitude, longitude, population,
+    elevation)``, distinct, of these places."""
+    spark = positions.sparkSession
+    save = lambda df, name: materialize(spark, df, name=name) if persist else df
+    places = save(cities.select(*PLACE).distinct(), "places")
+    found = nearest_within(positions.select("sensor_id", "lat", "lon"), places, radius,
+                           dist_col="min_dist", distinct_sites=False)
+    near = save(found.select("sensor_id", *PLACE).distinct(), "nearest-place")
+    attrs = cities.select(*PLACE, "population", F.col("dem").alias("elevation")).distinct()
+    return near, save(attrs.join(near.select(*PLACE).distinct(), PLACE, "left_semi"), "place-cities")
+
+
 def settlement_rows(readings: DataFrame, cities: DataFrame, *,
                     positions: DataFrame | None = None,
                     radius: float = schemas.CITY_RADIUS, max_value: float = schemas.MAX_VALUE,
@@ -222,10 +242,30 @@ def settlement_rows(readings: DataFrame, cities: DataFrame, *,
         avg = ok.select("sensor_id", avg_particulates(ok))
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    # with distinct triples, duplicated city rows or repeated values change
-    # nothing, so neither is de-duplicated on the way
-    near = settlement_table(pos, cities, radius=radius, persist=persist,
-                            distinct_cities=not distinct_rows, path=path, refresh=refresh)
+    if distinct_rows and not one_row_per_sensor:
+        if path:  # a kept table names each sensor's cities itself
+            kept = settlement_table(pos, cities, radius=radius, persist=persist, distinct_cities=False,
+                                    path=path, refresh=refresh)
+            near = kept.select("sensor_id", *PLACE).distinct()
+            attrs = kept.select(*PLACE, "population", "elevation").distinct()
+        else:
+            near, attrs = settlement_places(pos, cities, radius=radius, persist=persist)
+        attrs = keep_if_all_present(attrs, ["population", "elevation"])
+        values = join_attributes(avg, near, "sensor_id", max_broadcast_rows, salt_buckets=salt_buckets)
+        values = keep_if_all_present(values, ["avg_p"]).select("avg_p", *PLACE).distinct()
+        if persist:
+            values = materialize(readings.sparkSession, values, name="place-values")
+        return attached_rows(values, attrs, PLACE)
+    if one_row_per_sensor and not path:  # a place's own first city is all that can count
+        first = F.min(F.struct("geonameid", "population", F.col("dem").alias("elevation"))).alias("c")
+        near = nearest_within(pos.select("sensor_id", "lat", "lon"),
+                              cities.groupBy(*PLACE).agg(first).select(*PLACE, "c.*"),
+                              radius, dist_col="min_dist", distinct_sites=False)
+        if persist:
+            near = materialize(readings.sparkSession, near, name="nearest-city")
+    else:
+        near = settlement_table(pos, cities, radius=radius, persist=persist,
+                                distinct_cities=not distinct_rows, path=path, refresh=refresh)
     attrs = near.select("sensor_id", "population", "elevation")
     if one_row_per_sensor:
         first = F.min(F.struct("min_dist", "geonameid", "population", "elevation")).alias("c")
@@ -234,9 +274,7 @@ def settlement_rows(readings: DataFrame, cities: DataFrame, *,
                                                  salt_buckets=salt_buckets),
                                  ["population", "elevation", "avg_p"])
     rows = joined.select("avg_p", "population", "elevation")
-    if distinct_rows:
-        rows = rows.distinct()
-    return rows
+    return rows.distinct() if distinct_rows else rows
 
 
 def settlement_study(readings: DataFrame, cities: DataFrame, *, digits: int | None = None,
@@ -244,11 +282,11 @@ def settlement_study(readings: DataFrame, cities: DataFrame, *, digits: int | No
                      **options) -> DataFrame:
     """3x3 Pearson matrix of the study's rows; ``options`` as in
     :func:`settlement_rows`.  ``sample_path`` also exports at most
-    ``sample_rows`` of them for plotting, as one ``;`` CSV file (the rows are
-    then written once and serve both)."""
+    ``sample_rows`` of them for plotting, as one ``;`` CSV file."""
     columns = ["avg_p", "population", "elevation"]
     rows = settlement_rows(readings, cities, **options)
     if sample_path:
-        rows = materialize(readings.sparkSession, rows, name="settlement-rows")
+        if not options.get("distinct_rows", True):  # distinct rows arise anew from their written pairs
+            rows = materialize(readings.sparkSession, rows, name="settlement-rows")
         write_sample_csv(rows, sample_path, keys=columns, n=sample_rows)
     return correlation_matrix(rows, columns, digits=digits)
