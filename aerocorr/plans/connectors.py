@@ -59,9 +59,9 @@ def settlement_csv_export(spark: SparkSession, sf: str) -> DataFrame:
     header, read back.  Sampled by whole numbers, as engines print doubles
     differently."""
     rows = studies.settlement_rows(B.readings(spark, sf), B.cities(spark, sf), radius=SETTLEMENT_RADIUS)
-    rows = materialize(spark, rows.select(
+    rows = rows.select(
         "avg_p", "population", "elevation", F.floor(F.col("avg_p") * 1000000).cast("long").alias("avg_key"),
-        F.floor(F.col("population") * 1000000).cast("long").alias("pop_key")), name="settlement-rows")
+        F.floor(F.col("population") * 1000000).cast("long").alias("pop_key"))
     path = work_dir(spark, "settlement-csv")
     write_sample_csv(rows, path, keys=["avg_key", "pop_key", "elevation"], n=SAMPLE_N)
     return (spark.read.option("header", True).option("sep", ";").schema(

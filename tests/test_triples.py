@@ -5,7 +5,7 @@ import re
 import pytest
 
 from aerocorr.operators.triples import attached_rows
-from aerocorr.plans import studies
+from aerocorr.plans import catalog, studies
 
 RD = "sensor_id long, lat double, lon double, timestamp string, P1 double, P2 double"
 CITY = ("geonameid long, name string, asciiname string, alternatenames string, latitude double, longitude double, "
@@ -42,6 +42,24 @@ def test_triples_are_not_shuffled(spark, options):
     assert not [k for k in _exchanges(rows) if "population" in k and "avg_p" in k]
 
 
+def test_sample_is_taken_from_rows_that_are_not_written(spark, tmp_path, monkeypatch):
+    rd, cities, *raw = _tables(spark)
+    written, save = [], studies.materialize
+    monkeypatch.setattr(studies, "materialize", lambda s, df, **k: written.append(save(s, df, **k)) or written[-1])
+    path = str(tmp_path / "sample")
+    studies.settlement_study(rd, cities, radius=0.5, sample_path=path, sample_rows=40).collect()
+    assert all(t.count() < 0.5 * len(_want(*raw)) for t in written if "avg_p" in t.columns)
+    assert spark.read.option("header", True).option("sep", ";").csv(path).count() == 40
+
+
+def test_export_writes_no_rows_but_the_sample(spark, monkeypatch):
+    from aerocorr.plans import connectors
+    names, save = [], connectors.materialize
+    monkeypatch.setattr(connectors, "materialize", lambda s, df, **k: names.append(k.get("name")) or save(s, df, **k))
+    catalog.QUERIES["settlement_csv_export"](spark, "/root/testdata/sf0.001").count()
+    assert "settlement-rows" not in names
+
+
 def test_attributes_in_blocks_and_known_pairs(spark):
     values = spark.createDataFrame([(float(v), k) for v in range(5) for k in range(4)], "avg_p double, k int")
     attrs = spark.createDataFrame([(k, float(a % 9), a % 4) for k in range(4) for a in range(k, k + 10)],
