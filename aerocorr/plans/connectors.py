@@ -386,13 +386,23 @@ def remoteness_corr_landed(spark, sf):
 
 # --- studies kept current by streams ------------------------------------------------
 
+PART_FILE_ROWS = 100_000
+
+
 def _in_parts(df: DataFrame, by: str, name: str, parts: int = 3) -> DataFrame:
-    """A stream over ``df`` written as ``parts`` files by ``by`` modulo their
-    number, one file a micro-batch."""
+    """A stream over ``df`` written in ``parts`` parts by ``by`` modulo their
+    number, a part a micro-batch: each as the same number of files, one where
+    there are few rows."""
     spark, path = df.sparkSession, work_dir(df.sparkSession, name)
-    for part in range(parts):
-        df.where(F.pmod(F.col(by), F.lit(parts)) == part).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    part = F.pmod(F.col(by), F.lit(parts))
+    sizes = {r.part: r["count"] for r in df.groupBy(part.alias("part")).count().collect()}
+    files = max(1, min((sizes.get(i, 0) for i in range(parts))) // PART_FILE_ROWS)
+    for i in range(parts):
+        rows = df.where(part == i)
+        # a repartition scans in many tasks; few rows need none, and an empty part still has its file
+        rows = rows.repartition(files) if sizes.get(i, 0) > PART_FILE_ROWS // 10 else rows.coalesce(1)
+        rows.write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @query("streaming_nearest_city", with_(READINGS_CTE, POS_CTE, CITY_CTE,
@@ -418,10 +428,10 @@ def streaming_settlement_corr(spark, sf):
     from aerocorr.streaming import settlement_matrix, start_settlement
     out = work_dir(spark, "stream-settlement")
     rd = B.readings(spark, sf)
-    near = studies.settlement_table(materialize(spark, distinct_positions(rd), name="positions"),
-                                    B.cities(spark, sf), radius=SETTLEMENT_RADIUS)
+    near, cities = studies.settlement_places(materialize(spark, distinct_positions(rd), name="positions"),
+                                             B.cities(spark, sf), radius=SETTLEMENT_RADIUS)
     stream = _in_parts(rd.select("reading_id", "sensor_id", "P1", "P2"), "reading_id", "stream-readings")
-    start_settlement(spark, stream, near, out).awaitTermination()
+    start_settlement(spark, stream, near, out, cities=cities).awaitTermination()
     return settlement_matrix(spark, out, digits=DIGITS)
 
 

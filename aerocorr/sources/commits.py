@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -71,3 +72,13 @@ def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder that no commit names any more."""
     fs, path = _fs(spark, folder)
     fs.delete(path(folder), True)
+
+
+def drop_unnamed(spark: SparkSession, root: str, parts: Sequence[str]) -> None:
+    """Remove the folders of ``parts`` that only the commit before the last two names."""
+    found = versions(spark, root)
+    if len(found) < 3:
+        return
+    older, *kept = [{f for p in parts for f in read_commit(spark, root, v)[p]} for v in found[-3:]]
+    for folder in older - set().union(*kept):
+        remove(spark, f"{root}/{folder}")

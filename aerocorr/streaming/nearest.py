@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aerocorr.config import work_dir
 from aerocorr.operators.nearest import closest_rows, nearest_below, nearest_sites
-from aerocorr.sources.commits import read_commit, remove, versions, write_commit
+from aerocorr.sources.commits import drop_unnamed, read_commit, remove, write_commit
 
 COMPACT = 8
 PARTS = ("positions", "sites", "nearest")
@@ -117,7 +117,7 @@ def start_nearest(spark: SparkSession, positions: DataFrame, sites: DataFrame, o
         write_commit(spark, out, {**folders, "batch": batch_id}, state["version"])
         for folder in set(made).difference(*folders.values()):
             remove(spark, f"{out}/{folder}")
-        _drop_old(spark, out)
+        drop_unnamed(spark, out, PARTS)
 
     writer = (tagged.writeStream.foreachBatch(advance)
               .option("checkpointLocation", checkpoint or work_dir(spark, "nearest-ckpt")))
@@ -125,16 +125,6 @@ def start_nearest(spark: SparkSession, positions: DataFrame, sites: DataFrame, o
     return writer.start()
 
 
-def _drop_old(spark: SparkSession, out: str) -> None:
-    """Remove folders that only the commit before the last two names."""
-    found = versions(spark, out)
-    if len(found) < 3:
-        return
-    older, *kept = [{f for p in PARTS for f in read_commit(spark, out, v)[p]} for v in found[-3:]]
-    for folder in older - set().union(*kept):
-        remove(spark, f"{out}/{folder}")
-
-
 def read_nearest(spark: SparkSession, out: str, key: str = "sensor_id") -> DataFrame:
     """The nearest pairs as of the last committed batch: position and site
     columns and ``dist``."""
