@@ -2,11 +2,14 @@
 
 The state under ``out`` is three tables named by a commit log
 (:mod:`aerocorr.sources.commits`): the known positions, the known sites and the
-nearest pairs.  A micro-batch searches only what it brings:
-
-* new positions meet all sites (:func:`aerocorr.operators.nearest.nearest_sites`);
-* known positions meet the new sites only, bounded by the distance they have
-  (:func:`aerocorr.operators.nearest.nearest_below`), so a site corrects just
+nearest pairs of positions and places.  A place is a site's coordinates; sites
+that share one are told apart when the pairs are read, so neither the search nor
+the stored pairs grow with the sites tied at a place.  A micro-batch searches
+only what it brings:
+
+* new positions meet all places (:func:`aerocorr.operators.nearest.nearest_sites`);
+* known positions meet the new places only, bounded by the distance they have
+  (:func:`aerocorr.operators.nearest.nearest_below`), so a place corrects just
   the keys that it beats or ties.
 
 The pairs found are merged with the stored ones of the same keys and appended
@@ -34,6 +37,7 @@ from aerocorr.sources.commits import drop_unnamed, read_commit, remove, write_co
 
 COMPACT = 8
 PARTS = ("positions", "sites", "nearest")
+PLACE = ["latitude", "longitude"]
 
 
 def _same(columns: list[str], suffix: str = "_old") -> Column:
@@ -61,6 +65,12 @@ def _current(pairs: DataFrame, key: str) -> DataFrame:
     return pairs.withColumn("_age", F.rank().over(last)).where("_age = 1").drop("_age")
 
 
+def _pairs(pairs: DataFrame, key: str) -> DataFrame:
+    """The current pairs; distinct, as pairs stored by an earlier form of this
+    table name the sites of a place each."""
+    return _current(pairs, key).select(key, "lat", "lon", *PLACE, "dist").distinct()
+
+
 def start_nearest(spark: SparkSession, positions: DataFrame, sites: DataFrame, out: str,
                   checkpoint: str | None = None, *, key: str = "sensor_id",
                   available_now: bool = True) -> StreamingQuery:
@@ -97,12 +107,13 @@ def start_nearest(spark: SparkSession, positions: DataFrame, sites: DataFrame, o
             batch.where(~F.col("_sensor")).select(*there), "latitude", "longitude"), old["sites"]))
         new_positions = write("positions", _unseen(_finite(
             batch.where(F.col("_sensor")).select(*here), "lat", "lon"), old["positions"]))
-        pairs = None if old["nearest"] is None else _current(old["nearest"], key).drop("_batch")
-        found = nearest_sites(new_positions, stored("sites"), key=key, distinct_sites=False)
-        if old["positions"] is not None and not new_sites.isEmpty():
+        pairs = None if old["nearest"] is None else _pairs(old["nearest"], key)
+        found = nearest_sites(new_positions, stored("sites").select(*PLACE).distinct(), key=key, distinct_sites=False)
+        new_places = _unseen(new_sites.select(*PLACE), None if old["sites"] is None else old["sites"].select(*PLACE))
+        if old["positions"] is not None and not new_places.isEmpty():
             has = pairs.groupBy(F.col(key).alias("_k")).agg(F.min("dist").alias("_has"))
             known = old["positions"].join(has, F.col(key).eqNullSafe(F.col("_k")), "left").drop("_k")
-            found = found.unionByName(nearest_below(known, new_sites, "_has", key=key))
+            found = found.unionByName(nearest_below(known, new_places, "_has", key=key))
         if pairs is not None:
             found = write("nearest", found.withColumn("_batch", F.lit(-1).cast("long"))).drop("_batch")
             folders["nearest"].pop()  # not part of the state, written only to be read twice
@@ -131,4 +142,5 @@ def read_nearest(spark: SparkSession, out: str, key: str = "sensor_id") -> DataF
     state = read_commit(spark, out)
     if state is None:
         raise FileNotFoundError(f"no committed batch under {out}")
-    return _current(spark.read.parquet(*[f"{out}/{f}" for f in state["nearest"]]), key).drop("_batch")
+    pairs, sites = (spark.read.parquet(*[f"{out}/{f}" for f in state[part]]) for part in ("nearest", "sites"))
+    return _pairs(pairs, key).join(sites, PLACE).select(key, "lat", "lon", *sites.columns, "dist")

@@ -26,6 +26,26 @@ def test_settlement_stream_keeps_pairs_not_triples(spark, tmp_path, monkeypatch)
     assert sorted(map(tuple, S.settlement_matrix(spark, out, digits=9).collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_nearest_stream_keeps_places_not_tied_sites(spark, tmp_path):
+    from aerocorr.streaming import read_nearest, start_nearest
+    pos, site = "sensor_id int, lat double, lon double", "site int, latitude double, longitude double"
+    p, s, out, ck = (str(tmp_path / d) for d in ("p", "s", "out", "ck"))
+    seen = []
+    for batch in range(2):
+        more = [(20 * batch + i, 50.0 + i % 2, 7.0) for i in range(20)]
+        seen += more
+        spark.createDataFrame([(batch, 50.0 + batch, 7.1)], pos).write.mode("append").parquet(p)
+        spark.createDataFrame(more, site).coalesce(1).write.mode("append").parquet(s)
+        start_nearest(spark, spark.readStream.schema(pos).parquet(p), spark.readStream.schema(site).parquet(s),
+                      out, ck).awaitTermination()
+    state = read_commit(spark, out)
+    assert sum(spark.read.parquet(f"{out}/{f}").count() for f in state["nearest"]) == 2
+    got = read_nearest(spark, out)
+    assert got.columns == ["sensor_id", "lat", "lon", "site", "latitude", "longitude", "dist"]
+    assert sorted((r.sensor_id, r.site) for r in got.collect()) == [
+        (k, i) for k in range(2) for i, lat, _ in sorted(seen) if lat == 50.0 + k]
+
+
 def test_parts_of_a_stream_are_files_of_one_micro_batch(spark, tmp_path, monkeypatch):
     from aerocorr.plans import connectors
     monkeypatch.setattr(connectors, "PART_FILE_ROWS", 100)
