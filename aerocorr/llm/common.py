@@ -36,16 +36,17 @@ def unit_slice(h: Column, n: int) -> Column:
 
 
 def spread_rank(spark: SparkSession, df: DataFrame, keys: Sequence[str], order: str,
-                ties: Sequence[str] = (), out: str = "rank") -> DataFrame:
+                ties: Sequence[str] = (), out: str = "rank", slices: str | None = None) -> DataFrame:
     """0-based rank of every row within its ``keys``, in the order of the
     64-bit hash column ``order``.
 
     A key may hold a third of all rows, so no key is ranked in one task: the
     hash range is cut into slices, rows are numbered inside (key, slice) and
-    the slices' counts are added up (a table of keys x slices rows).  ``df``
-    is read twice; hand in a written table."""
+    the slices' counts are added up (a table of keys x slices rows).  With
+    ``slices``, a column, its values in order are the slices and ``order`` counts
+    inside them.  ``df`` is read twice; hand in a written table."""
     n = 2 * shuffle_partitions(spark)
-    cut = df.withColumn("__slice", unit_slice(F.col(order), n))
+    cut = df.withColumn("__slice", F.col(slices) if slices else unit_slice(F.col(order), n))
     sizes = cut.groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(
         Window.unboundedPreceding, -1)

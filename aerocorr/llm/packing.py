@@ -5,7 +5,9 @@ lengths above 512 are binned at a relative width of 1/256, so even lengths of
 2**31 give under 6,500 bins).  A dynamic programme over it chooses the bucket
 boundaries that minimise total padding.  Every document then joins the first
 bucket that holds it, and batches of at most ``budget`` padded tokens are cut
-inside each bucket, in the order of a seeded hash of the document.
+inside each bucket, in the order of a seeded hash of the document or, with
+``in_order``, in the order of the files that hold the documents and of their
+rows, so that a mixture written before stays one in every batch.
 
 Defined cases: null or empty text has 0 tokens and is packed like any other; a
 document longer than ``budget`` is a batch of its own, whole; repeated rows are
@@ -85,13 +87,15 @@ def boundaries(lengths: np.ndarray, rows: np.ndarray, buckets: int) -> list[int]
 
 
 def pack(spark: SparkSession, docs: DataFrame, budget: int = BUDGET, buckets: int = BUCKETS,
-         seed: int = 7) -> DataFrame:
+         seed: int = 7, in_order: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, bucket (0..), bucket_len
     (what each document of the bucket is padded to), batch_id (within the
-    bucket), slot (place in the batch), padding."""
+    bucket), slot (place in the batch), padding.  ``in_order`` needs ``docs``
+    read from files; a file's rows of a bucket are numbered in one task."""
+    order = ([F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__h")]
+             if in_order else [F.xxhash64(F.lit(seed), "doc_id", "text").alias("__h")])
     sized = written(spark, docs.select(
-        "doc_id", token_count(F.col("text")).alias("n_tokens"),
-        F.xxhash64(F.lit(seed), "doc_id", "text").alias("__h")), "lengths")
+        "doc_id", token_count(F.col("text")).alias("n_tokens"), *order), "lengths")
     hist = (sized.groupBy(length_bin(F.col("n_tokens")).alias("bin"))
             .agg(F.max("n_tokens").alias("length"), F.count(F.lit(1)).alias("n"))
             .orderBy("bin").collect())
@@ -103,7 +107,8 @@ def pack(spark: SparkSession, docs: DataFrame, budget: int = BUDGET, buckets: in
         bucket = F.when(inside, F.lit(i)).otherwise(bucket)
         length = F.when(inside, F.lit(bounds[i]).cast("long")).otherwise(length)
     placed = sized.withColumn("bucket", bucket).withColumn("bucket_len", length)
-    ranked = spread_rank(spark, placed, ["bucket"], "__h", ["doc_id", "n_tokens"])
+    ranked = spread_rank(spark, placed, ["bucket"], "__h", ["doc_id", "n_tokens"],
+                         slices="__file" if in_order else None)
     room = F.greatest(F.lit(1).cast("long"),
                       F.floor(F.lit(budget) / F.greatest(F.col("bucket_len"), F.lit(1))).cast("long"))
     return ranked.select(

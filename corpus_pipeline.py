@@ -8,7 +8,8 @@ shared folder and read again.  All but the last return the columns of
 2. exact_dedup: of equal texts the largest doc_id stays.
 3. near_dedup: of each group of linked documents the smallest doc_id stays.
 4. mixing: every row stays; files and the rows in them follow the schedule.
-5. packing: one row per document with its bucket, batch and place.
+5. packing: one row per document with its bucket, batch and place; the batches
+   of a bucket are cut in the order of the mix.
 
 Toxicity learns from ``labels`` outside the held-out fold.  Nulls, empty
 tables and repeated rows are handled as the operators define.  The stages are
@@ -45,7 +46,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(spark, docs)
+    return pack(spark, docs, in_order=True)
 
 
 STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),

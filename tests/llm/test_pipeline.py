@@ -100,3 +100,22 @@ def test_oracles(spark, name):
         map(repr, want.fetchall()))
 
 
+
+
+def test_batches_follow_the_mix(spark, tmp_path):
+    """The mix decides which documents share a batch, and in which order."""
+    from aerocorr.llm.common import written
+    from aerocorr.llm.mixing import mix_positions
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{i}" for _ in range(rng.choice([3, 9, 400]))), "en", "big" if i % 5 else "small", i % 9)
+            for i in range(3000)]
+    write(spark, str(tmp_path), rows, [])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    at = {r.doc_id: (r.slot, r.place) for r in mix_positions(spark, docs).collect()}
+    mix = written(spark, corpus_pipeline.mixing(spark, docs, str(tmp_path)), "mix")
+    got = corpus_pipeline.packing(spark, mix, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in got) == list(range(3000)) and len({r.bucket for r in got}) == 3
+    assert max(r.batch_id for r in got) > 1
+    for bucket in range(3):
+        packed = sorted((r.batch_id, r.slot, at[r.doc_id]) for r in got if r.bucket == bucket)
+        assert [p for *_, p in packed] == sorted(p for *_, p in packed)
