@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocorr.llm.common import _ROLE, chunks, mix, words, written
+from aerocorr.operators.joins import key_filter
 
 K = 8
 WINDOW = 16
@@ -92,12 +93,12 @@ def _seeds(batches):
 def shared_seeds(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(seed, doc_id, pos, ref_id, ref_pos, n): the n places of seeds that
     several documents hold, with the first place in the smallest doc_id."""
-    found = docs.mapInArrow(_seeds, "seed long, doc_id long, pos int")
+    # dealt once by seed: the first places and their join read the same exchange
+    found = docs.mapInArrow(_seeds, "seed long, doc_id long, pos int").repartition("seed")
     first = found.groupBy("seed").agg(
         F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("last"),
         F.count(F.lit(1)).alias("n")).where("last <> f.doc_id")
-    again = docs.mapInArrow(_seeds, "seed long, doc_id long, pos int")
-    return written(spark, again.join(first.select("seed", F.col("f.doc_id").alias("ref_id"),
+    return written(spark, found.join(first.select("seed", F.col("f.doc_id").alias("ref_id"),
                                                   F.col("f.pos").alias("ref_pos"), "n"), "seed"), "seeds")
 
 
@@ -115,7 +116,9 @@ def _runs(batches):
     seeds, as far as one that spans LEAST words; ``open`` where a place of the
     run is outside the passages.  Where all its seeds have met one stretch of
     one document, the first step has compared them, in this and in every other
-    document that holds the run: it is left out."""
+    document that holds the run: it is left out.  Of equal runs inside a stretch
+    that repeats one seed at even steps, the covered ones after the first are
+    left out too: the first stands for them as the place others may meet."""
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
     for batch in batches:
         for doc, at in zip(batch.column("doc_id").to_pylist(), batch.column("at")):
@@ -131,6 +134,8 @@ def _runs(batches):
             before = np.concatenate([[0], free])
             turn = (ref[1:] != ref[:-1]) | (np.diff(pos) != np.diff(there))
             turns = np.concatenate([[0], turn.cumsum()])  # places where the met stretch changes
+            step = np.where(np.diff(seed) == 0, np.diff(pos), -np.arange(1, len(pos)))
+            even = np.concatenate([[0, 0], (np.diff(step) == 0).cumsum()])[:len(pos)]  # steps like the one before
             key, r = seed.copy(), 1
             todo = np.arange(len(pos))  # starts whose run does not span LEAST words yet
             while True:
@@ -143,10 +148,13 @@ def _runs(batches):
                 key[todo] = mix(key[todo] * _ROLE[1] + seed[last])
                 new = todo[turns[last] > turns[todo]]
                 last = new + r
+                opens = before[last + 1] > before[new]
+                wanted = opens | (even[last] - even[new] < r)
+                new, last, opens = new[wanted], last[wanted], opens[wanted]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(
                         [key[new].view(np.int64), np.full(len(new), doc), pos[new], pos[last]], kinds)]
-                    + [pa.array(before[last + 1] > before[new])], [c.split()[0] for c in RUNS.split(", ")])
+                    + [pa.array(opens)], [c.split()[0] for c in RUNS.split(", ")])
                 r += 1
 
 
@@ -160,8 +168,8 @@ def rematched(spark: SparkSession, shared: DataFrame, passages: DataFrame) -> Da
             "(doc_id <> ref_id or pos <> ref_pos) and (held is null or not exists(held, "
             f"h -> h.start_word <= pos and pos + {K} <= h.end_word))").alias("open"))
     few = written(spark, marked.join(marked.where("open").select("seed").distinct(), "seed"), "open")
-    runs = few.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "seed", "ref_id", "ref_pos", "open")).alias("at")
-                                     ).mapInArrow(_runs, RUNS)
+    held = few.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "seed", "ref_id", "ref_pos", "open")).alias("at"))
+    runs = written(spark, held.mapInArrow(_runs, RUNS), "runs")
     first = runs.groupBy("run").agg(
         F.min(F.struct("doc_id", "pos", "end")).alias("f"), F.max("doc_id").alias("last"),
         F.max("open").alias("any")).where("last <> f.doc_id and any")
@@ -411,14 +419,15 @@ def _aligned(batches):
 def passages_of(spark: SparkSession, few: DataFrame, both: DataFrame) -> DataFrame:
     """The passages that the matches (doc_id, ref_id, pos, ref_pos) lie in."""
     chains = written(spark, by_pair(both).mapInArrow(_chains, CHAINS), "chains")
-    asked = (chains.select("doc_id", "low", "high")
-             .unionByName(chains.select(F.col("ref_id").alias("doc_id"), F.col("ref_low").alias("low"),
-                                        F.col("ref_high").alias("high"))).distinct()
-             .groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("wanted")))
-    held = few.join(asked, "doc_id").mapInArrow(
+    asked = written(spark, chains.select("doc_id", "low", "high")
+                    .unionByName(chains.select(F.col("ref_id").alias("doc_id"), F.col("ref_low").alias("low"),
+                                               F.col("ref_high").alias("high"))).distinct()
+                    .groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("wanted")), "asked")
+    # only texts with a stretch to give are dealt
+    held = key_filter(few, asked.select("doc_id"), "doc_id").join(asked, "doc_id").mapInArrow(
         _stretches, "doc_id long, low int, high int, words binary")
-    # rows that repeat a doc_id: one stretch each
-    held = written(spark, held.groupBy("doc_id", "low", "high").agg(F.min("words").alias("words")), "stretches")
+    # rows that repeat a doc_id: one stretch each; both joins read the same exchange
+    held = held.repartition("doc_id", "low", "high").groupBy("doc_id", "low", "high").agg(F.min("words").alias("words"))
     here = held.withColumnRenamed("words", "here")
     there = held.select(F.col("doc_id").alias("ref_id"), F.col("low").alias("ref_low"),
                         F.col("high").alias("ref_high"), F.col("words").alias("there"))

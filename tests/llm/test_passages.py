@@ -2,10 +2,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from aerocorr.llm.passages import (
-    GAP, K, LEAST, SIMILAR, align, chain, equal_words, repeated_passages, similar_segments)
+    GAP, K, LEAST, SIMILAR, _runs, align, chain, equal_words, repeated_passages, shared_seeds, similar_segments)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -131,6 +132,47 @@ def test_every_place_of_a_passage(spark):
     assert any(e - s >= 80 for _, _, s, e, _ in got)
 
 
+def runs_of(doc, places):
+    """(run, doc_id, pos, end, open) of the places (pos, seed, open), all matched with word 0 of document 1."""
+    at = [[{"pos": p, "seed": s, "ref_id": 1, "ref_pos": 0, "open": o} for p, s, o in places]]
+    batch = pa.RecordBatch.from_arrays([pa.array([doc]), pa.array(at, pa.list_(pa.struct(
+        [("pos", pa.int32()), ("seed", pa.int64()), ("ref_id", pa.int64()), ("ref_pos", pa.int32()),
+         ("open", pa.bool_())])))], ["doc_id", "at"])
+    return [tuple(r.values()) for b in _runs([batch]) for r in b.to_pylist()]
+
+
+def test_covered_runs_of_one_repeated_seed_count_once():
+    """Two words repeated give a seed every second word: its covered runs are
+    told by the first of each length, whatever the stretch's length; the open
+    ones and those that leave the stretch are all there."""
+    tail = [(600 + 9 * i, 20 + i, False) for i in range(4)]
+    got = runs_of(5, [(2 * i, 8, False) for i in range(300)] + tail)
+    assert len(got) < 400 and min(p for _, _, p, _, _ in got) == 0
+    assert {e for *_, e, _ in got} >= {p for p, _, _ in tail}
+    inside = [r for r in got if r[3] < 600]
+    assert len({r[0] for r in inside}) == len(inside) == 21 and {r[2] for r in inside} == {0}
+    # one open place: every run that holds it stays, with the key that the first run of its length has
+    some = runs_of(6, [(2 * i, 8, i == 150) for i in range(300)])
+    opens = [r for r in some if r[4]]
+    assert {(p, e) for _, _, p, e, _ in opens} == {
+        (2 * a, 2 * b) for a in range(300) for b in range(a + 1, min(a + 22, 300)) if a <= 150 <= b}
+    assert {r[0] for r in opens} == {r[0] for r in inside}
+
+
+def test_seeds_are_dealt_once(spark, monkeypatch):
+    """First places and their join read one exchange of the seeds."""
+    from aerocorr.llm import passages
+    plans = []
+    monkeypatch.setattr(passages, "written", lambda s, df, name: plans.append(df) or df)
+    rng = random.Random(8)
+    whole = text(rng, 60)
+    docs = [(i, " ".join(text(rng, 30) + whole)) for i in range(4)]
+    df = shared_seeds(spark, spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.ref_id for r in df.collect()} == {0}
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan
+
+
 def test_messy_rows(spark, messy):
     got = {(r.doc_id, r.ref_id) for r in repeated_passages(spark, messy).collect()}
     assert got == {(2, 1), (3, 1), (12, 11)}
